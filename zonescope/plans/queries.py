@@ -22,6 +22,7 @@ from zonescope.operators import quality, scoring, serving
 from zonescope.operators.monthly import zone_month_prices
 from zonescope.operators.staging import sales_fact, stage_all
 from zonescope.plans import oracle
+from zonescope.plans.materialize import TableStore
 from zonescope.sources.adapter import raw_datasets
 
 
@@ -38,9 +39,19 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 class Models:
     """Lazily built staging and mart DataFrames for one input folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize_marts: bool = True):
         self.spark, self.sf_dir = spark, sf_dir
+        self.materialize_marts = materialize_marts
         self._cache: dict[str, object] = {}
+        self._store: TableStore | None = None
+
+    def _mart(self, df: DataFrame, name: str) -> DataFrame:
+        """Marts are written once and read back (see ``plans.materialize``)."""
+        if not self.materialize_marts:
+            return df
+        if self._store is None:
+            self._store = TableStore(self.spark)
+        return self._store.materialize(df, name)
 
     def _get(self, key, build):
         if key not in self._cache:
@@ -61,11 +72,11 @@ class Models:
 
     @property
     def zone_month(self) -> DataFrame:
-        return self._get("zone_month", lambda: zone_month_prices(self.fact))
+        return self._get("zone_month", lambda: self._mart(zone_month_prices(self.fact), "real_estate_zone_monthly"))
 
     @property
     def features(self) -> DataFrame:
-        return self._get("features", lambda: feat.zone_features(self.staged))
+        return self._get("features", lambda: self._mart(feat.zone_features(self.staged), "tourism_zone_features"))
 
     @property
     def scores(self) -> DataFrame:

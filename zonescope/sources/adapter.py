@@ -17,11 +17,10 @@ marts and serving are written separately on each side.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from zonescope.constants import METADATA_COLUMNS
 from zonescope.functions.columns import grid_cell, to_double
 from zonescope.sources.specs import DEFAULT_SPECS, GRID_DATASETS
+from zonescope.sources.tables import balanced, read_table
 
 SNAPSHOT_DATE = "2024-06-30"
 INGESTED_AT = "2024-07-01T00:00:00"
@@ -206,19 +205,15 @@ SOURCE_COLUMNS = {
 }
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
 def _source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "supplier_geo":
-        supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-        nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-        region = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+        supplier = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
+        nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+        region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
         return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).join(
             region, nation.n_regionkey == region.r_regionkey
         )
-    return _table(spark, sf_dir, name).select(*SOURCE_COLUMNS[name])
+    return balanced(read_table(spark, sf_dir, name, SOURCE_COLUMNS[name]), spark)
 
 
 def raw_dataset(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
@@ -239,9 +234,3 @@ def raw_datasets(spark: SparkSession, sf_dir: str, names=None) -> dict[str, Data
     names = names or [n for n in RENDERINGS if n != "cadastre_reference"]
     return {n: raw_dataset(spark, sf_dir, n) for n in names}
 
-
-def metadata_columns() -> tuple[str, ...]:
-    return METADATA_COLUMNS
-
-
-__all__ = ["raw_dataset", "raw_datasets", "RENDERINGS", "SNAPSHOT_DATE", "INGESTED_AT", "F"]
