@@ -1,9 +1,9 @@
-"""Exact interpolated median per group, safe against very large groups.
+"""Exact rank statistics per group, safe against very large groups.
 
-``percentile``/``median`` keep a value->count map per group and merge all of a
-group's maps in one task, so a group holding a third of the rows would be
-gathered by one task.  This operator computes the same exact, interpolated
-median (``percentile_cont(0.5)``) as a distributed rank selection instead:
+``percentile``/``median``/``percent_rank`` gather a whole group in one task
+(a value->count map, or a window partition).  A group holding a third of the
+rows would then sit in one task.  Here the same exact results come from a
+distributed rank computation instead (:func:`value_ranks`):
 
 1. count rows per (group, value); partial aggregation collapses duplicates on
    the map side, so even a single hot value costs one row per map task;
@@ -14,11 +14,12 @@ median (``percentile_cont(0.5)``) as a distributed rank selection instead:
 4. per piece, its total; per group, the pieces' offsets (counts of earlier
    ranges) and the group size ``n``.  This table has at most
    #groups + #ranges rows;
-5. join the offsets back, keep the one or two value rows that hold ranks
-   ``(n-1) div 2`` and ``n div 2`` and interpolate.
+5. join the offsets back: every distinct value knows how many rows of its
+   group are strictly below it.
 
-No step holds more than one range of one group, and only step 1 and 2 move
-the (pre-aggregated) data; the rest moves at most a few rows per group.
+No step holds more than one range of one group.  Interpolated quantiles
+(``percentile_cont``) pick the one or two values holding the target ranks;
+``percent_rank`` is ``below / (n - 1)``.
 """
 
 from __future__ import annotations
@@ -42,65 +43,109 @@ def _null_stand_in(data_type: T.DataType):
     return F.lit(0).cast(data_type)
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:
-    """Per group of ``keys`` (NULL keys allowed): ``out`` = exact median of ``value``.
+class _Encoded:
+    """Group keys encoded as non-NULL (stand-in, is-null) pairs."""
 
-    NULL values are ignored; a group whose values are all NULL is absent.
-    """
-    types = {f.name: f.dataType for f in df.schema.fields}
-    enc_keys: list[str] = []
-    cols = []
-    for i, k in enumerate(keys):
-        # A NULL key is encoded as (stand-in, True) so every key column of the
-        # rank step is non-NULL and joins stay plain equi-joins.
-        cols.append(F.coalesce(F.col(k), _null_stand_in(types[k])).alias(f"_k{i}"))
-        cols.append(F.col(k).isNull().alias(f"_n{i}"))
-        enc_keys += [f"_k{i}", f"_n{i}"]
-    cols.append(F.col(value).cast("double").alias("_v"))
+    def __init__(self, df: DataFrame, keys: list[str]):
+        self.keys = keys
+        self.types = {f.name: f.dataType for f in df.schema.fields}
+        self.cols = []
+        self.names: list[str] = []
+        for i, k in enumerate(keys):
+            self.cols.append(F.coalesce(F.col(k), _null_stand_in(self.types[k])).alias(f"_k{i}"))
+            self.cols.append(F.col(k).isNull().alias(f"_n{i}"))
+            self.names += [f"_k{i}", f"_n{i}"]
+        if not keys:  # one global group
+            self.cols.append(F.lit(0).alias("_k"))
+            self.names.append("_k")
+
+    def restore(self) -> list:
+        return [
+            F.when(F.col(f"_n{i}"), F.lit(None).cast(self.types[k])).otherwise(F.col(f"_k{i}")).alias(k)
+            for i, k in enumerate(self.keys)
+        ]
 
+
+def _ranked(df: DataFrame, keys: list[str], value: str) -> tuple[DataFrame, _Encoded]:
+    enc = _Encoded(df, keys)
     counted = (
-        df.select(*cols)
+        df.select(*enc.cols, F.col(value).cast("double").alias("_v"))
         .where(F.col("_v").isNotNull())
-        .groupBy(*enc_keys, "_v")
+        .groupBy(*enc.names, "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    ranged = counted.repartitionByRange(*enc_keys, "_v").withColumn("_p", F.spark_partition_id())
-
-    piece = ["_p", *enc_keys]
+    ranged = counted.repartitionByRange(*enc.names, "_v").withColumn("_p", F.spark_partition_id())
+    piece = ["_p", *enc.names]
     running = Window.partitionBy(*piece).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn("_cum", F.sum("_c").over(running))
-
     pieces = local.groupBy(*piece).agg(F.sum("_c").alias("_t"))
-    earlier = Window.partitionBy(*enc_keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*enc_keys)
+    earlier = Window.partitionBy(*enc.names).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(
         *piece,
         F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_off"),
-        F.sum("_t").over(whole).alias("_n"),
+        F.sum("_t").over(Window.partitionBy(*enc.names)).alias("_n"),
     )
-
-    before = F.col("_off") + F.col("_cum") - F.col("_c")
-    after = F.col("_off") + F.col("_cum")
-    lo_rank = F.floor((F.col("_n") - 1) / 2)
-    hi_rank = F.floor(F.col("_n") / 2)
-    holders = (
-        local.join(offsets, piece)
-        .select(
-            *enc_keys,
-            "_n",
-            F.when((before <= lo_rank) & (lo_rank < after), F.col("_v")).alias("_lo"),
-            F.when((before <= hi_rank) & (hi_rank < after), F.col("_v")).alias("_hi"),
-        )
-        .where(F.col("_lo").isNotNull() | F.col("_hi").isNotNull())
+    joined = local.join(offsets, piece).select(
+        *enc.names, "_v", "_c", (F.col("_off") + F.col("_cum") - F.col("_c")).alias("_below"), "_n"
     )
-    picked = holders.groupBy(*enc_keys).agg(
-        F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.max("_n").alias("_n")
+    return joined, enc
+
+
+def value_ranks(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """One row per (group, distinct non-NULL value): ``value``, ``count`` (rows
+    with that value), ``below`` (rows of the group strictly below it), ``n``."""
+    joined, enc = _ranked(df, keys, value)
+    return joined.select(*enc.restore(), F.col("_v").alias(value), F.col("_c").alias("count"),
+                         F.col("_below").alias("below"), F.col("_n").alias("n"))
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """Per group: one column per name in ``probs`` holding ``percentile_cont(p)``.
+
+    Position ``(n-1)·p`` is interpolated linearly between the values at its
+    floor and ceiling ranks.  NULL values are ignored; a group with no value
+    is absent.
+    """
+    joined, enc = _ranked(df, keys, value)
+    n = F.col("_n")
+    below, upto = F.col("_below"), F.col("_below") + F.col("_c")
+    picks = []
+    for name, p in probs.items():
+        pos = (n - 1).cast("double") * F.lit(float(p))
+        lo, hi = F.floor(pos), F.ceil(pos)
+        picks.append(F.when((below <= lo) & (lo < upto), F.col("_v")).alias(f"_lo_{name}"))
+        picks.append(F.when((below <= hi) & (hi < upto), F.col("_v")).alias(f"_hi_{name}"))
+    holders = joined.select(*enc.names, "_n", *picks)
+    any_pick = None
+    for c in holders.columns[len(enc.names) + 1:]:
+        any_pick = F.col(c).isNotNull() if any_pick is None else any_pick | F.col(c).isNotNull()
+    picked = holders.where(any_pick).groupBy(*enc.names).agg(
+        F.max("_n").alias("_n"), *[F.max(c).alias(c) for c in holders.columns[len(enc.names) + 1:]]
     )
-    median = F.when(F.col("_n") % 2 == 1, F.col("_lo")).otherwise(
-        F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.lit(0.5)
+    outs = []
+    for name, p in probs.items():
+        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        frac = pos - F.floor(pos)
+        lo_v, hi_v = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        outs.append(F.when(frac == 0, lo_v).otherwise(lo_v + (hi_v - lo_v) * frac).alias(name))
+    return picked.select(*enc.restore(), *outs)
+
+
+def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:
+    """Per group of ``keys`` (NULL keys allowed): ``out`` = exact median of ``value``."""
+    return exact_quantiles(df, keys, value, {out: 0.5})
+
+
+def percent_rank(df: DataFrame, keys: list[str], value: str, out: str = "percent_rank") -> DataFrame:
+    """``df`` with ``out`` = (rank - 1) / (n - 1) of ``value`` within its group
+    (0 for a group of one; NULL for a NULL value), without gathering a group."""
+    ranks = value_ranks(df, keys, value).select(
+        *[F.col(k).alias(f"_r_{k}") for k in keys],
+        F.col(value).alias("_r_v"),
+        F.when(F.col("n") > 1, F.col("below") / (F.col("n") - 1)).otherwise(F.lit(0.0)).alias(out),
     )
-    restored = [
-        F.when(F.col(f"_n{i}"), F.lit(None).cast(types[k])).otherwise(F.col(f"_k{i}")).alias(k)
-        for i, k in enumerate(keys)
-    ]
-    return picked.select(*restored, median.alias(out))
+    cond = F.col(value).cast("double") == F.col("_r_v")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    joined = df.join(ranks, cond, "left")
+    return joined.drop(*[f"_r_{k}" for k in keys], "_r_v")

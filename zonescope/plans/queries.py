@@ -250,6 +250,10 @@ QUERIES: list[Query] = [
     Query("grid_cells", "U1 F23", _grid_cells, _sql(_GRID_SQL, ["max_price_m2_bati"])),
 ]
 
+from zonescope.plans.extensions import extension_queries  # noqa: E402
+
+QUERIES += extension_queries(Query)
+
 QUERY_BY_NAME = {q.name: q for q in QUERIES}
 
 
