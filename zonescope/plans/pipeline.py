@@ -9,6 +9,7 @@ Staging stays lazy: Catalyst inlines it into the mart that reads it.
 from __future__ import annotations
 
 import posixpath
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,9 +46,16 @@ def build_marts(
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Staging (lazy) and the four marts (written, then read back)."""
     staged = stage_all(raw)
-    fact = store.materialize(sales_fact(staged["dvf_mutations"]), "fact_real_estate_transactions")
-    monthly = store.materialize(zone_month_prices(fact, exact=exact_median), "real_estate_zone_monthly")
-    features = store.materialize(feat.zone_features(staged), "tourism_zone_features")
+
+    def sales_side():
+        fact = store.materialize(sales_fact(staged["dvf_mutations"]), "fact_real_estate_transactions")
+        return fact, store.materialize(zone_month_prices(fact, exact=exact_median), "real_estate_zone_monthly")
+
+    # The sales marts and the feature mart are independent: run them as concurrent jobs.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        sales_job = pool.submit(sales_side)
+        features_job = pool.submit(lambda: store.materialize(feat.zone_features(staged), "tourism_zone_features"))
+        (fact, monthly), features = sales_job.result(), features_job.result()
     scores = store.materialize(
         scoring.zone_scores(monthly, features, per_zone_latest=per_zone_latest), "location_tourism_score_latest"
     )

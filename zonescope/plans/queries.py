@@ -9,6 +9,7 @@ decimal(28,10)) so the comparison with the oracle is exact.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,9 +79,22 @@ class Models:
     def features(self) -> DataFrame:
         return self._get("features", lambda: self._mart(feat.zone_features(self.staged), "tourism_zone_features"))
 
+    def build_marts(self) -> None:
+        """Build the two independent marts concurrently (separate Spark jobs
+        submitted from two driver threads share the executors)."""
+        missing = [k for k in ("zone_month", "features") if k not in self._cache]
+        if len(missing) == 2 and self.materialize_marts:
+            with ThreadPoolExecutor(max_workers=2) as pool:
+                for future in [pool.submit(lambda k=k: getattr(self, k)) for k in missing]:
+                    future.result()
+
     @property
     def scores(self) -> DataFrame:
-        return self._get("scores", lambda: scoring.zone_scores(self.zone_month, self.features))
+        def build():
+            self.build_marts()
+            return scoring.zone_scores(self.zone_month, self.features)
+
+        return self._get("scores", build)
 
 
 @dataclass(frozen=True)
