@@ -196,6 +196,9 @@ RENDERINGS: dict[str, tuple[str, list[list[str]]]] = {
     "cadastre_reference": ("part", [CADASTRE_EXPRS]),
 }
 
+# Sources whose row count is that of the fact table (the rest are dimension-sized).
+FACT_SOURCES = ("lineitem",)
+
 # Driver columns each rendering reads (keeps the Parquet scans pruned).
 SOURCE_COLUMNS = {
     "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -213,7 +216,9 @@ def _source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).join(
             region, nation.n_regionkey == region.r_regionkey
         )
-    return balanced(read_table(spark, sf_dir, name, SOURCE_COLUMNS[name]), spark)
+    df = read_table(spark, sf_dir, name, SOURCE_COLUMNS[name])
+    # Only the fact-sized source is worth spreading; dimension scans stay as they are.
+    return balanced(df, spark) if name in FACT_SOURCES else df
 
 
 def raw_dataset(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
