@@ -55,3 +55,46 @@ def test_matches_brute_force(spark, data):
     assert set(got) == set(want)
     for k, v in want.items():
         assert got[k] == pytest.approx(v, rel=1e-12)
+
+
+def test_quantiles_and_percent_rank_brute_force(spark):
+    from zonescope.operators.quantiles import exact_quantiles, percent_rank
+
+    rnd = random.Random(11)
+    rows = [("hot", float(rnd.randint(0, 400))) for _ in range(5000)]          # a third of the rows, many ties
+    rows += [(f"g{i % 7}", rnd.uniform(-10, 10)) for i in range(10000)]
+    rows += [(None, 3.0), (None, 1.0), (None, 2.0), ("one", 5.0), ("nulls", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", {"p05": 0.05, "p95": 0.95}).collect()}
+    groups = {}
+    for g, v in rows:
+        if v is not None:
+            groups.setdefault(g, []).append(v)
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        assert got[g]["p05"] == pytest.approx(float(np.quantile(vs, 0.05)), rel=1e-12, abs=1e-12)
+        assert got[g]["p95"] == pytest.approx(float(np.quantile(vs, 0.95)), rel=1e-12, abs=1e-12)
+    ranked = percent_rank(df, ["g"], "v", "pr").collect()
+    assert len(ranked) == len(rows)
+    for r in ranked:
+        vs = groups.get(r["g"], [])
+        if r["v"] is None:
+            assert r["pr"] is None
+        elif len(vs) == 1:
+            assert r["pr"] == 0.0
+        else:
+            assert r["pr"] == pytest.approx(sum(x < r["v"] for x in vs) / (len(vs) - 1))
+
+
+def test_latest_snapshot_rows_many_copies(spark):
+    from zonescope.operators.analytics import latest_snapshot_rows
+
+    rows = [("p1", "2024-01-01", "c1", f"{i} EUR", f"2024-0{1 + i % 3}-01", "t") for i in range(3000)]
+    rows += [("p2", "2024-02-01", "c1", "7 EUR", "2024-01-01", "t")]
+    df = spark.createDataFrame(rows, "id_parcelle string, date_mutation string, code_commune string, "
+                                     "valeur_fonciere string, _snapshot_date string, _ingested_at string")
+    out = {r.id_parcelle: r for r in latest_snapshot_rows(df).collect()}
+    assert len(out) == 2 and out["p2"].valeur_fonciere == "7 EUR"
+    latest = [r for r in rows if r[0] == "p1" and r[4] == "2024-03-01"]
+    assert out["p1"]._snapshot_date == "2024-03-01"
+    assert out["p1"].valeur_fonciere == max(r[3] for r in latest)
