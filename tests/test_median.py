@@ -98,3 +98,16 @@ def test_latest_snapshot_rows_many_copies(spark):
     latest = [r for r in rows if r[0] == "p1" and r[4] == "2024-03-01"]
     assert out["p1"]._snapshot_date == "2024-03-01"
     assert out["p1"].valeur_fonciere == max(r[3] for r in latest)
+
+
+def test_zone_month_paths_agree(spark):
+    from zonescope.operators.monthly import zone_month_prices
+    from zonescope.plans.queries import Models, round_doubles
+
+    from conftest import SF_SMALL
+
+    fact = Models(spark, SF_SMALL, materialize_marts=False).fact
+    fast = round_doubles(zone_month_prices(fact))                              # groups proven small
+    ranked = round_doubles(zone_month_prices(fact, max_gathered_group_rows=0))  # rank selection forced
+    assert fast.count() == ranked.count() > 0
+    assert fast.exceptAll(ranked).count() == 0 and ranked.exceptAll(fast).count() == 0

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from zonescope.functions.columns import month_start
 from zonescope.operators.quantiles import exact_median
+from zonescope.session import ensure_checkpoint_dir
 
 ZONE_MONTH_COLUMNS = (
     "zone_id",
@@ -20,11 +21,25 @@ ZONE_MONTH_COLUMNS = (
 )
 
 
-def zone_month_prices(fact: DataFrame, exact: bool = True, accuracy: int = 10000) -> DataFrame:
+# A group may be gathered in one task by ``percentile`` only below this many rows.
+MAX_GATHERED_GROUP_ROWS = 250_000
+
+
+def zone_month_prices(
+    fact: DataFrame,
+    exact: bool = True,
+    accuracy: int = 10000,
+    max_gathered_group_rows: int = MAX_GATHERED_GROUP_ROWS,
+) -> DataFrame:
     """One row per (zone, month); sales with an unreadable date form a NULL month.
 
-    ``exact=True`` gives the interpolated median through the distributed rank
-    selection of :func:`exact_median`; ``exact=False`` uses the bounded-memory
+    ``exact=True`` gives the interpolated median (``percentile_cont(0.5)``).
+    The group sizes come first (they are the ``transaction_count`` column,
+    checkpointed to the shared checkpoint folder): when the largest group is
+    proven to hold at most ``max_gathered_group_rows`` rows, Spark's
+    ``percentile`` aggregate (one shuffle, each group's values in one task) is
+    used; otherwise the distributed rank selection of :func:`exact_median`,
+    which never gathers a group.  ``exact=False`` uses the bounded-memory
     ``percentile_approx`` sketch instead (a data value within 1/accuracy rank).
     """
     base = fact.where(F.col("zone_id").isNotNull()).select(
@@ -48,7 +63,15 @@ def zone_month_prices(fact: DataFrame, exact: bool = True, accuracy: int = 10000
             F.percentile_approx("price_m2_terrain", 0.5, accuracy).alias("median_price_m2_terrain"),
         ).select(*ZONE_MONTH_COLUMNS)
 
-    stats = base.groupBy(*keys).agg(*algebraic)
+    ensure_checkpoint_dir(fact.sparkSession)
+    stats = base.groupBy(*keys).agg(*algebraic).checkpoint()
+    largest = stats.agg(F.max("transaction_count")).first()[0] or 0
+    if largest <= max_gathered_group_rows:
+        medians = base.groupBy(*keys).agg(
+            F.percentile("price_m2_bati", 0.5).alias("median_price_m2_bati"),
+            F.percentile("price_m2_terrain", 0.5).alias("median_price_m2_terrain"),
+        )
+        return _merge(stats, medians, keys)
     # Both measures go through one rank selection, told apart by a measure key.
     stacked = base.select(
         *keys,
@@ -64,6 +87,10 @@ def zone_month_prices(fact: DataFrame, exact: bool = True, accuracy: int = 10000
         F.when(F.col("_m") == 0, F.col("_median")).alias("median_price_m2_bati"),
         F.when(F.col("_m") == 1, F.col("_median")).alias("median_price_m2_terrain"),
     )
+    return _merge(stats, medians, keys)
+
+
+def _merge(stats: DataFrame, medians: DataFrame, keys: list[str]) -> DataFrame:
     # Union + group instead of a join: NULL months must meet their own group.
     merged = stats.unionByName(medians, allowMissingColumns=True).groupBy(*keys).agg(
         F.max("commune_label").alias("commune_label"),
