@@ -101,3 +101,21 @@ def test_pipeline_round_trip(spark, workdir):
     tests = {(r.model, r.column_name): r.failing for r in result.tests.collect()}
     assert tests[("location_tourism_score_latest", "zone_id")] == 0
     assert tests[("stg_dvf_transactions", "transaction_id")] == 0
+
+
+def test_raw_write_modes_and_serving_guard(spark, workdir):
+    from zonescope.operators.serving import SERVING_COLUMNS, load_scores
+
+    df = spark.createDataFrame([("a",), ("b",)], "x string")
+    ing.write_raw(df, f"{workdir}/raw_t", "replace")
+    ing.write_raw(df, f"{workdir}/raw_t", "append")
+    assert spark.read.parquet(f"{workdir}/raw_t").count() == 4
+    ing.write_raw(df, f"{workdir}/raw_t", "replace")
+    assert spark.read.parquet(f"{workdir}/raw_t").count() == 2
+    with pytest.raises(ValueError):
+        ing.write_raw(df, f"{workdir}/raw_t", "merge")
+    assert load_scores(spark, "no_such_scores_table") is None
+    empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in SERVING_COLUMNS))
+    empty.createOrReplaceTempView("empty_scores")
+    with pytest.raises(LookupError):
+        load_scores(spark, "empty_scores")
