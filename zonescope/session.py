@@ -40,12 +40,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster's setting always wins.  Only when it is unset (local tests) is
     a fresh scratch folder created and registered.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        context = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions expose no SparkContext
+        context = None
+    if not configured and context is not None:
+        configured = context.getConf().get("spark.checkpoint.dir", None)
     if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
+        if context is not None and context.getCheckpointDir() is None:
+            context.setCheckpointDir(configured)
         return configured
     folder = tempfile.mkdtemp(prefix="zonescope-ckpt-")
     spark.conf.set("spark.checkpoint.dir", folder)

@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 import fnmatch
 import posixpath
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -95,9 +96,13 @@ def read_source_files(
         df = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns], "_metadata.file_path")
         frames.append(df.toDF(*normalize_column_names(df.columns[:-1]), "_file_path"))
     else:
+        # One small job per file reads its first record; the jobs are submitted
+        # concurrently so a folder of many files is not read one header at a time.
+        with ThreadPoolExecutor(max_workers=min(16, max(1, len(paths)))) as pool:
+            headers = list(pool.map(lambda path: _header(spark, spec, path, multiline), paths))
         groups: dict[tuple[str, ...], list[str]] = {}
-        for path in paths:
-            groups.setdefault(_header(spark, spec, path, multiline), []).append(path)
+        for path, header in zip(paths, headers):
+            groups.setdefault(header, []).append(path)
         for header, group in groups.items():
             schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(header))])
             df = _csv_reader(spark, spec, multiline).schema(schema).option("enforceSchema", True).csv(group)
