@@ -26,8 +26,13 @@ def test_parse_date(spark):
 
 
 def test_truthy_flag(spark):
-    values = ["oui", "TRUE", "1", "t", "Yes", "non", "0", "vrai", "", None]
-    assert _eval(spark, values, C.truthy_flag) == [1, 1, 1, 1, 1, 0, 0, 0, 0, 0]
+    values = ["oui", "TRUE", "1", "t", "Yes", "1.0", "non", "0", "vrai", "", None, "0.0"]
+    assert _eval(spark, values, C.truthy_flag) == [1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0, 0]
+
+
+def test_missing_markers(spark):
+    values = ["NA", "n/a", "null", "NaN", "", "Paris", "0"]
+    assert _eval(spark, values, C.missing_to_null) == [None, None, None, None, None, "Paris", "0"]
 
 
 def test_price_per_m2(spark):
@@ -37,7 +42,7 @@ def test_price_per_m2(spark):
 
 
 def test_to_int_and_double(spark):
-    assert _eval(spark, ["3", "3.0", "abc", ""], C.to_int) == [3, None, None, None]
+    assert _eval(spark, ["3", "3.0", "3.5", "abc", ""], C.to_int) == [3, 3, None, None, None]
     assert _eval(spark, ["43.5", "x", ""], C.to_double) == [43.5, None, None]
 
 

@@ -145,5 +145,12 @@ DISPLAY_COLUMNS = (
     ("transaction_count", "transactions_dvf"),
 )
 
+# --------------------------------------------------------------------------
+# Cell texts a CSV drop uses for "missing" (the default missing
+# markers of the common CSV readers); they become NULL at ingestion.
+# --------------------------------------------------------------------------
+MISSING_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+                  "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
 # Metadata columns appended to every ingested row.
 METADATA_COLUMNS = ("_dataset_name", "_source_file", "_snapshot_date", "_ingested_at")

@@ -14,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from zonescope.constants import TRUTHY_VALUES
+from zonescope.constants import MISSING_TOKENS, TRUTHY_VALUES
 
 ColumnLike = Column | str
 
@@ -60,15 +60,27 @@ def parse_date(c: ColumnLike) -> Column:
     )
 
 
+def strip_zero_fraction(c: ColumnLike) -> Column:
+    """``"3.0"`` -> ``"3"`` (an integer written as a float); other text unchanged."""
+    return F.regexp_replace(as_text(c), r"^([+-]?\d+)\.0*\z", "$1")
+
+
 def truthy_flag(c: ColumnLike) -> Column:
-    """0/1 integer flag (F3): a case-insensitive truthy word -> 1, else 0."""
-    lowered = F.lower(F.coalesce(as_text(c), F.lit("")))
+    """0/1 integer flag (F3): a case-insensitive truthy word -> 1, else 0
+    (``1.0`` counts as ``1``)."""
+    lowered = F.lower(strip_zero_fraction(F.coalesce(as_text(c), F.lit(""))))
     return F.when(lowered.isin(*TRUTHY_VALUES), F.lit(1)).otherwise(F.lit(0))
 
 
 def to_int(c: ColumnLike) -> Column:
-    """Text -> integer (F8); non-integers such as ``3.0`` or ``abc`` -> NULL."""
-    return empty_to_null(c).try_cast("int")
+    """Text -> integer (F8): ``3`` and ``3.0`` -> 3; ``3.5`` or ``abc`` -> NULL."""
+    return F.nullif(strip_zero_fraction(c), F.lit("")).try_cast("int")
+
+
+def missing_to_null(c: ColumnLike) -> Column:
+    """A cell holding a missing-value marker (``NA``, ``null``, ...) -> NULL."""
+    text = as_text(c)
+    return F.when(~text.isin(*MISSING_TOKENS), text)
 
 
 def to_double(c: ColumnLike) -> Column:

@@ -95,6 +95,11 @@ _DATE = (
 _SNAP = "TRY_CAST(NULLIF(_snapshot_date, '') AS DATE) AS snapshot_date, _source_file"
 
 
+def _int_text(col: str) -> str:
+    """An integer written as a float ('3.0') read as the integer's text."""
+    return f"regexp_replace({col}, '^([+-]?[0-9]+)[.]0*$', '\\1')"
+
+
 def _md5(cols) -> str:
     return "md5(concat_ws('||', " + ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in cols) + "))"
 
@@ -109,8 +114,8 @@ STAGING_CTES = [
     {nz('code_departement')} AS code_departement, {nz('type_local')} AS type_local,
     {clean_num('surface_reelle_bati')} AS surface_reelle_bati,
     {clean_num('surface_terrain')} AS surface_terrain,
-    CASE WHEN regexp_full_match(nombre_pieces_principales, '\\s*[+-]?\\d+\\s*')
-         THEN TRY_CAST(nombre_pieces_principales AS INTEGER) END AS nombre_pieces_principales,
+    CASE WHEN regexp_full_match({_int_text('nombre_pieces_principales')}, '\\s*[+-]?\\d+\\s*')
+         THEN TRY_CAST({_int_text('nombre_pieces_principales')} AS INTEGER) END AS nombre_pieces_principales,
     TRY_CAST({nz('longitude')} AS DOUBLE) AS longitude, TRY_CAST({nz('latitude')} AS DOUBLE) AS latitude,
     {nz('h3_res8')} AS h3_res8, {nz('h3_res9')} AS h3_res9, {nz('id_parcelle')} AS id_parcelle,
     {_SNAP},
@@ -129,7 +134,8 @@ STAGING_CTES = [
   FROM raw_tourism_poi)""",
     "s_labels AS (SELECT " + f"{nz('code_commune')} AS code_commune, {nz('nom_commune')} AS nom_commune, "
     + ", ".join(
-        f"CASE WHEN lower(COALESCE(CAST({f} AS VARCHAR), '')) IN ({_in_list(TRUTHY_VALUES)}) THEN 1 ELSE 0 END AS {f}"
+        f"CASE WHEN lower({_int_text(f'COALESCE(CAST({f} AS VARCHAR), {chr(39)}{chr(39)})')}) "
+        f"IN ({_in_list(TRUTHY_VALUES)}) THEN 1 ELSE 0 END AS {f}"
         for f in FLAG_COLUMNS
     )
     + f", {_SNAP} FROM raw_tourism_labels)",

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonescope.constants import METADATA_COLUMNS
-from zonescope.functions.columns import grid_cell, normalize_column_names, to_double
+from zonescope.functions.columns import grid_cell, missing_to_null, normalize_column_names, to_double
 from zonescope.sources.specs import GRID_COLUMNS, GRID_DATASETS, DatasetSpec
 
 SUPPORTED_FORMATS = ("csv", "parquet")
@@ -106,7 +106,7 @@ def read_source_files(
         for header, group in groups.items():
             schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(header))])
             df = _csv_reader(spark, spec, multiline).schema(schema).option("enforceSchema", True).csv(group)
-            df = df.select(*df.columns, "_metadata.file_path")
+            df = df.select(*[missing_to_null(c).alias(c) for c in df.columns], "_metadata.file_path")
             frames.append(df.toDF(*normalize_column_names(header), "_file_path"))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
