@@ -9,7 +9,7 @@ import pytest
 from conftest import ROOT, SF_SMALL
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
-from oracle_check import TABLES, _digest  # noqa: E402
+from oracle_check import SPARK_TO_DUCK, TABLES, _digest  # noqa: E402
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
 
@@ -49,6 +49,9 @@ def test_query_matches_oracle(spark, duck, name):
     cols = [d[0] for d in res.description]
     want = res.fetchall()
     assert sorted(df.columns) == sorted(cols)
+    duck_types = {d[0]: str(d[1]) for d in res.description}
+    for f in df.schema.fields:
+        assert SPARK_TO_DUCK.get(f.dataType.simpleString()) == duck_types[f.name], (f.name, f.dataType)
     assert len(rows) == len(want)
     assert _digest(df.columns, rows)[0] == _digest(cols, want)[0]
 

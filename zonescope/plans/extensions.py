@@ -142,20 +142,20 @@ SELECT 'fact_real_estate_transactions' AS model, 'unique' AS rule, 'transaction_
   CAST(sum(c) AS BIGINT) AS row_count, CAST(COALESCE(sum(CASE WHEN c > 1 THEN c END), 0) AS BIGINT) AS failing
 FROM (SELECT transaction_id, count(*) AS c FROM fact GROUP BY transaction_id)
 UNION ALL SELECT 'fact_real_estate_transactions', 'positive', 'valeur_fonciere', count(*),
-  count_if(valeur_fonciere <= 0) FROM fact
+  CAST(count_if(valeur_fonciere <= 0) AS BIGINT) FROM fact
 UNION ALL SELECT 'fact_real_estate_transactions', 'non_negative', 'surface_reelle_bati', count(*),
-  count_if(surface_reelle_bati < 0) FROM fact
+  CAST(count_if(surface_reelle_bati < 0) AS BIGINT) FROM fact
 UNION ALL SELECT 'fact_real_estate_transactions', 'within_p01_p99', 'price_m2_bati', count(*),
-  count_if(price_m2_bati < (SELECT quantile_cont(price_m2_bati, 0.01) FROM fact)
-        OR price_m2_bati > (SELECT quantile_cont(price_m2_bati, 0.99) FROM fact))
+  CAST(count_if(price_m2_bati < (SELECT quantile_cont(price_m2_bati, 0.01) FROM fact)
+        OR price_m2_bati > (SELECT quantile_cont(price_m2_bati, 0.99) FROM fact)) AS BIGINT)
   FROM fact WHERE price_m2_bati IS NOT NULL
 UNION ALL SELECT 'stg_dvf_transactions', 'in_france_bbox', 'latitude,longitude', count(*),
-  count_if(latitude IS NOT NULL AND longitude IS NOT NULL AND (latitude < {_BBOX['lat_min']}
-    OR latitude > {_BBOX['lat_max']} OR longitude < {_BBOX['lon_min']} OR longitude > {_BBOX['lon_max']})) FROM s_sales
-UNION ALL SELECT 'fact_real_estate_transactions', 'zone_in_features', 'zone_id', count(*), count_if(g.zone_id IS NULL)
+  CAST(count_if(latitude IS NOT NULL AND longitude IS NOT NULL AND (latitude < {_BBOX['lat_min']}
+    OR latitude > {_BBOX['lat_max']} OR longitude < {_BBOX['lon_min']} OR longitude > {_BBOX['lon_max']})) AS BIGINT) FROM s_sales
+UNION ALL SELECT 'fact_real_estate_transactions', 'zone_in_features', 'zone_id', count(*), CAST(count_if(g.zone_id IS NULL) AS BIGINT)
   FROM fact f LEFT JOIN features g ON g.zone_id = f.zone_id WHERE f.zone_id IS NOT NULL
 UNION ALL SELECT 'stg_seasonal_population', 'non_negative', 'seasonal_population_ratio', count(*),
-  count_if(seasonal_population_ratio < 0) FROM s_seasonal
+  CAST(count_if(seasonal_population_ratio < 0) AS BIGINT) FROM s_seasonal
 UNION ALL SELECT 'stg_dvf_transactions', 'fresh_within_365_days', 'date_mutation', count(*),
   CAST(CASE WHEN date_diff('day', max(date_mutation), max(snapshot_date)) > 365 THEN 1 ELSE 0 END AS BIGINT)
   FROM s_sales"""
@@ -168,7 +168,7 @@ def _monitoring_sql() -> str:
     parts = []
     for name in _RAW_NAMES:
         for col in DEFAULT_SPECS[name].expected_columns:
-            empty = f"count_if({col} IS NULL OR {col} = '')"
+            empty = f"CAST(count_if({col} IS NULL OR {col} = '') AS BIGINT)"
             parts.append(
                 f"SELECT '{name}' AS dataset, count(*) AS row_count, max(_snapshot_date) AS last_snapshot, "
                 f"max(_ingested_at) AS last_ingested_at, '{col}' AS column_name, {empty} AS empty_count, "

@@ -176,9 +176,9 @@ MART_CTES = [
   GROUP BY zone_id, CAST(date_trunc('month', date_mutation) AS DATE))""",
     f"""a_poi AS (
   SELECT code_commune, max(nom_commune) AS nom, count(*) AS tourism_poi_count,
-    count_if(poi_category IN ({_in_list(NATURE_CATEGORIES)})) AS nature_poi_count,
-    count_if(poi_category IN ({_in_list(HERITAGE_CATEGORIES)})) AS heritage_poi_count,
-    count_if(poi_category IN ({_in_list(AMENITY_CATEGORIES)})) AS amenity_poi_count
+    CAST(count_if(poi_category IN ({_in_list(NATURE_CATEGORIES)})) AS BIGINT) AS nature_poi_count,
+    CAST(count_if(poi_category IN ({_in_list(HERITAGE_CATEGORIES)})) AS BIGINT) AS heritage_poi_count,
+    CAST(count_if(poi_category IN ({_in_list(AMENITY_CATEGORIES)})) AS BIGINT) AS amenity_poi_count
   FROM s_poi WHERE code_commune IS NOT NULL GROUP BY code_commune)""",
     "a_labels AS (SELECT code_commune, max(nom_commune) AS nom, "
     + ", ".join(f"max({f}) AS {f}" for f in FLAG_COLUMNS)

@@ -148,7 +148,7 @@ def _not_null_sql() -> str:
     }
     parts = [
         f"SELECT '{model}' AS model, 'not_null' AS rule, '{col}' AS column_name, count(*) AS row_count, "
-        f"count_if({col} IS NULL) AS failing, count_if({col} IS NULL) = 0 AS passed FROM {tables[model]}"
+        f"CAST(count_if({col} IS NULL) AS BIGINT) AS failing, CAST(count_if({col} IS NULL) AS BIGINT) = 0 AS passed FROM {tables[model]}"
         for model, col in quality.NOT_NULL_RULES
     ]
     return " UNION ALL ".join(parts)
