@@ -21,8 +21,14 @@ REDELIVERY_SNAPSHOT = "2024-07-31"
 
 
 def normed(m) -> DataFrame:
-    metrics = scoring.zone_metrics(scoring.latest_month_prices(m.zone_month), m.features)
-    return scoring.with_norms(metrics)
+    """Metrics with their norms, one row per zone; written once per run because
+    several analyses (11 sensitivity scenarios, the breakdown) read it."""
+    def build():
+        m.build_marts()
+        metrics = scoring.zone_metrics(scoring.latest_month_prices(m.zone_month), m.features)
+        return m._mart(scoring.with_norms(metrics), "zone_norms")
+
+    return m._get("normed", build)
 
 
 def redelivered_sales(raw_sales: DataFrame) -> DataFrame:
