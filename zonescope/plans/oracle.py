@@ -249,13 +249,24 @@ _NORMED = (
     ("competition_raw", "competition_norm"),
 )
 
-SCORE_CTES = [
-    "latest AS (SELECT * FROM zone_month WHERE month_key = (SELECT max(month_key) FROM zone_month))",
-    "merged AS (SELECT COALESCE(r.zone_id, f.zone_id) AS zone_id, "
+GLOBAL_LATEST = "SELECT * FROM zone_month WHERE month_key = (SELECT max(month_key) FROM zone_month)"
+PER_ZONE_LATEST = ("SELECT * FROM zone_month WHERE month_key IS NOT NULL "
+                   "QUALIFY row_number() OVER (PARTITION BY zone_id ORDER BY month_key DESC) = 1")
+
+
+def score_ctes(latest: str = GLOBAL_LATEST, sfx: str = "") -> list[str]:
+    """The score stage; ``latest`` picks each zone's price month."""
+    return [c.replace("{sfx}", sfx).replace("{latest}", latest) for c in _SCORE_TEMPLATES]
+
+
+_SCORE_TEMPLATES = [
+
+    "latest{sfx} AS ({latest})",
+    "merged{sfx} AS (SELECT COALESCE(r.zone_id, f.zone_id) AS zone_id, "
     "COALESCE(f.zone_label, r.commune_label, COALESCE(r.zone_id, f.zone_id)) AS zone_label, "
     "r.month_key AS real_estate_month_key, r.transaction_count, r.median_price_m2_bati, r.median_price_m2_terrain, "
-    "f.* EXCLUDE (zone_id, zone_label) FROM latest r FULL OUTER JOIN features f ON r.zone_id = f.zone_id)",
-    f"""metrics AS (SELECT *,
+    "f.* EXCLUDE (zone_id, zone_label) FROM latest{sfx} r FULL OUTER JOIN features f ON r.zone_id = f.zone_id)",
+    f"""metrics{{sfx}} AS (SELECT *,
     COALESCE(median_price_m2_bati, median_price_m2_terrain, {_d(0)}) * {_d(BENCHMARK_SURFACE_M2)} AS benchmark_entry_ticket_est,
     {_wsum(ATTRACTIVENESS_WEIGHTS)} AS attractiveness_raw,
     {_wsum(NATURE_WEIGHTS)} AS nature_raw,
@@ -266,22 +277,24 @@ SCORE_CTES = [
     greatest(COALESCE(accommodation_count, 0),
              COALESCE(hotel_count, 0) + COALESCE(camping_count, 0) + COALESCE(guest_house_count, 0)
              + COALESCE(holiday_village_count, 0)) AS competition_raw
-  FROM merged)""",
-    "extremes AS (SELECT " + ", ".join(f"min({m}) AS lo_{m}, max({m}) AS hi_{m}" for m, _ in _NORMED)
-    + " FROM metrics)",
-    "normed AS (SELECT m.*, " + ", ".join(
+  FROM merged{{sfx}})""",
+    "extremes{sfx} AS (SELECT " + ", ".join(f"min({m}) AS lo_{m}, max({m}) AS hi_{m}" for m, _ in _NORMED)
+    + " FROM metrics{sfx})",
+    "normed{sfx} AS (SELECT m.*, " + ", ".join(
         f"(m.{m} - e.lo_{m}) / NULLIF(e.hi_{m} - e.lo_{m}, 0) AS {n}" for m, n in _NORMED
-    ) + " FROM metrics m CROSS JOIN extremes e)",
-    "scores AS (SELECT zone_id, zone_label, real_estate_month_key, code_departement, nom_departement, nom_region, "
+    ) + " FROM metrics{sfx} m CROSS JOIN extremes{sfx} e)",
+    "scores{sfx} AS (SELECT zone_id, zone_label, real_estate_month_key, code_departement, nom_departement, nom_region, "
     "transaction_count, median_price_m2_bati, median_price_m2_terrain, benchmark_entry_ticket_est, "
     "tourism_poi_count, nature_poi_count, heritage_poi_count, amenity_poi_count, "
     + ", ".join(FLAG_COLUMNS) + ", " + ", ".join(_MINUTES)
     + ", seasonality_intensity, competition_raw AS competition_proxy, attractiveness_raw AS tourism_potential_proxy, "
     "nature_raw AS nature_score, access_raw AS access_score, stability_filled AS stability_score, "
     + ", ".join(f"{_profile_sql(p)} AS score_{p}" for p in PROFILES)
-    + " FROM normed WHERE zone_id IS NOT NULL)",
+    + " FROM normed{sfx} WHERE zone_id IS NOT NULL)",
 ]
 
+SCORE_CTES = score_ctes() + score_ctes(PER_ZONE_LATEST, "_pz")
+
 ALL_CTES = RAW_CTES + STAGING_CTES + MART_CTES + SCORE_CTES
 
 

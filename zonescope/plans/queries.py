@@ -140,6 +140,11 @@ def _top(profile: str) -> Query:
     )
 
 
+def _scores_per_zone_latest(m: Models) -> DataFrame:
+    m.build_marts()
+    return scoring.zone_scores(m.zone_month, m.features, per_zone_latest=True)
+
+
 def _not_null_sql() -> str:
     tables = {
         "stg_dvf_transactions": "s_sales", "stg_tourism_poi": "s_poi", "stg_tourism_labels": "s_labels",
@@ -202,6 +207,9 @@ def _source_sql(cte: str, tag: str, cols) -> str:
 QUERIES: list[Query] = [
     Query("zone_scores", "F21 (flagship: whole score table)", lambda m: m.scores,
           _sql("SELECT * FROM scores", _SCORE_DOUBLES)),
+    Query("zone_scores_per_zone_latest", "F21 with each zone's own latest month (option)",
+          lambda m: _scores_per_zone_latest(m),
+          _sql("SELECT * FROM scores_pz", _SCORE_DOUBLES)),
     Query("zone_month_prices", "A1-A7 P5 F12", lambda m: m.zone_month,
           _sql("SELECT * FROM zone_month", _ZM_DOUBLES)),
     Query("sales_staging", "P3 F1 F2 F4 F5 F8 F9 F10 F11", lambda m: m.staged["dvf_mutations"],
