@@ -4,13 +4,16 @@ A Structured Streaming file source watches the drop folder; each file is
 processed once (the checkpoint records it).  Every micro-batch, in
 ``foreachBatch``:
 
-1. appends its rows to bronze under ``snapshot_date=<d>/_batch=<epoch>``,
-   written with dynamic partition overwrite, so a replayed epoch rewrites its
-   own partition instead of duplicating rows;
-2. finds the months the batch touches (late sales simply reopen their month);
-3. recomputes those months from all of bronze (a semi-join on the touched
-   months, small and broadcast by AQE when its size allows) and overwrites
-   only those ``month_key`` partitions of the monthly mart.
+1. appends its raw rows to bronze under ``snapshot_date=<d>/_batch=<epoch>``
+   and its typed sales to a silver fact table partitioned by
+   ``month_key=<m>/_batch=<epoch>``, both with dynamic partition overwrite, so
+   a replayed epoch rewrites its own partitions instead of duplicating rows;
+2. finds the months the batch touches (late sales simply reopen their month;
+   the list is bounded by the calendar, not by the data);
+3. recomputes those months from the silver fact, reading only their
+   partitions (partition pruning), and overwrites only those ``month_key``
+   partitions of the monthly mart.  A batch costs what its months hold, not
+   the whole history.
 
 No watermark is needed: a month is recomputed whenever a sale for it arrives.
 ``trigger(availableNow=True)`` processes everything present, then stops.
@@ -47,10 +50,6 @@ def _bronze_rows(batch: DataFrame, spec: DatasetSpec, root: str, snapshot_date:
     )
 
 
-def _month_of(fact: DataFrame) -> DataFrame:
-    return fact.where(F.col("zone_id").isNotNull()).select(month_start("date_mutation").alias("month_key"))
-
-
 def process_batch(
     spark: SparkSession,
     batch: DataFrame,
@@ -60,16 +59,28 @@ def process_batch(
     bronze_path: str,
     mart_path: str,
     snapshot_date: str,
+    silver_path: str | None = None,
 ) -> None:
+    silver_path = silver_path or posixpath.join(posixpath.dirname(posixpath.dirname(bronze_path)), "silver",
+                                                "fact_real_estate_transactions")
     rows = _bronze_rows(batch, spec, external_root, snapshot_date, epoch)
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("snapshot_date", "_batch").parquet(bronze_path))
-    written = spark.read.parquet(bronze_path).where(F.col("_batch") == epoch)
-    touched = _month_of(sales_fact(stg_sales(written))).distinct()
-    all_fact = sales_fact(stg_sales(spark.read.parquet(bronze_path).drop("snapshot_date", "_batch")))
-    months = all_fact.withColumn("_mk", month_start("date_mutation"))
-    # NULL months (unreadable dates) are a group too, so match with null-safe equality.
-    affected = months.join(touched, months["_mk"].eqNullSafe(touched["month_key"]), "left_semi").drop("_mk")
+    written = spark.read.parquet(bronze_path).where(F.col("_batch") == epoch).drop("snapshot_date", "_batch")
+    fact = sales_fact(stg_sales(written)).withColumn("month_key", month_start("date_mutation")) \
+        .withColumn("_batch", F.lit(epoch))
+    (fact.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("month_key", "_batch").parquet(silver_path))
+    # The touched months: at most one value per calendar month, so a short list.
+    months = [r[0] for r in spark.read.parquet(silver_path).where(F.col("_batch") == epoch)
+              .where(F.col("zone_id").isNotNull()).select("month_key").distinct().collect()]
+    dated = [m for m in months if m is not None]
+    if not months:
+        return
+    touched = F.col("month_key").isin(dated) if dated else F.lit(False)
+    if len(dated) < len(months):
+        touched = touched | F.col("month_key").isNull()   # the unreadable-date group
+    affected = spark.read.parquet(silver_path).where(touched).drop("month_key", "_batch")
     (zone_month_prices(affected).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("month_key").parquet(mart_path))
 
