@@ -2,9 +2,11 @@
 the four profile scores (P7, A12, J6, F13-F22, W1, P8).
 
 The global min-max normalisation needs seven (min, max) pairs over all zones.
-A window ``over ()`` would pull every row into one task; here the fourteen
-extremes are one global aggregate (partial on each task, one final row) read
-back as scalar subqueries, which Catalyst merges into a single job.
+A window ``over ()`` would pull every row into one task.  Here the zone-level
+metrics are checkpointed (reliable checkpoint in the shared folder), the
+fourteen extremes are one global aggregate over them (partial per task, one
+row at the end: a fixed-size result) and enter the plan as literals.  The
+latest month is read the same way, so its filter is pushed into the mart scan.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ from zonescope.constants import (
     NATURE_WEIGHTS,
     PROFILES,
 )
-from zonescope.functions.columns import round_half_up, safe_ratio, weighted_sum
+from zonescope.functions.columns import round_half_up, weighted_sum
 from zonescope.operators.features import MINUTE_COLUMNS, POI_COUNT_COLUMNS, SEASONAL_COLUMNS, SUPPLY_COLUMNS
+from zonescope.session import ensure_checkpoint_dir
 
 # metric column -> name of its normalised column
 NORMALISED = (
@@ -75,8 +78,8 @@ def latest_month_prices(zone_month: DataFrame, per_zone: bool = False) -> DataFr
             F.max_by(F.struct(*cols), "month_key").alias("_row")
         )
         return latest.select("zone_id", *[F.col(f"_row.{c}").alias(c) for c in cols])
-    latest_key = zone_month.agg(F.max("month_key")).scalar()
-    return zone_month.where(F.col("month_key") == latest_key)
+    latest_key = zone_month.agg(F.max("month_key")).first()[0]
+    return zone_month.where(F.col("month_key") == F.lit(latest_key).cast("date"))
 
 
 def _attach_prices(latest: DataFrame, features: DataFrame) -> DataFrame:
@@ -136,14 +139,18 @@ def with_norms(metrics: DataFrame) -> DataFrame:
 
     A zero range gives NULL (the term then contributes 0 to every score).
     """
+    ensure_checkpoint_dir(metrics.sparkSession)
+    metrics = metrics.checkpoint()
     extremes = metrics.agg(
         *[agg(F.col(m)).alias(f"{name}_{m}") for m, _ in NORMALISED for name, agg in (("min", F.min), ("max", F.max))]
-    )
+    ).first()
     norms = []
     for metric, norm in NORMALISED:
-        lo = extremes.select(f"min_{metric}").scalar()
-        hi = extremes.select(f"max_{metric}").scalar()
-        norms.append(safe_ratio(F.col(metric) - lo, hi - lo).alias(norm))
+        lo, hi = extremes[f"min_{metric}"], extremes[f"max_{metric}"]
+        if lo is None or hi is None or hi - lo == 0:
+            norms.append(F.lit(None).cast("double").alias(norm))   # zero range: the term counts 0
+        else:
+            norms.append(((F.col(metric) - F.lit(float(lo))) / F.lit(float(hi - lo))).alias(norm))
     return metrics.select("*", *norms)
 
 
