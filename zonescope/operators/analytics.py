@@ -251,11 +251,13 @@ def quality_rules(sales: DataFrame, fact: DataFrame, features: DataFrame, season
     lat, lon = F.col("latitude"), F.col("longitude")
     outside = (lat < box["lat_min"]) | (lat > box["lat_max"]) | (lon < box["lon_min"]) | (lon > box["lon_max"])
     dup = fact.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("_c"))
-    # exact 1st/99th percentiles over all sales (one group, range-partitioned), read as scalars
-    bounds = exact_quantiles(fact, [], "price_m2_bati", {"p01": 0.01, "p99": 0.99})
+    # exact 1st/99th percentiles over all sales (one group, range-partitioned): one row, read as literals
+    bounds = exact_quantiles(fact, [], "price_m2_bati", {"p01": 0.01, "p99": 0.99}).first()
+    p01 = F.lit(bounds["p01"] if bounds else None).cast("double")
+    p99 = F.lit(bounds["p99"] if bounds else None).cast("double")
     price_bounds = fact.where(F.col("price_m2_bati").isNotNull()).select(
-        (F.col("price_m2_bati") < bounds.select("p01").scalar()).alias("_below"),
-        (F.col("price_m2_bati") > bounds.select("p99").scalar()).alias("_above"),
+        F.coalesce(F.col("price_m2_bati") < p01, F.lit(False)).alias("_below"),
+        F.coalesce(F.col("price_m2_bati") > p99, F.lit(False)).alias("_above"),
     )
     zones = features.select("zone_id", F.lit(True).alias("_known"))
     frames = [

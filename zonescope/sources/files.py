@@ -184,7 +184,9 @@ def read_bronze(
             raise FileNotFoundError(f"no bronze data for required dataset {spec.name!r}") from exc
         df = empty_raw(spark, spec)
     if latest_snapshot_only and "snapshot_date" in df.columns:
-        df = df.where(F.col("snapshot_date") == df.agg(F.max("snapshot_date")).scalar())
+        # A literal lets Spark prune the scan to the latest snapshot's partition.
+        latest = df.agg(F.max("snapshot_date")).first()[0]
+        df = df.where(F.col("snapshot_date") == F.lit(latest))
     df = df.drop("snapshot_date")
     wanted = [*spec.expected_columns, *(GRID_COLUMNS if spec.name in GRID_DATASETS else ()), *METADATA_COLUMNS]
     for column in wanted:
