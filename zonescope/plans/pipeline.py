@@ -88,8 +88,27 @@ def run_pipeline(
     latest_snapshot_only: bool = False,
     exact_median: bool = True,
     register_tables: bool = True,
+    retries: int = 1,
 ) -> PipelineResult:
-    """Run the whole batch once; returns the ingestion summary, marts and test report."""
+    """Run the whole batch; returns the ingestion summary, marts and test report.
+
+    A failed run is retried ``retries`` times: every write overwrites its own
+    snapshot partition or table, so a second attempt never duplicates data.
+    """
+    for attempt in range(retries + 1):
+        try:
+            return _run_once(spark, external_root, lake_root, snapshot_date, specs, latest_snapshot_only,
+                             exact_median, register_tables)
+        except FileNotFoundError:
+            raise                      # a missing required source will not appear on retry
+        except Exception:  # noqa: BLE001
+            if attempt == retries:
+                raise
+    raise AssertionError("unreachable")
+
+
+def _run_once(spark, external_root, lake_root, snapshot_date, specs, latest_snapshot_only, exact_median,
+              register_tables) -> PipelineResult:
     specs = specs or DEFAULT_SPECS
     bronze_root = posixpath.join(lake_root, "bronze")
     summary = [ingest_dataset(spark, spec, external_root, bronze_root, snapshot_date) for spec in specs.values()]
