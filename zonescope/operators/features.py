@@ -89,7 +89,7 @@ def zone_features(staged: dict[str, DataFrame]) -> DataFrame:
     return aggregated.select(*FEATURE_COLUMNS)
 
 
-def _per_source_aggregates(staged: dict[str, DataFrame]) -> list[tuple[str, DataFrame]]:
+def per_source_aggregates(staged: dict[str, DataFrame]) -> list[tuple[str, DataFrame]]:
     def keyed(name):
         return staged[name].where(F.col("code_commune").isNotNull())
 
@@ -122,7 +122,7 @@ def _per_source_aggregates(staged: dict[str, DataFrame]) -> list[tuple[str, Data
 
 def zone_features_join_chain(staged: dict[str, DataFrame]) -> DataFrame:
     """Same result as :func:`zone_features` via five chained full outer joins."""
-    parts = _per_source_aggregates(staged)
+    parts = per_source_aggregates(staged)
     # Joining by column name merges the key, so a zone seen by any source is one row.
     joined = reduce(lambda a, b: a.join(b, "code_commune", "full"), [df for _, df in parts])
     return joined.select(

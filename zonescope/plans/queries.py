@@ -107,7 +107,7 @@ class Query:
 
 def _source_agg(tag: str) -> Callable[[Models], DataFrame]:
     def build(m: Models) -> DataFrame:
-        return dict(feat._per_source_aggregates(m.staged))[tag]
+        return dict(feat.per_source_aggregates(m.staged))[tag]
 
     return build
 
