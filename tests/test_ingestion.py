@@ -119,3 +119,27 @@ def test_raw_write_modes_and_serving_guard(spark, workdir):
     empty.createOrReplaceTempView("empty_scores")
     with pytest.raises(LookupError):
         load_scores(spark, "empty_scores")
+
+
+def test_pipeline_retries_once(spark, workdir, monkeypatch):
+    from zonescope.plans import pipeline
+
+    calls = []
+    real = pipeline._run_once
+
+    def flaky(*args):
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("executor lost")
+        return real(*args)
+
+    monkeypatch.setattr(pipeline, "_run_once", flaky)
+    _write(f"{workdir}/external/dvf/a.csv", "date_mutation|valeur_fonciere|code_commune|nom_commune\n"
+                                            "2024-01-15|100000|01001|A\n")
+    for folder in ("tourism/poi", "tourism/labels", "accessibility"):
+        _write(f"{workdir}/external/{folder}/a.csv", "code_commune,nom_commune\n01001,A\n")
+    result = pipeline.run_pipeline(spark, f"{workdir}/external", f"{workdir}/lake", snapshot_date="2024-06-30")
+    assert len(calls) == 2
+    assert result.marts["location_tourism_score_latest"].count() == 1
+    with pytest.raises(FileNotFoundError):   # a missing required source is not retried
+        pipeline.run_pipeline(spark, f"{workdir}/nothing", f"{workdir}/lake2")
