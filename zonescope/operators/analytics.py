@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from zonescope.constants import PROFILES
 from zonescope.functions.columns import month_start, round_half_up
-from zonescope.operators.quantiles import exact_median, exact_quantiles, percent_rank
+from zonescope.operators.quantiles import exact_quantiles, group_median, percent_rank
+from zonescope.session import ensure_checkpoint_dir
 
 # Metric columns of the score table (name used in reports -> column).
 SCORE_METRICS = (
@@ -236,53 +237,69 @@ def weight_sensitivity(normed: DataFrame, profile: str = "rendement", delta: flo
 # X7 quality rules, X8 load monitoring
 # --------------------------------------------------------------------------
 
-def _rule_frame(model: str, rule: str, column: str, rows: Column, failing: Column, df: DataFrame) -> DataFrame:
-    return df.agg(rows.alias("row_count"), failing.alias("failing")).select(
-        F.lit(model).alias("model"), F.lit(rule).alias("rule"), F.lit(column).alias("column_name"),
-        "row_count", "failing", (F.col("failing") == 0).alias("passed"),
-    )
-
-
 def quality_rules(sales: DataFrame, fact: DataFrame, features: DataFrame, seasonal: DataFrame,
                   snapshot_col: str = "snapshot_date") -> DataFrame:
-    """Business rules as failing-row counts (uniqueness, ranges, bounds, geography, match, freshness)."""
-    n = F.count(F.lit(1))
+    """Business rules as failing-row counts (uniqueness, ranges, bounds, geography, match, freshness).
+
+    The fact rules share one checkpointed slim projection and one aggregate
+    pass; uniqueness is a partial-aggregated count per id; the price bounds are
+    exact 1st/99th percentiles (one global group, range-partitioned, one row).
+    """
+    ensure_checkpoint_dir(fact.sparkSession)
     box = FRANCE_BBOX
-    lat, lon = F.col("latitude"), F.col("longitude")
-    outside = (lat < box["lat_min"]) | (lat > box["lat_max"]) | (lon < box["lon_min"]) | (lon > box["lon_max"])
-    dup = fact.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("_c"))
-    # exact 1st/99th percentiles over all sales (one group, range-partitioned): one row, read as literals
-    bounds = exact_quantiles(fact, [], "price_m2_bati", {"p01": 0.01, "p99": 0.99}).first()
+    zones = features.select("zone_id", F.lit(True).alias("_known"))
+    slim = fact.select("transaction_id", "zone_id", "valeur_fonciere", "surface_reelle_bati", "price_m2_bati") \
+        .join(zones, "zone_id", "left").checkpoint()
+    bounds = exact_quantiles(slim, [], "price_m2_bati", {"p01": 0.01, "p99": 0.99}).first()
     p01 = F.lit(bounds["p01"] if bounds else None).cast("double")
     p99 = F.lit(bounds["p99"] if bounds else None).cast("double")
-    price_bounds = fact.where(F.col("price_m2_bati").isNotNull()).select(
-        F.coalesce(F.col("price_m2_bati") < p01, F.lit(False)).alias("_below"),
-        F.coalesce(F.col("price_m2_bati") > p99, F.lit(False)).alias("_above"),
+    price = F.col("price_m2_bati")
+    fact_counts = slim.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("valeur_fonciere") <= 0).alias("positive"),
+        F.count_if(F.col("surface_reelle_bati") < 0).alias("non_negative"),
+        F.count(price).alias("priced"),
+        F.count_if((price < p01) | (price > p99)).alias("within_p01_p99"),
+        F.count_if(F.col("zone_id").isNotNull()).alias("keyed"),
+        F.count_if(F.col("zone_id").isNotNull() & F.col("_known").isNull()).alias("zone_in_features"),
+    )
+    m = "fact_real_estate_transactions"
+    rule_rows = F.array(*[
+        F.struct(F.lit(m).alias("model"), F.lit(rule).alias("rule"), F.lit(col).alias("column_name"),
+                 F.col(total).alias("row_count"), F.col(rule).alias("failing"))
+        for rule, col, total in (("positive", "valeur_fonciere", "rows"), ("non_negative", "surface_reelle_bati", "rows"),
+                                 ("within_p01_p99", "price_m2_bati", "priced"), ("zone_in_features", "zone_id", "keyed"))
+    ])
+    fact_rules = fact_counts.select(F.inline(rule_rows))
+    dup = slim.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("_c"))
+    unique = dup.agg(F.sum("_c").alias("row_count"),
+                     F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0)).alias("failing")).select(
+        F.lit(m).alias("model"), F.lit("unique").alias("rule"), F.lit("transaction_id").alias("column_name"),
+        "row_count", "failing")
+    lat, lon = F.col("latitude"), F.col("longitude")
+    outside = (lat < box["lat_min"]) | (lat > box["lat_max"]) | (lon < box["lon_min"]) | (lon > box["lon_max"])
+    sales_rules = sales.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(lat.isNotNull() & lon.isNotNull() & outside).alias("bbox"),
+        F.when(F.datediff(F.max(snapshot_col), F.max("date_mutation")) > 365, F.lit(1)).otherwise(F.lit(0))
+        .alias("stale"),
+    ).select(F.inline(F.array(
+        F.struct(F.lit("stg_dvf_transactions").alias("model"), F.lit("in_france_bbox").alias("rule"),
+                 F.lit("latitude,longitude").alias("column_name"), F.col("n").alias("row_count"),
+                 F.col("bbox").alias("failing")),
+        F.struct(F.lit("stg_dvf_transactions").alias("model"), F.lit("fresh_within_365_days").alias("rule"),
+                 F.lit("date_mutation").alias("column_name"), F.col("n").alias("row_count"),
+                 F.col("stale").cast("long").alias("failing")),
+    )))
+    seasonal_rules = seasonal.agg(F.count(F.lit(1)).alias("row_count"),
+                                  F.count_if(F.col("seasonal_population_ratio") < 0).alias("failing")).select(
+        F.lit("stg_seasonal_population").alias("model"), F.lit("non_negative").alias("rule"),
+        F.lit("seasonal_population_ratio").alias("column_name"), "row_count", "failing")
+    out = reduce(DataFrame.unionByName, [unique, fact_rules, sales_rules, seasonal_rules])
+    return out.select(
+        "model", "rule", "column_name", F.col("row_count").cast("long").alias("row_count"),
+        F.col("failing").cast("long").alias("failing"), (F.col("failing") == 0).alias("passed"),
     )
-    zones = features.select("zone_id", F.lit(True).alias("_known"))
-    frames = [
-        _rule_frame("fact_real_estate_transactions", "unique", "transaction_id",
-                    F.sum("_c"), F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0)), dup),
-        _rule_frame("fact_real_estate_transactions", "positive", "valeur_fonciere", n,
-                    F.count_if(F.col("valeur_fonciere") <= 0), fact),
-        _rule_frame("fact_real_estate_transactions", "non_negative", "surface_reelle_bati", n,
-                    F.count_if(F.col("surface_reelle_bati") < 0), fact),
-        _rule_frame("fact_real_estate_transactions", "within_p01_p99", "price_m2_bati", n,
-                    F.count_if(F.col("_below") | F.col("_above")), price_bounds),
-        _rule_frame("stg_dvf_transactions", "in_france_bbox", "latitude,longitude", n,
-                    F.count_if(lat.isNotNull() & lon.isNotNull() & outside), sales),
-        _rule_frame("fact_real_estate_transactions", "zone_in_features", "zone_id", n,
-                    F.count_if(F.col("_known").isNull()),
-                    fact.where(F.col("zone_id").isNotNull()).join(zones, "zone_id", "left")),
-        _rule_frame("stg_seasonal_population", "non_negative", "seasonal_population_ratio", n,
-                    F.count_if(F.col("seasonal_population_ratio") < 0), seasonal),
-        _rule_frame("stg_dvf_transactions", "fresh_within_365_days", "date_mutation", n,
-                    F.when(F.datediff(F.max(snapshot_col), F.max("date_mutation")) > 365, F.lit(1))
-                    .otherwise(F.lit(0)).cast("long"), sales),
-    ]
-    out = reduce(DataFrame.unionByName, frames)
-    return out.withColumn("row_count", F.col("row_count").cast("long")).withColumn(
-        "failing", F.col("failing").cast("long"))
 
 
 def load_monitoring(raw: dict[str, DataFrame], expected: dict[str, tuple[str, ...]]) -> DataFrame:
@@ -346,11 +363,14 @@ def price_anomalies(fact: DataFrame, threshold: float = ANOMALY_THRESHOLD) -> Da
     per-zone table is joined back (broadcast when small, else a shuffle join
     whose skewed partitions AQE splits).
     """
+    ensure_checkpoint_dir(fact.sparkSession)
+    # The slim priced sales are read by every later step: checkpoint them once.
     priced = fact.where(F.col("zone_id").isNotNull() & F.col("price_m2_bati").isNotNull()).select(
-        "transaction_id", "zone_id", "price_m2_bati")
-    med = exact_median(priced, ["zone_id"], "price_m2_bati", "zone_median")
-    dev = priced.join(med, "zone_id").withColumn("_dev", F.abs(F.col("price_m2_bati") - F.col("zone_median")))
-    mad = exact_median(dev, ["zone_id"], "_dev", "zone_mad")
+        "transaction_id", "zone_id", "price_m2_bati").checkpoint()
+    med = group_median(priced, ["zone_id"], "price_m2_bati", "zone_median")
+    dev = priced.join(med, "zone_id").withColumn(
+        "_dev", F.abs(F.col("price_m2_bati") - F.col("zone_median"))).checkpoint()
+    mad = group_median(dev, ["zone_id"], "_dev", "zone_mad")
     scored = dev.join(mad, "zone_id").withColumn(
         "robust_z",
         F.lit(MAD_SCALE) * (F.col("price_m2_bati") - F.col("zone_median")) / F.nullif(F.col("zone_mad"), F.lit(0.0)),

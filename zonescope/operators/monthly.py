@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonescope.functions.columns import month_start
-from zonescope.operators.quantiles import exact_median
+from zonescope.operators.quantiles import MAX_GATHERED_GROUP_ROWS, exact_median
 from zonescope.session import ensure_checkpoint_dir
 
 ZONE_MONTH_COLUMNS = (
@@ -21,10 +21,6 @@ ZONE_MONTH_COLUMNS = (
 )
 
 
-# A group may be gathered in one task by ``percentile`` only below this many rows.
-MAX_GATHERED_GROUP_ROWS = 250_000
-
-
 def zone_month_prices(
     fact: DataFrame,
     exact: bool = True,

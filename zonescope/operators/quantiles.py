@@ -136,6 +136,29 @@ def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median"
     return exact_quantiles(df, keys, value, {out: 0.5})
 
 
+# A group may be gathered in one task by ``percentile`` only below this many rows.
+MAX_GATHERED_GROUP_ROWS = 250_000
+
+
+def group_median(
+    df: DataFrame, keys: list[str], value: str, out: str = "median",
+    max_gathered_group_rows: int = MAX_GATHERED_GROUP_ROWS,
+) -> DataFrame:
+    """Exact median per group, choosing the plan from the exact group sizes.
+
+    When the largest group (non-NULL values) is proven to hold at most
+    ``max_gathered_group_rows`` rows, Spark's ``percentile`` (one shuffle) is
+    used; otherwise :func:`exact_median`.  The size check is one aggregate pass
+    over ``df``, so pass a materialised (checkpointed) input.  Groups whose
+    values are all NULL are absent either way.
+    """
+    valued = df.where(F.col(value).isNotNull())
+    largest = valued.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    if largest <= max_gathered_group_rows:
+        return valued.groupBy(*keys).agg(F.percentile(F.col(value).cast("double"), 0.5).alias(out))
+    return exact_median(df, keys, value, out)
+
+
 def percent_rank(df: DataFrame, keys: list[str], value: str, out: str = "percent_rank") -> DataFrame:
     """``df`` with ``out`` = (rank - 1) / (n - 1) of ``value`` within its group
     (0 for a group of one; NULL for a NULL value), without gathering a group."""
