@@ -320,20 +320,21 @@ def load_monitoring(raw: dict[str, DataFrame], expected: dict[str, tuple[str, ..
 
 
 def geo_match_rate(raw: dict[str, DataFrame], geo_name: str = "geographic_reference") -> DataFrame:
-    """Share of each dataset's rows whose commune code exists in the geographic reference."""
+    """Share of each dataset's rows whose commune code exists in the geographic reference.
+
+    All datasets' codes are stacked and joined once with the distinct reference
+    codes (one row per code: broadcast when small, otherwise a shuffle join
+    whose skewed partitions AQE splits), then counted per dataset.
+    """
     codes = raw[geo_name].where(F.col("code_commune") != "").select("code_commune").distinct() \
         .withColumn("_known", F.lit(True))
-    frames = []
-    for name, df in raw.items():
-        if name == geo_name or "code_commune" not in df.columns:
-            continue
-        keyed = df.select("code_commune").join(codes, "code_commune", "left")
-        frames.append(keyed.agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.count_if(F.col("_known")).alias("matched"),
-        ).select(F.lit(name).alias("dataset"), "row_count", "matched",
-                 (F.col("matched") / F.nullif(F.col("row_count"), F.lit(0)).cast("double")).alias("match_rate")))
-    return reduce(DataFrame.unionByName, frames)
+    parts = [df.select(F.lit(name).alias("dataset"), "code_commune")
+             for name, df in raw.items() if name != geo_name and "code_commune" in df.columns]
+    stacked = reduce(DataFrame.unionByName, parts)
+    counted = stacked.join(codes, "code_commune", "left").groupBy("dataset").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("_known")).alias("matched"))
+    return counted.select("dataset", "row_count", "matched",
+                          (F.col("matched") / F.nullif(F.col("row_count"), F.lit(0)).cast("double")).alias("match_rate"))
 
 
 # --------------------------------------------------------------------------
