@@ -143,3 +143,16 @@ def test_pipeline_retries_once(spark, workdir, monkeypatch):
     assert result.marts["location_tourism_score_latest"].count() == 1
     with pytest.raises(FileNotFoundError):   # a missing required source is not retried
         pipeline.run_pipeline(spark, f"{workdir}/nothing", f"{workdir}/lake2")
+
+
+def test_multiline_spec_and_manifest(spark, workdir):
+    _write(f"{workdir}/ml/a.csv", 'code_commune,nom_commune\n01001,"Saint-\nDenis"\n01002,B\n')
+    _write(f"{workdir}/manifest.yml", "datasets:\n  geo:\n    path_glob: ml/*\n    required_for_mvp: true\n"
+                                      "    multiline: true\n    expected_columns: [code_commune, nom_commune]\n")
+    from zonescope.sources.specs import load_manifest
+
+    spec = load_manifest(f"{workdir}/manifest.yml")["geo"]
+    assert spec.multiline and spec.required and spec.expected_columns == ("code_commune", "nom_commune")
+    assert ing.ingest_dataset(spark, spec, workdir, f"{workdir}/bronze", "2024-01-01")["rows"] == 2
+    names = {r.code_commune: r.nom_commune for r in ing.read_bronze(spark, spec, f"{workdir}/bronze").collect()}
+    assert names == {"01001": "Saint-\nDenis", "01002": "B"}

@@ -140,13 +140,14 @@ def ingest_dataset(
     external_root: str,
     bronze_root: str,
     snapshot_date: str | None = None,
-    multiline: bool = False,
+    multiline: bool | None = None,
 ) -> dict:
     """Files of one dataset -> bronze Parquet under ``snapshot_date=`` (K1, K2, K5).
 
     Returns a summary: dataset, file count, rows written.
     """
     snapshot_date = snapshot_date or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d")
+    multiline = spec.multiline if multiline is None else multiline
     files = discover_files(spark, external_root, spec.path_glob)
     if not files:
         if spec.required:
@@ -213,6 +214,17 @@ def write_raw(df: DataFrame, path: str, mode: str = "replace") -> None:
     df.write.mode("overwrite" if mode == "replace" else "append").parquet(path)
 
 
+def write_raw_jdbc(df: DataFrame, url: str, table: str, mode: str = "replace", properties: dict | None = None,
+                   batchsize: int = 5000) -> None:
+    """Raw table in a relational database through Spark's JDBC sink, in
+    multi-row batches of ``batchsize`` (K3).  Not exercised by the tests: no
+    database is started in this environment."""
+    if mode not in ("replace", "append"):
+        raise ValueError("mode must be 'replace' or 'append'")
+    props = {"batchsize": str(batchsize), **(properties or {})}
+    df.write.jdbc(url, table, mode="overwrite" if mode == "replace" else "append", properties=props)
+
+
 def ingest_counts(raw: DataFrame) -> DataFrame:
     """Rows per dataset and source file (K5)."""
     return raw.groupBy("_dataset_name", "_source_file").agg(F.count(F.lit(1)).alias("row_count"))
