@@ -5,15 +5,17 @@ processed once (the checkpoint records it).  Every micro-batch, in
 ``foreachBatch``:
 
 1. appends its raw rows to bronze under ``snapshot_date=<d>/_batch=<epoch>``
-   and its typed sales to a silver fact table partitioned by
-   ``month_key=<m>/_batch=<epoch>``, both with dynamic partition overwrite, so
-   a replayed epoch rewrites its own partitions instead of duplicating rows;
+   (dynamic partition overwrite: a replayed epoch rewrites its own partition);
 2. finds the months the batch touches (late sales simply reopen their month;
    the list is bounded by the calendar, not by the data);
-3. recomputes those months from the silver fact, reading only their
-   partitions (partition pruning), and overwrites only those ``month_key``
-   partitions of the monthly mart.  A batch costs what its months hold, not
-   the whole history.
+3. rebuilds those months of the silver fact (partitioned by ``month_key``):
+   the month's earlier rows, minus any rows of this same epoch (replay), plus
+   the batch; the result is checkpointed, then written over just those month
+   partitions — so a month stays one compact set of files and a replay never
+   duplicates rows;
+4. recomputes the monthly mart for those months from that same data and
+   overwrites only their ``month_key`` partitions.  A batch costs what its
+   months hold, not the whole history.
 
 No watermark is needed: a month is recomputed whenever a sale for it arrives.
 ``trigger(availableNow=True)`` processes everything present, then stops.
@@ -30,7 +32,7 @@ from pyspark.sql.streaming import StreamingQuery
 from zonescope.functions.columns import grid_cell, month_start, to_double
 from zonescope.operators.monthly import zone_month_prices
 from zonescope.operators.staging import sales_fact, stg_sales
-from zonescope.session import scratch_path
+from zonescope.session import ensure_checkpoint_dir, scratch_path
 from zonescope.sources.specs import DEFAULT_SPECS, DatasetSpec
 
 
@@ -67,20 +69,28 @@ def process_batch(
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("snapshot_date", "_batch").parquet(bronze_path))
     written = spark.read.parquet(bronze_path).where(F.col("_batch") == epoch).drop("snapshot_date", "_batch")
-    fact = sales_fact(stg_sales(written)).withColumn("month_key", month_start("date_mutation")) \
-        .withColumn("_batch", F.lit(epoch))
-    (fact.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("month_key", "_batch").parquet(silver_path))
+    fact = (sales_fact(stg_sales(written)).withColumn("month_key", month_start("date_mutation"))
+            .withColumn("_batch", F.lit(epoch)).checkpoint())
     # The touched months: at most one value per calendar month, so a short list.
-    months = [r[0] for r in spark.read.parquet(silver_path).where(F.col("_batch") == epoch)
-              .where(F.col("zone_id").isNotNull()).select("month_key").distinct().collect()]
-    dated = [m for m in months if m is not None]
+    months = [r[0] for r in fact.select("month_key").distinct().collect()]
     if not months:
         return
+    dated = [m for m in months if m is not None]
     touched = F.col("month_key").isin(dated) if dated else F.lit(False)
     if len(dated) < len(months):
         touched = touched | F.col("month_key").isNull()   # the unreadable-date group
-    affected = spark.read.parquet(silver_path).where(touched).drop("month_key", "_batch")
+    try:
+        earlier = spark.read.parquet(silver_path).where(touched & (F.col("_batch") != epoch))
+        combined = earlier.unionByName(fact.select(*earlier.columns))
+    except Exception as exc:  # noqa: BLE001 - first batch: no silver table yet
+        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+            raise
+        combined = fact
+    # Cut the lineage before overwriting the partitions it was read from.
+    combined = combined.checkpoint()
+    (combined.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("month_key").parquet(silver_path))
+    affected = combined.where(F.col("zone_id").isNotNull()).drop("month_key", "_batch")
     (zone_month_prices(affected).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("month_key").parquet(mart_path))
 
@@ -113,6 +123,8 @@ def start_sales_stream(
     mart_path = posixpath.join(lake_root, "marts", "real_estate_zone_monthly")
     checkpoint = checkpoint or scratch_path(spark, f"streams/{spec.name}")
 
+    ensure_checkpoint_dir(spark)
+
     def handle(batch: DataFrame, epoch: int) -> None:
         process_batch(spark, batch, epoch, spec, external_root, bronze_path, mart_path, snapshot_date)
 
