@@ -310,9 +310,11 @@ def rounded(select: str, double_cols) -> str:
     return f"SELECT * REPLACE ({repl}) FROM ({select}) AS q"
 
 
-def top_zones_sql(profile: str, min_transactions: int = 0, min_poi: int = 0, top_n: int = TOP_N_DEFAULT) -> str:
+def top_zones_sql(profile: str, min_transactions: int = 0, min_poi: int = 0, top_n: int = TOP_N_DEFAULT,
+                  extra_columns: tuple[str, ...] = ()) -> str:
     score = f"score_{profile}"
     cols = [("zone_id", "zone_id")] + [(score if src == "score" else src, dst) for src, dst in DISPLAY_COLUMNS]
+    cols += [(c, c) for c in extra_columns]
     select = ", ".join(f"{src} AS {dst}" for src, dst in cols)
     limit = max(TOP_N_MIN, min(int(top_n), TOP_N_MAX))
     return (

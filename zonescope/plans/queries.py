@@ -265,8 +265,7 @@ QUERIES: list[Query] = [
     Query("chart_points", "P15", lambda m: serving.chart_points(serving.rank_zones(m.scores)),
           _sql("SELECT zone_id, commune AS zone_label, score, potentiel_touristique AS tourism_potential_proxy, "
                "ticket_entree_benchmark AS benchmark_entry_ticket_est, tourism_poi_count FROM ("
-               + oracle.top_zones_sql("rendement").replace(
-                   "FROM scores", ", tourism_poi_count FROM scores", 1) + ")",
+               + oracle.top_zones_sql("rendement", extra_columns=("tourism_poi_count",)) + ")",
                ["score", "tourism_potential_proxy", "benchmark_entry_ticket_est"])),
     Query("not_null_report", "Q1 Q2", _not_null, _sql(_not_null_sql())),
     Query("ingest_counts", "K5 U0 P2", _ingest_counts, _sql(_INGEST_SQL)),
