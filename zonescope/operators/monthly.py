@@ -63,11 +63,12 @@ def zone_month_prices(
     stats = base.groupBy(*keys).agg(*algebraic).checkpoint()
     largest = stats.agg(F.max("transaction_count")).first()[0] or 0
     if largest <= max_gathered_group_rows:
-        medians = base.groupBy(*keys).agg(
+        # Every group is proven small: one aggregation gives statistics and medians.
+        return base.groupBy(*keys).agg(
+            *algebraic,
             F.percentile("price_m2_bati", 0.5).alias("median_price_m2_bati"),
             F.percentile("price_m2_terrain", 0.5).alias("median_price_m2_terrain"),
-        )
-        return _merge(stats, medians, keys)
+        ).select(*ZONE_MONTH_COLUMNS)
     # Both measures go through one rank selection, told apart by a measure key.
     stacked = base.select(
         *keys,
