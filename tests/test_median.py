@@ -111,3 +111,20 @@ def test_zone_month_paths_agree(spark):
     ranked = round_doubles(zone_month_prices(fact, max_gathered_group_rows=0))  # rank selection forced
     assert fast.count() == ranked.count() > 0
     assert fast.exceptAll(ranked).count() == 0 and ranked.exceptAll(fast).count() == 0
+
+
+def test_group_helpers_paths_agree(spark):
+    from zonescope.operators.quantiles import group_median, group_percent_rank, group_quantiles
+
+    rnd = random.Random(5)
+    rows = [(f"g{i % 4}", float(rnd.randint(0, 50))) for i in range(400)] + [("g0", None), (None, 1.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+
+    def as_set(frame):
+        return {tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in frame.collect()}
+
+    for fn, extra in ((group_quantiles, ({"a": 0.05, "b": 0.5, "c": 0.95},)), (group_median, ()),
+                      (group_percent_rank, ())):
+        fast = fn(df, ["g"], "v", *extra)
+        ranked = fn(df, ["g"], "v", *extra, max_gathered_group_rows=0)
+        assert as_set(fast.select(*sorted(fast.columns))) == as_set(ranked.select(*sorted(ranked.columns))), fn

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from zonescope.constants import PROFILES
 from zonescope.functions.columns import month_start, round_half_up
-from zonescope.operators.quantiles import exact_quantiles, group_median, percent_rank
+from zonescope.operators.quantiles import group_median, group_percent_rank, group_quantiles
 from zonescope.session import ensure_checkpoint_dir
 
 # Metric columns of the score table (name used in reports -> column).
@@ -131,7 +131,7 @@ def robust_norms(scores: DataFrame, low: float = 0.05, high: float = 0.95) -> Da
     (seven, a fixed bound) and is broadcast.
     """
     long = _stack(scores, ["zone_id"], SCORE_METRICS)
-    q = exact_quantiles(long, ["metric"], "value", {"q_low": low, "q_high": high})
+    q = group_quantiles(long, ["metric"], "value", {"q_low": low, "q_high": high})
     joined = long.join(F.broadcast(q), "metric", "left")
     span = F.col("q_high") - F.col("q_low")
     raw = (F.col("value") - F.col("q_low")) / F.nullif(span, F.lit(0.0))
@@ -146,7 +146,7 @@ def segment_percent_rank(scores: DataFrame, profile: str = "rendement", segment:
     """Percent rank of a profile score within a segment (region by default)."""
     score = f"score_{profile}"
     base = scores.select("zone_id", segment, score)
-    return percent_rank(base, [segment], score, "percent_rank")
+    return group_percent_rank(base, [segment], score, "percent_rank")
 
 
 # --------------------------------------------------------------------------
@@ -250,7 +250,7 @@ def quality_rules(sales: DataFrame, fact: DataFrame, features: DataFrame, season
     zones = features.select("zone_id", F.lit(True).alias("_known"))
     slim = fact.select("transaction_id", "zone_id", "valeur_fonciere", "surface_reelle_bati", "price_m2_bati") \
         .join(zones, "zone_id", "left").checkpoint()
-    bounds = exact_quantiles(slim, [], "price_m2_bati", {"p01": 0.01, "p99": 0.99}).first()
+    bounds = group_quantiles(slim, [], "price_m2_bati", {"p01": 0.01, "p99": 0.99}).first()
     p01 = F.lit(bounds["p01"] if bounds else None).cast("double")
     p99 = F.lit(bounds["p99"] if bounds else None).cast("double")
     price = F.col("price_m2_bati")

@@ -140,6 +140,40 @@ def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median"
 MAX_GATHERED_GROUP_ROWS = 250_000
 
 
+def _largest_group(valued: DataFrame, keys: list[str]) -> int:
+    sizes = valued.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.agg(F.max("_n")).first()[0] or 0
+
+
+def group_quantiles(
+    df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
+    max_gathered_group_rows: int = MAX_GATHERED_GROUP_ROWS,
+) -> DataFrame:
+    """Like :func:`exact_quantiles`, choosing the plan from the exact group sizes:
+    Spark's ``percentile`` (one shuffle) when the largest group is proven to
+    hold at most ``max_gathered_group_rows`` values, the rank selection
+    otherwise.  The size check is one aggregate pass: pass a materialised input."""
+    valued = df.where(F.col(value).isNotNull())
+    if _largest_group(valued, keys) > max_gathered_group_rows:
+        return exact_quantiles(df, keys, value, probs)
+    q = valued.groupBy(*keys).agg(F.percentile(F.col(value).cast("double"), list(probs.values())).alias("_q"))
+    return q.select(*keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)])
+
+
+def group_percent_rank(
+    df: DataFrame, keys: list[str], value: str, out: str = "percent_rank",
+    max_gathered_group_rows: int = MAX_GATHERED_GROUP_ROWS,
+) -> DataFrame:
+    """Like :func:`percent_rank`, with Spark's ``percent_rank()`` window when every
+    group is proven small (rows with a NULL value get NULL, as in the rank path)."""
+    valued = df.where(F.col(value).isNotNull())
+    if _largest_group(valued, keys) > max_gathered_group_rows:
+        return percent_rank(df, keys, value, out)
+    window = Window.partitionBy(*keys).orderBy(F.col(value).cast("double"))
+    ranked = valued.withColumn(out, F.percent_rank().over(window))
+    return ranked.unionByName(df.where(F.col(value).isNull()).withColumn(out, F.lit(None).cast("double")))
+
+
 def group_median(
     df: DataFrame, keys: list[str], value: str, out: str = "median",
     max_gathered_group_rows: int = MAX_GATHERED_GROUP_ROWS,
@@ -153,8 +187,7 @@ def group_median(
     values are all NULL are absent either way.
     """
     valued = df.where(F.col(value).isNotNull())
-    largest = valued.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-    if largest <= max_gathered_group_rows:
+    if _largest_group(valued, keys) <= max_gathered_group_rows:
         return valued.groupBy(*keys).agg(F.percentile(F.col(value).cast("double"), 0.5).alias(out))
     return exact_median(df, keys, value, out)
 
