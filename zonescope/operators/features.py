@@ -90,6 +90,12 @@ def zone_features(staged: dict[str, DataFrame]) -> DataFrame:
 
 
 def per_source_aggregates(staged: dict[str, DataFrame]) -> list[tuple[str, DataFrame]]:
+    """The six per-zone source aggregates (POI counts, label flags, travel
+    minutes, seasonal averages, supply maxima, geography), each keyed by
+    ``code_commune`` with its own ``nom_<source>`` label.  Every aggregate is
+    partial-aggregated per task, so a zone with many rows is combined before
+    the shuffle."""
+
     def keyed(name):
         return staged[name].where(F.col("code_commune").isNotNull())
 
