@@ -47,8 +47,9 @@ def latest_snapshot_dedup(m) -> DataFrame:
 
 def incremental_zone_month(m) -> DataFrame:
     """ST1 end to end: the sales rendering is dropped as CSV files (one per
-    shipping year range) and ingested by the streaming job, one file per
-    micro-batch; the monthly mart it maintains is returned."""
+    shipping-year range) and ingested by the streaming job, two files per
+    micro-batch, so later batches reopen months published by earlier ones; the
+    monthly mart it maintains is returned."""
     from zonescope.streaming.incremental import read_monthly_mart, start_sales_stream
 
     spec = DEFAULT_SPECS["dvf_mutations"]
@@ -58,7 +59,7 @@ def incremental_zone_month(m) -> DataFrame:
     (m.raw["dvf_mutations"].repartitionByRange(4, "_source_file").select(*spec.expected_columns)
      .write.option("header", True).option("sep", spec.delimiter).csv(drop))
     query = start_sales_stream(m.spark, external, f"{run}/lake", "2024-06-30", checkpoint=f"{run}/checkpoint",
-                               max_files_per_trigger=1)
+                               max_files_per_trigger=2)
     query.awaitTermination()
     return read_monthly_mart(m.spark, f"{run}/lake")
 
