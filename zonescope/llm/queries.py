@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonescope.llm import bpe, lang_id, minmax_hash, packing, quality_rules, superkmer
+from zonescope.llm import bpe, chat_format, lang_id, license_scan, maxent, minmax_hash, packing, pivot_index, quality_rules, superkmer
 from zonescope.llm.common import crc_bucket, id_and_text, stored
 from zonescope.llm.oracle import ORACLES
 
@@ -27,6 +27,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_index.near_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 def op3_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_hash.near_duplicates(_read(spark, sf_dir, "documents"), width=2)
 
@@ -50,6 +54,14 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(slim).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op7_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(_read(spark, sf_dir, "documents"), crc_bucket(F.col("doc_id"), 7) == 2)
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_read(spark, sf_dir, "documents"))
+
+
 def op9_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", F.coalesce(crc_bucket(F.col("doc_id"), 5) == 0, F.lit(False)))
@@ -57,13 +69,24 @@ def op9_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.sql(f"select * from values (-1L, 0L, 'user', '{said}'), (-1L, 1L, 'assistant', '{said}') as t(conv_id, turn, role, text)")
+    return chat_format.digests(chat_format.format_conversations(rows.unionByName(extra)))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op2_pivot_index": op2_pivot_index,
     "op3_minmax_dedup": op3_minmax_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_superkmer_dedup": op5_superkmer_dedup,
     "op6_packing": op6_packing,
+    "op7_maxent": op7_maxent,
+    "op8_license_scan": op8_license_scan,
     "op9_lang_id": op9_lang_id,
+    "op10_chat_format": op10_chat_format,
 }
 
 
