@@ -3,12 +3,12 @@
 A window is ``WINDOW`` consecutive words of one document.  Its minimiser is
 the least hash among its runs of ``MINIMISER`` words; consecutive windows that
 share a minimiser travel as one packed string (a super-k-mer) to the
-minimiser's bucket.  In a bucket the windows of the packed strings are sorted,
+minimiser's bucket, those of one batch and bucket compressed together.  In a bucket the windows of the packed strings are sorted,
 and equal neighbours give the smallest document that holds a window.  Every
 word covered by a window that also starts in a document with a smaller id is
 removed; windows are judged on the input.
 
-Buckets that hold a large share of all super-k-mers are found first by a
+Minimisers that would fill a planned bucket by themselves are found first by a
 bounded count (every task hands on only minimisers that make up a share of
 ``HOT_SHARE / 2`` of what it has read, so at most ``4 / HOT_SHARE`` are hot), and
 buckets over ``BUCKET_ROWS`` are noticed while they are read.  Both are judged
@@ -35,15 +35,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonescope.llm.common import arrow_map, byte_texts, ship, slices, stored
+from zonescope.llm.common import arrow_map, byte_texts, ship, stored
 from zonescope.llm.minmax_hash import shingle_hashes, word_hashes
 
 WINDOW = 13
-MINIMISER = 4
+MINIMISER = 3
 #: A run of windows is cut after so many, so that a packed string is short.
 RUN = 128
 HOT_SHARE = 1 / 2000
-BUCKET_ROWS = 50_000
+#: A bucket is planned to hold an eighth of this, and spread if it holds more.
+BUCKET_ROWS = 1_000_000
+MIN_BUCKETS = 128
 
 
 def runs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,8 +71,8 @@ def text_key(text: bytes) -> int:
     return xxhash.xxh3_64_intdigest(text) - 2**63
 
 
-def hot_minimisers(docs: DataFrame) -> list[int]:
-    """Minimisers that make up ``HOT_SHARE`` of all super-k-mers or more; the list is bounded (see the module)."""
+def hot_minimisers(docs: DataFrame) -> tuple[list[int], int]:
+    """Minimisers with more super-k-mers than a planned bucket and a share of ``HOT_SHARE / 2`` of all (a bounded list), and the number of all."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         found = [runs(w)[0] for w in (t.split() for t in byte_texts(batch)) if len(w) >= WINDOW]
@@ -85,19 +87,43 @@ def hot_minimisers(docs: DataFrame) -> list[int]:
     counted = arrow_map(docs, "mini long, n long, total boolean", lambda: step).groupBy("mini", "total").agg(F.sum("n").alias("n"))
     counted = stored(counted, "hot-counts")
     total = counted.where("total").agg(F.sum("n")).first()[0] or 0
-    hot = counted.where(~F.col("total") & (F.col("n") >= F.lit(max(1000, total * HOT_SHARE / 2)))).select("mini")
-    return [row[0] for row in hot.limit(int(4 / HOT_SHARE)).toLocalIterator()]
+    hot = counted.where(~F.col("total") & (F.col("n") >= F.lit(max(BUCKET_ROWS // 8, total * HOT_SHARE / 2)))).select("mini")
+    return [row[0] for row in hot.limit(int(4 / HOT_SHARE)).toLocalIterator()], total
 
 
-def _super_kmers(docs: DataFrame, hot: list[int]) -> DataFrame:
-    """(bucket, hot, doc_id, text_key, start, packed); a hot minimiser's rows are dealt by their packed string instead."""
-    hot_set = docs.sparkSession.sparkContext.broadcast(frozenset(hot))
+class Parcel:
+    """Super-k-mers on their way to one bucket: numbers as arrays, packed strings line by line, compressed together."""
+
+    @staticmethod
+    def pack(docs: np.ndarray, keys: np.ndarray, owner: np.ndarray, starts: np.ndarray, minis: np.ndarray, rows: list[bytes]) -> bytes:
+        used, owner = np.unique(owner, return_inverse=True)
+        steps = np.diff(owner, prepend=0)
+        head = np.array([len(used), len(rows)], "<u4")
+        numbers = (head, docs[used].astype("<i8"), keys[used].astype("<i8"), steps.astype("<i4"), starts.astype("<i4"), minis.astype("<u4"))
+        return b"".join([*(x.tobytes() for x in numbers), b"\n".join(rows)])
+
+    @staticmethod
+    def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """Document, text key, start, minimiser and packed string of every super-k-mer."""
+        n_docs, n = np.frombuffer(data, "<u4", 2).tolist()
+        docs, keys = np.frombuffer(data, "<i8", 2 * n_docs, 8).reshape(2, n_docs)
+        steps, starts, minis = np.frombuffer(data, "<u4", 3 * n, 8 + 16 * n_docs).reshape(3, n)
+        owner = np.cumsum(steps.view("<i4"))
+        return docs[owner], keys[owner], starts.view("<i4"), minis, data[8 + 16 * n_docs + 12 * n :].split(b"\n")
+
+
+def _super_kmers(docs: DataFrame, hot: list[int], buckets: int) -> DataFrame:
+    """(bucket, parcel): a batch's super-k-mers by the bucket of their minimiser.
+
+    Those of hot minimisers go to further buckets by their packed string.
+    """
+    hot_minis = docs.sparkSession.sparkContext.broadcast(np.sort(np.array(hot, np.int64)))
 
     def make():
-        crowded = hot_set.value
+        compress, crowded = zstandard.ZstdCompressor(level=3).compress, hot_minis.value
 
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            buckets, flags, docs_, keys, starts_, packed = [], [], [], [], [], []
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+            ids, keys, owner, starts_, minis_, rows = [], [], [], [], [], []
             for doc, text in zip(batch.column("doc_id").to_pylist(), byte_texts(batch), strict=True):
                 words = text.split()
                 if len(words) < WINDOW:
@@ -106,27 +132,30 @@ def _super_kmers(docs: DataFrame, hot: list[int]) -> DataFrame:
                 line = b" ".join(words)
                 at = np.zeros(len(words) + 1, np.int64)
                 np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1, out=at[1:])
-                rows = [line[a : b - 1] for a, b in zip(at[starts].tolist(), at[ends + WINDOW - 1].tolist(), strict=True)]
-                minis = minis.tolist()
-                if crowded:
-                    is_hot = [m in crowded for m in minis]
-                    minis = [xxhash.xxh3_64_intdigest(r) - 2**63 if h else m for m, h, r in zip(minis, is_hot, rows, strict=True)]
-                else:
-                    is_hot = [False] * len(minis)
-                buckets += minis
-                flags += is_hot
-                packed += rows
-                starts_ += starts.tolist()
-                docs_ += [doc] * len(minis)
-                keys += [text_key(text)] * len(minis)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(buckets, pa.int64()), pa.array(flags, pa.bool_()), pa.array(docs_, pa.int64()), pa.array(keys, pa.int64()), pa.array(starts_, pa.int32()), pa.array(packed, pa.binary())],
-                names=["bucket", "hot", "doc_id", "text_key", "start", "packed"],
-            )
+                rows += [line[a : b - 1] for a, b in zip(at[starts].tolist(), at[ends + WINDOW - 1].tolist(), strict=True)]
+                owner.append(np.full(len(starts), len(ids)))
+                ids.append(doc)
+                keys.append(text_key(text))
+                starts_.append(starts)
+                minis_.append(minis)
+            if not ids:
+                return None
+            minis, owner, starts, ids, keys = np.concatenate(minis_), np.concatenate(owner), np.concatenate(starts_), np.array(ids), np.array(keys)
+            bucket = (minis.view(np.uint64) >> np.uint64(33)).astype(np.int64) % buckets
+            for i in np.flatnonzero(np.isin(minis, crowded)).tolist() if len(crowded) else ():
+                bucket[i] = buckets + xxhash.xxh3_64_intdigest(rows[i]) % buckets
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0])).tolist() + [len(order)]
+            numbers, parcels = [], []
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                some = order[a:b]
+                numbers.append(int(bucket[some[0]]))
+                parcels.append(compress(Parcel.pack(ids, keys, owner[some], starts[some], minis[some].view(np.uint64) & np.uint64(2**32 - 1), [rows[i] for i in some.tolist()])))
+            return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(parcels, pa.binary())], names=["bucket", "parcel"])
 
         return step
 
-    return arrow_map(docs, "bucket long, hot boolean, doc_id long, text_key long, start int, packed binary", make)
+    return arrow_map(docs, "bucket int, parcel binary", make)
 
 
 def windows_of(packed: bytes) -> list[bytes]:
@@ -183,45 +212,52 @@ class _Spans:
         for row in rows:
             self.remove(row, [i for i, w in enumerate(cut[row[3]]) if holder[w] < row[0]])
 
-    def take(self) -> pa.RecordBatch | None:
-        if not self.rows:
-            return None
-        columns = list(zip(*self.rows, strict=True))
-        self.rows = []
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "text_key", "start", "end", "packed"])
-
-
-def _judge_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Buckets arrive one after another; one that grows over BUCKET_ROWS is passed on row by row."""
-    spans, current, group, over = _Spans(), None, [], False
-    for whole in batches:
-        for batch in slices(whole, 4 << 20):
-            hot = batch.column("hot").to_pylist()
-            rows = zip(*(batch.column(n).to_pylist() for n in ("doc_id", "text_key", "start", "packed")), strict=True)
-            for bucket, is_hot, row in zip(batch.column("bucket").to_pylist(), hot, rows, strict=True):
-                if is_hot:
-                    spans.pass_on([row])
-                    continue
+    def take(self, least: int) -> Iterator[pa.RecordBatch]:
+        """What has been found so far, once there are ``least`` rows."""
+        if len(self.rows) >= least:
+            rows, self.rows = self.rows, []
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+            for i in range(0, len(rows), 20_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 20_000], strict=True), kinds, strict=True)], names=["doc_id", "text_key", "start", "end", "packed"])
+
+
+def _judge_buckets(buckets: int):
+    """Buckets arrive one after another; one that grows over BUCKET_ROWS, or holds hot minimisers, is passed on row by row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        spans, current, parts, size, over = _Spans(), None, [], 0, False
+        for batch in batches:
+            for bucket, parcel in zip(batch.column("bucket").to_pylist(), batch.column("parcel"), strict=True):
                 if bucket != current:
-                    if not over and len(group) > 1:
-                        spans.judge(group)
-                    current, group, over = bucket, [], False
+                    _judge_bucket(spans, parts)
+                    current, parts, size, over = bucket, [], 0, bucket >= buckets
+                parts.append(Parcel.unpack(unpack(parcel.as_py())))
+                size += len(parts[-1][0])
+                over = over or size > BUCKET_ROWS
                 if over:
-                    spans.pass_on([row])
-                    continue
-                group.append(row)
-                if len(group) > BUCKET_ROWS:
-                    spans.pass_on(group)
-                    group, over = [], True
-            out = spans.take()
-            if out is not None:
-                yield out
-    if not over and len(group) > 1:
-        spans.judge(group)
-    out = spans.take()
-    if out is not None:
-        yield out
+                    for docs, keys, starts, _, rows in parts:
+                        spans.pass_on(list(zip(docs.tolist(), keys.tolist(), starts.tolist(), rows, strict=True)))
+                    parts = []
+                yield from spans.take(20_000)
+        _judge_bucket(spans, parts)
+        yield from spans.take(1)
+
+    return run
+
+
+def _judge_bucket(spans: _Spans, parts: list[tuple]) -> None:
+    """Sort a bucket by minimiser and judge the minimisers that two or more super-k-mers share."""
+    if not parts:
+        return
+    docs, keys, starts, minis = (np.concatenate([p[i] for p in parts]) for i in range(4))
+    rows = [r for p in parts for r in p[4]]
+    order = np.argsort(minis, kind="stable")
+    cuts = np.append(np.flatnonzero(np.concatenate([[True], np.diff(minis[order].astype(np.int64)) != 0])), len(order))
+    several = np.flatnonzero(np.diff(cuts) > 1)
+    for a, b in zip(cuts[several].tolist(), cuts[several + 1].tolist(), strict=True):
+        some = order[a:b].tolist()
+        spans.judge([(int(docs[i]), int(keys[i]), int(starts[i]), rows[i]) for i in some])
 
 
 def _digest(data: bytes) -> bytes:
@@ -266,8 +302,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     docs = docs.where("doc_id is not null")
-    kmers = _super_kmers(docs, hot_minimisers(docs))
-    judged = stored(kmers.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_judge_buckets, "doc_id long, text_key long, start int, end int, packed binary"), "repeat-spans")
+    hot, total = hot_minimisers(docs)
+    buckets = max(MIN_BUCKETS, -(-total // (BUCKET_ROWS // 8)))
+    kmers = _super_kmers(docs, hot, buckets)
+    judged = stored(kmers.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_judge_buckets(buckets), "doc_id long, text_key long, start int, end int, packed binary"), "repeat-spans")
     spans = judged.where("packed is null").drop("packed")
     crowded = judged.where("packed is not null")
     if not crowded.isEmpty():
