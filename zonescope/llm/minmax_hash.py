@@ -9,10 +9,11 @@ are cut into bands of ``BAND`` values; documents sharing a band are candidates.
 
 Linear work per band: exact copies of a set collapse first, then each member
 of a band is compared with the band's smallest member.  Only bands whose
-members still lie in different components are looked at again, all their
-members against each other in blocks of bounded size, by signature first.
-Every link is confirmed on the full shingle sets of both texts, and none
-between different components is skipped.
+members still lie in different components are looked at again: the documents
+they tie together form a group, worked off in pairs of blocks of bounded size,
+and only links leave a task.  Every link is confirmed on the full shingle sets
+of both texts, and no pair between different components that shares a band is
+skipped.
 
 Results: null or empty texts link with nothing; a null id links with nothing
 and has a null component; rows sharing an id are one node but keep a row each;
@@ -35,13 +36,13 @@ from zonescope.llm.blocks import block_pairs
 from zonescope.llm.common import Memo, arrow_map, byte_texts, id_and_text, ship, stored
 from zonescope.llm.components import components
 
-PERMUTATIONS = 64
-BAND = 4
+PERMUTATIONS = 80
+BAND = 5
 #: Similarity as a fraction: numerator, denominator.
 SIMILARITY = (80, 100)
 #: Pairs whose signatures agree in a smaller share are not compared in full (over five standard errors under 0.8).
 LEAST_AGREEMENT = 0.6
-BLOCK = 1024
+BLOCK = 512
 _ROWS = 2048
 
 _seeds = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**63, size=(2, PERMUTATIONS), dtype=np.uint64)
@@ -84,35 +85,29 @@ def signature(unique: np.ndarray) -> np.ndarray:
     return np.concatenate([low, high])
 
 
+def bands(sig: np.ndarray) -> list[int]:
+    """A 64-bit hash of the number and values of every band of a signature."""
+    values = sig.astype(np.uint64).reshape(-1, BAND)
+    out = np.arange(1, len(values) + 1, dtype=np.uint64)
+    for j in range(BAND):
+        out = (out ^ values[:, j]) * MIX
+        out ^= out >> np.uint64(29)
+    return out.view(np.int64).tolist()
+
+
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (16 bytes, null for an empty set), sig (packed 32-bit values), per row of (doc_id, text)."""
+    """doc_id, n_shingles, set_key (16 bytes, null for an empty set), bands, per row of (doc_id, text)."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, keys, sigs = [], [], []
+        sizes, keys, cut = [], [], []
         for text in byte_texts(batch):
             unique = np.unique(shingle_hashes(word_hashes(text.lower().split()), width))
             sizes.append(len(unique))
             keys.append(hashlib.blake2b(unique.tobytes(), digest_size=16).digest() if len(unique) else None)
-            sigs.append(signature(unique).astype("<u4").tobytes() if len(unique) else None)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())], names=["doc_id", "n_shingles", "set_key", "sig"])
-
-    return arrow_map(docs, "doc_id long, n_shingles long, set_key binary, sig binary", lambda: step)
-
-
-def _bands(reps: DataFrame) -> DataFrame:
-    """(band, doc_id): a row per band of each signature, the band being a 64-bit hash of its number and values."""
+            cut.append(bands(signature(unique)) if len(unique) else None)
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(cut, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "set_key", "bands"])
 
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sigs = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u4").reshape(batch.num_rows, -1, BAND).astype(np.uint64)
-        numbers = np.arange(1, sigs.shape[1] + 1, dtype=np.uint64)
-        out = np.broadcast_to(numbers, sigs.shape[:2]).copy()
-        for j in range(BAND):
-            out = (out ^ sigs[:, :, j]) * MIX
-            out ^= out >> np.uint64(29)
-        ids = np.repeat(batch.column("doc_id").to_numpy(), sigs.shape[1])
-        return pa.RecordBatch.from_arrays([pa.array(out.view(np.int64).ravel()), pa.array(ids)], names=["band", "doc_id"])
-
-    return arrow_map(reps.select("doc_id", "sig"), "band long, doc_id long", lambda: step)
+    return arrow_map(docs, "doc_id long, n_shingles long, set_key binary, bands array<bigint>", lambda: step)
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -129,10 +124,8 @@ def _packed(docs: DataFrame) -> DataFrame:
     return arrow_map(docs, "doc_id long, z binary", make)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int, similarity: tuple[int, int]) -> DataFrame:
+def confirmed(pairs: DataFrame, packed: DataFrame, width: int, similarity: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    packed = stored(_packed(docs).join(wanted, "doc_id", "left_semi"), "near-texts")
     joined = pairs.join(packed.select(F.col("doc_id").alias("a"), F.col("z").alias("za")), "a").join(packed.select(F.col("doc_id").alias("b"), F.col("z").alias("zb")), "b")
     above, below = similarity
 
@@ -153,26 +146,47 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, similarity: tuple[i
     return arrow_map(joined.select("a", "b", "za", "zb"), "a long, b long", make)
 
 
-def _agreeing(similarity: tuple[int, int]):
+def _full_sets(packed: DataFrame, width: int) -> DataFrame:
+    """doc_id and its whole set as sorted 64-bit shingle hashes."""
+
+    def make():
+        unpack = zstandard.ZstdDecompressor().decompress
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            sets = [np.unique(shingle_hashes(word_hashes(unpack(z).lower().split()), width)).astype("<u8").tobytes() for z in batch.column("z").to_pylist()]
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
+
+        return step
+
+    return arrow_map(packed, "doc_id long, shingles binary", make)
+
+
+def _linked(similarity: tuple[int, int]):
     above, below = similarity
     least = LEAST_AGREEMENT * above / below / (SIMILARITY[0] / SIMILARITY[1])
 
     def unit(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        """Pairs of one unit, in different components, of fitting size, whose signatures agree enough; signatures are taken row by row."""
-        own = frame[frame["_own"] == key[1]].drop_duplicates("doc_id")
-        other = own if key[1] == key[2] else frame[frame["_own"] == key[2]].drop_duplicates("doc_id")
+        """Links of one unit between different components: by size, then by signature, then on the full sets; one document against many at a time."""
+        own = frame[frame["_own"] == key[1]]
+        other = own if key[1] == key[2] else frame[frame["_own"] == key[2]]
         found = []
         if len(own) and len(other):
-            sig = np.frombuffer(b"".join(other["sig"]), "<u4").reshape(len(other), -1)
-            ids, comps, sizes = (other[c].to_numpy() for c in ("doc_id", "component", "n_shingles"))
-            for row in own.itertuples():
-                may = (comps != row.component) & (below * np.minimum(sizes, row.n_shingles) >= above * np.maximum(sizes, row.n_shingles))
+            sets = {id(part): [np.frombuffer(s, "<u8") for s in part["shingles"]] for part in (own, other)}
+            marks = {k: np.stack(list(map(signature, v))) for k, v in sets.items()}
+            theirs, sig = sets[id(other)], marks[id(other)]
+            ids, comps = other["doc_id"].to_numpy(), other["component"].to_numpy()
+            sizes = np.array(list(map(len, theirs)))
+            for doc, comp, mine, mark in zip(own["doc_id"].tolist(), own["component"].tolist(), sets[id(own)], marks[id(own)], strict=True):
+                n = len(mine)
+                may = (comps != comp) & (below * np.minimum(sizes, n) >= above * np.maximum(sizes, n))
                 if key[1] == key[2]:
-                    may &= ids > row.doc_id
+                    may &= ids > doc
                 at = np.flatnonzero(may)
-                if len(at):
-                    at = at[(sig[at] == np.frombuffer(row.sig, "<u4")).mean(axis=1) >= least]
-                    found += [(min(row.doc_id, x), max(row.doc_id, x)) for x in ids[at].tolist()]
+                at = at[(sig[at] == mark).mean(axis=1) >= least] if len(at) else at
+                for i in at.tolist():
+                    common = n + len(theirs[i]) - len(np.union1d(mine, theirs[i]))
+                    if below * common >= above * (n + len(theirs[i]) - common):
+                        found.append((min(doc, int(ids[i])), max(doc, int(ids[i]))))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return unit
@@ -186,31 +200,33 @@ def near_duplicates(df: DataFrame, width: int = 5, similarity: tuple[int, int] =
     usable = signed.where("doc_id is not null and set_key is not null")
     first = stored(usable.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "near-classes")
     copies = usable.select("doc_id", "set_key").join(first, "set_key").where("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    reps = usable.join(first.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi").dropDuplicates(["doc_id", "set_key"])
-    reps = stored(reps, "near-reps")
-    bands = stored(_bands(reps), "near-bands")
-    leaders = stored(bands.groupBy("band").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last")).where("a != last").select("band", "a"), "near-leaders")
-    shared = bands.join(leaders, "band")
-    sizes = reps.select("doc_id", "n_shingles")
-    pairs = shared.where("doc_id != a").select("a", F.col("doc_id").alias("b")).distinct()
-    pairs = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+    reps = usable.join(first.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
+    banded = stored(reps.select("doc_id", F.explode("bands").alias("band")), "near-bands")
+    leaders = stored(banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last")).where("a != last").select("band", "a"), "near-leaders")
+    shared = stored(banded.join(leaders, "band"), "near-shared")
+    sizes = usable.select("doc_id", "n_shingles").distinct()
+    near = stored(shared.where("doc_id != a").select("a", F.col("doc_id").alias("b")).distinct(), "near-pairs")
+    wanted = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    packed = stored(_packed(docs).join(wanted, "doc_id", "left_semi"), "near-texts")
     above, below = similarity
-    pairs = stored(pairs.where(below * F.least("na", "nb") >= above * F.greatest("na", "nb")).select("a", "b").distinct(), "near-pairs")
-    links = stored(confirmed(pairs, docs, width, similarity).unionByName(copies), "near-links")
+    pairs = near.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+    pairs = pairs.where(below * F.least("na", "nb") >= above * F.greatest("na", "nb")).select("a", "b")
+    links = stored(confirmed(pairs, packed, width, similarity).unionByName(copies).distinct(), "near-links")
     comps = stored(components(links), "near-components")
-    placed = shared.select("band", "doc_id").join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    placed = stored(placed, "near-placed")
     # Bands whose members beside the smallest (its comparisons are done) still lie in two components.
-    others = placed.join(leaders.withColumnRenamed("a", "doc_id"), ["band", "doc_id"], "left_anti")
-    again = others.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("band")
-    again = stored(again, "near-open")
-    rest = placed.join(again, "band", "left_semi").join(reps.select("doc_id", "n_shingles", "sig"), "doc_id")
-    units = block_pairs(rest, "band", "doc_id", BLOCK)
-    more = units.groupBy("band", "_i", "_j").applyInPandas(_agreeing(similarity), "a long, b long").distinct()
-    more = stored(more.join(pairs, ["a", "b"], "left_anti"), "near-more")
-    extra = stored(confirmed(more, docs, width, similarity), "near-extra")
-    if not extra.isEmpty():
-        comps = stored(components(links.unionByName(extra)), "near-components")
+    others = shared.where("doc_id != a").select("band", "doc_id").join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    open_ = others.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("doc_id").alias("a")).where("x != y").select("band", "a")
+    open_ = stored(open_, "near-open")
+    if not open_.isEmpty():
+        # Documents that such bands tie together are one group, each document in it once.
+        ties = stored(others.join(open_, "band").select("a", F.col("doc_id").alias("b"), "component"), "near-ties")
+        groups = components(ties).withColumnsRenamed({"node": "doc_id", "component": "group"})
+        placed = ties.select(F.col("b").alias("doc_id"), "component").distinct().join(groups, "doc_id")
+        rest = placed.join(_full_sets(packed.join(placed.select("doc_id"), "doc_id", "left_semi"), width), "doc_id")
+        units = block_pairs(stored(rest, "near-rest"), "group", "doc_id", BLOCK)
+        extra = stored(units.groupBy("group", "_i", "_j").applyInPandas(_linked(similarity), "a long, b long").distinct(), "near-extra")
+        if not extra.isEmpty():
+            comps = stored(components(links.unionByName(extra)), "near-components")
     out = signed.select("doc_id", "n_shingles").join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     out = out.withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
