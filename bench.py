@@ -37,6 +37,7 @@ def main() -> None:
     from zonescope.session import local_session
 
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")))
+    spark.conf.set("zonescope.scan.partitions", cpus if cpus.isdigit() else "8")  # the bench tables are one split each
     qs = spark_queries()
     qs["zone_scores"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     runs = int(os.environ.get("BENCH_RUNS", "2"))

@@ -42,7 +42,10 @@ def test_top_n_is_sorted_and_bounded(models):
     assert len(ranked) == 7
     scores = [r["score_rendement"] for r in ranked]
     assert scores == sorted(scores, reverse=True)
-    assert serving.rank_zones(models.scores, "prudent", top_n=500).count() == min(50, models.scores.count())
+    assert serving.rank_zones(models.scores, "prudent", top_n=500).count() == min(500, models.scores.count())
+    assert serving.rank_zones(models.scores, "prudent", top_n=3).count() == 3
+    with pytest.raises(ValueError):
+        serving.rank_zones(models.scores, "prudent", top_n=0)
     with pytest.raises(ValueError):
         serving.score_column("unknown")
 

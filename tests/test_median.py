@@ -100,31 +100,21 @@ def test_latest_snapshot_rows_many_copies(spark):
     assert out["p1"].valeur_fonciere == max(r[3] for r in latest)
 
 
-def test_zone_month_paths_agree(spark):
-    from zonescope.operators.monthly import zone_month_prices
-    from zonescope.plans.queries import Models, round_doubles
-
-    from conftest import SF_SMALL
-
-    fact = Models(spark, SF_SMALL, materialize_marts=False).fact
-    fast = round_doubles(zone_month_prices(fact))                              # groups proven small
-    ranked = round_doubles(zone_month_prices(fact, max_gathered_group_rows=0))  # rank selection forced
-    assert fast.count() == ranked.count() > 0
-    assert fast.exceptAll(ranked).count() == 0 and ranked.exceptAll(fast).count() == 0
-
-
-def test_group_helpers_paths_agree(spark):
-    from zonescope.operators.quantiles import group_median, group_percent_rank, group_quantiles
-
-    rnd = random.Random(5)
-    rows = [(f"g{i % 4}", float(rnd.randint(0, 50))) for i in range(400)] + [("g0", None), (None, 1.0)]
-    df = spark.createDataFrame(rows, "g string, v double")
-
-    def as_set(frame):
-        return {tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in frame.collect()}
-
-    for fn, extra in ((group_quantiles, ({"a": 0.05, "b": 0.5, "c": 0.95},)), (group_median, ()),
-                      (group_percent_rank, ())):
-        fast = fn(df, ["g"], "v", *extra)
-        ranked = fn(df, ["g"], "v", *extra, max_gathered_group_rows=0)
-        assert as_set(fast.select(*sorted(fast.columns))) == as_set(ranked.select(*sorted(ranked.columns))), fn
+def test_many_distinct_values_under_all_settings(spark):
+    """Consumers that read a subset of columns see every row, whatever Spark reuses or re-plans."""
+    from zonescope.operators.quantiles import exact_quantiles, percent_rank, value_ranks
+
+    df = spark.range(400_000).selectExpr("cast(id % 500 as int) as g", "cast(id as double) as v")
+    for reuse in ("true", "false"):
+        for adaptive in ("true", "false"):
+            spark.conf.set("spark.sql.exchange.reuse", reuse)
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            try:
+                ranks = value_ranks(df, ["g"], "v")
+                assert tuple(ranks.selectExpr("count(*)", "sum(count)").first()) == (400_000, 400_000)
+                assert ranks.select("g", "n").distinct().count() == 500
+            finally:
+                spark.conf.set("spark.sql.exchange.reuse", "true")
+                spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert exact_quantiles(df, ["g"], "v", {"q": 0.5}).count() == 500
+    assert percent_rank(df, ["g"], "v", "p").where("p is null").count() == 0

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from zonescope.constants import PROFILES
 from zonescope.functions.columns import month_start, round_half_up
-from zonescope.operators.quantiles import group_median, group_percent_rank, group_quantiles
+from zonescope.operators.quantiles import exact_median, exact_quantiles, percent_rank
 from zonescope.session import ensure_checkpoint_dir
 
 # Metric columns of the score table (name used in reports -> column).
@@ -131,7 +131,7 @@ def robust_norms(scores: DataFrame, low: float = 0.05, high: float = 0.95) -> Da
     (seven, a fixed bound) and is broadcast.
     """
     long = _stack(scores, ["zone_id"], SCORE_METRICS)
-    q = group_quantiles(long, ["metric"], "value", {"q_low": low, "q_high": high})
+    q = exact_quantiles(long, ["metric"], "value", {"q_low": low, "q_high": high})
     joined = long.join(F.broadcast(q), "metric", "left")
     span = F.col("q_high") - F.col("q_low")
     raw = (F.col("value") - F.col("q_low")) / F.nullif(span, F.lit(0.0))
@@ -146,7 +146,7 @@ def segment_percent_rank(scores: DataFrame, profile: str = "rendement", segment:
     """Percent rank of a profile score within a segment (region by default)."""
     score = f"score_{profile}"
     base = scores.select("zone_id", segment, score)
-    return group_percent_rank(base, [segment], score, "percent_rank")
+    return percent_rank(base, [segment], score, "percent_rank")
 
 
 # --------------------------------------------------------------------------
@@ -250,7 +250,7 @@ def quality_rules(sales: DataFrame, fact: DataFrame, features: DataFrame, season
     zones = features.select("zone_id", F.lit(True).alias("_known"))
     slim = fact.select("transaction_id", "zone_id", "valeur_fonciere", "surface_reelle_bati", "price_m2_bati") \
         .join(zones, "zone_id", "left").checkpoint()
-    bounds = group_quantiles(slim, [], "price_m2_bati", {"p01": 0.01, "p99": 0.99}).first()
+    bounds = exact_quantiles(slim, [], "price_m2_bati", {"p01": 0.01, "p99": 0.99}).first()
     p01 = F.lit(bounds["p01"] if bounds else None).cast("double")
     p99 = F.lit(bounds["p99"] if bounds else None).cast("double")
     price = F.col("price_m2_bati")
@@ -322,17 +322,17 @@ def load_monitoring(raw: dict[str, DataFrame], expected: dict[str, tuple[str, ..
 def geo_match_rate(raw: dict[str, DataFrame], geo_name: str = "geographic_reference") -> DataFrame:
     """Share of each dataset's rows whose commune code exists in the geographic reference.
 
-    All datasets' codes are stacked and joined once with the distinct reference
-    codes (one row per code: broadcast when small, otherwise a shuffle join
-    whose skewed partitions AQE splits), then counted per dataset.
+    Rows are counted per (dataset, code) first, so the join with the distinct
+    reference codes sees one row per code and no code is hot.
     """
     codes = raw[geo_name].where(F.col("code_commune") != "").select("code_commune").distinct() \
         .withColumn("_known", F.lit(True))
     parts = [df.select(F.lit(name).alias("dataset"), "code_commune")
              for name, df in raw.items() if name != geo_name and "code_commune" in df.columns]
     stacked = reduce(DataFrame.unionByName, parts)
-    counted = stacked.join(codes, "code_commune", "left").groupBy("dataset").agg(
-        F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("_known")).alias("matched"))
+    per_code = stacked.groupBy("dataset", "code_commune").agg(F.count(F.lit(1)).alias("_n"))
+    counted = per_code.join(codes, "code_commune", "left").groupBy("dataset").agg(
+        F.sum("_n").alias("row_count"), F.sum(F.when(F.col("_known"), F.col("_n")).otherwise(0)).alias("matched"))
     return counted.select("dataset", "row_count", "matched",
                           (F.col("matched") / F.nullif(F.col("row_count"), F.lit(0)).cast("double")).alias("match_rate"))
 
@@ -368,10 +368,10 @@ def price_anomalies(fact: DataFrame, threshold: float = ANOMALY_THRESHOLD) -> Da
     # The slim priced sales are read by every later step: checkpoint them once.
     priced = fact.where(F.col("zone_id").isNotNull() & F.col("price_m2_bati").isNotNull()).select(
         "transaction_id", "zone_id", "price_m2_bati").checkpoint()
-    med = group_median(priced, ["zone_id"], "price_m2_bati", "zone_median")
+    med = exact_median(priced, ["zone_id"], "price_m2_bati", "zone_median")
     dev = priced.join(med, "zone_id").withColumn(
         "_dev", F.abs(F.col("price_m2_bati") - F.col("zone_median"))).checkpoint()
-    mad = group_median(dev, ["zone_id"], "_dev", "zone_mad")
+    mad = exact_median(dev, ["zone_id"], "_dev", "zone_mad")
     scored = dev.join(mad, "zone_id").withColumn(
         "robust_z",
         F.lit(MAD_SCALE) * (F.col("price_m2_bati") - F.col("zone_median")) / F.nullif(F.col("zone_mad"), F.lit(0.0)),

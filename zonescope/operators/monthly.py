@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonescope.functions.columns import month_start
-from zonescope.operators.quantiles import MAX_GATHERED_GROUP_ROWS, exact_median
-from zonescope.session import ensure_checkpoint_dir
+from zonescope.operators.quantiles import exact_median
 
 ZONE_MONTH_COLUMNS = (
     "zone_id",
@@ -25,17 +24,12 @@ def zone_month_prices(
     fact: DataFrame,
     exact: bool = True,
     accuracy: int = 10000,
-    max_gathered_group_rows: int = MAX_GATHERED_GROUP_ROWS,
 ) -> DataFrame:
     """One row per (zone, month); sales with an unreadable date form a NULL month.
 
-    ``exact=True`` gives the interpolated median (``percentile_cont(0.5)``).
-    The group sizes come first (they are the ``transaction_count`` column,
-    checkpointed to the shared checkpoint folder): when the largest group is
-    proven to hold at most ``max_gathered_group_rows`` rows, Spark's
-    ``percentile`` aggregate (one shuffle, each group's values in one task) is
-    used; otherwise the distributed rank selection of :func:`exact_median`,
-    which never gathers a group.  ``exact=False`` uses the bounded-memory
+    ``exact=True`` gives the interpolated median (``percentile_cont(0.5)``)
+    by the distributed rank selection of :func:`exact_median`, which never
+    gathers a group.  ``exact=False`` uses the bounded-memory
     ``percentile_approx`` sketch instead (a data value within 1/accuracy rank).
     """
     base = fact.where(F.col("zone_id").isNotNull()).select(
@@ -59,16 +53,7 @@ def zone_month_prices(
             F.percentile_approx("price_m2_terrain", 0.5, accuracy).alias("median_price_m2_terrain"),
         ).select(*ZONE_MONTH_COLUMNS)
 
-    ensure_checkpoint_dir(fact.sparkSession)
-    stats = base.groupBy(*keys).agg(*algebraic).checkpoint()
-    largest = stats.agg(F.max("transaction_count")).first()[0] or 0
-    if largest <= max_gathered_group_rows:
-        # Every group is proven small: one aggregation gives statistics and medians.
-        return base.groupBy(*keys).agg(
-            *algebraic,
-            F.percentile("price_m2_bati", 0.5).alias("median_price_m2_bati"),
-            F.percentile("price_m2_terrain", 0.5).alias("median_price_m2_terrain"),
-        ).select(*ZONE_MONTH_COLUMNS)
+    stats = base.groupBy(*keys).agg(*algebraic)
     # Both measures go through one rank selection, told apart by a measure key.
     stacked = base.select(
         *keys,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # (model, column) pairs that must never be NULL.
@@ -24,36 +24,18 @@ NOT_NULL_RULES = (
 )
 
 
-def _rule_rows(model: str, df: DataFrame, rules: list[tuple[str, str, Column]]) -> DataFrame:
-    """One aggregate over ``df``; one output row per (rule, column)."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(failing).alias(f"_f{i}") for i, (_, _, failing) in enumerate(rules)],
-    )
-    per_rule = F.array(
-        *[
-            F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("column_name"), F.col(f"_f{i}").alias("failing"))
-            for i, (rule, column, _) in enumerate(rules)
-        ]
-    )
-    return counts.select(F.lit(model).alias("model"), F.col("_rows").alias("row_count"), F.inline(per_rule)).select(
-        "model", "rule", "column_name", "row_count", "failing", (F.col("failing") == 0).alias("passed")
-    )
-
-
 def not_null_report(tables: dict[str, DataFrame]) -> DataFrame:
     """``not_null`` tests on the staging and mart tables (Q1, Q2).
 
-    Models that are read from the same frame (e.g. the sales fact, a pure
-    projection of the staged sales) are checked in one aggregate pass.
+    One aggregate pass per model, whatever its number of rules.
     """
-    by_frame: dict[int, tuple[DataFrame, list]] = {}
+    by_model: dict[str, list] = {}
     for model, column in NOT_NULL_RULES:
         if model in tables:
-            df = tables[model]
-            by_frame.setdefault(id(df), (df, []))[1].append((model, column))
+            by_model.setdefault(model, []).append((model, column))
     frames = []
-    for df, rules in by_frame.values():
+    for name, rules in by_model.items():
+        df = tables[name]
         counts = df.agg(F.count(F.lit(1)).alias("_rows"),
                         *[F.count_if(F.col(c).isNull()).alias(f"_f{i}") for i, (_, c) in enumerate(rules)])
         items = F.array(*[
@@ -65,7 +47,3 @@ def not_null_report(tables: dict[str, DataFrame]) -> DataFrame:
     out = reduce(DataFrame.unionByName, frames)
     return out.select("model", "rule", "column_name", "row_count", "failing", (F.col("failing") == 0).alias("passed"))
 
-
-def rule_report(model: str, df: DataFrame, rules: list[tuple[str, str, Column]]) -> DataFrame:
-    """Generic rule table for one model: each rule is (name, column, failing-predicate)."""
-    return _rule_rows(model, df, rules)

@@ -9,7 +9,8 @@ distributed rank computation instead (:func:`value_ranks`):
    the map side, so even a single hot value costs one row per map task;
 2. range-partition the (group, value, count) rows by (group, value): Spark
    samples the keys and cuts a large group into several value ranges, each in
-   its own task; every row is tagged with its range (partition) index;
+   its own task; every row is tagged with its range index and written to the
+   shared checkpoint folder, so that the index is stored data for steps 3-5;
 3. inside each (range, group) piece, a window gives the running count;
 4. per piece, its total; per group, the pieces' offsets (counts of earlier
    ranges) and the group size ``n``.  This table has at most
@@ -25,11 +26,14 @@ No step holds more than one range of one group.  Interpolated quantiles
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zonescope.session import scratch_path
+
 
 def _null_stand_in(data_type: T.DataType):
     if isinstance(data_type, T.StringType):
@@ -66,6 +70,13 @@ class _Encoded:
         ]
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """Write to the shared checkpoint folder and read back: the range number becomes data, the same for every reader."""
+    path = scratch_path(df.sparkSession, f"ranks-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _ranked(df: DataFrame, keys: list[str], value: str) -> tuple[DataFrame, _Encoded]:
     enc = _Encoded(df, keys)
     counted = (
@@ -74,7 +85,7 @@ def _ranked(df: DataFrame, keys: list[str], value: str) -> tuple[DataFrame, _Enc
         .groupBy(*enc.names, "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    ranged = counted.repartitionByRange(*enc.names, "_v").withColumn("_p", F.spark_partition_id())
+    ranged = _written(counted.repartitionByRange(*enc.names, "_v").withColumn("_p", F.spark_partition_id()))
     piece = ["_p", *enc.names]
     running = Window.partitionBy(*piece).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn("_cum", F.sum("_c").over(running))
@@ -136,62 +147,6 @@ def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median"
     return exact_quantiles(df, keys, value, {out: 0.5})
 
 
-# A group may be gathered in one task by ``percentile`` only below this many rows.
-MAX_GATHERED_GROUP_ROWS = 250_000
-
-
-def _largest_group(valued: DataFrame, keys: list[str]) -> int:
-    sizes = valued.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return sizes.agg(F.max("_n")).first()[0] or 0
-
-
-def group_quantiles(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
-    max_gathered_group_rows: int = MAX_GATHERED_GROUP_ROWS,
-) -> DataFrame:
-    """Like :func:`exact_quantiles`, choosing the plan from the exact group sizes:
-    Spark's ``percentile`` (one shuffle) when the largest group is proven to
-    hold at most ``max_gathered_group_rows`` values, the rank selection
-    otherwise.  The size check is one aggregate pass: pass a materialised input."""
-    valued = df.where(F.col(value).isNotNull())
-    if _largest_group(valued, keys) > max_gathered_group_rows:
-        return exact_quantiles(df, keys, value, probs)
-    q = valued.groupBy(*keys).agg(F.percentile(F.col(value).cast("double"), list(probs.values())).alias("_q"))
-    return q.select(*keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)])
-
-
-def group_percent_rank(
-    df: DataFrame, keys: list[str], value: str, out: str = "percent_rank",
-    max_gathered_group_rows: int = MAX_GATHERED_GROUP_ROWS,
-) -> DataFrame:
-    """Like :func:`percent_rank`, with Spark's ``percent_rank()`` window when every
-    group is proven small (rows with a NULL value get NULL, as in the rank path)."""
-    valued = df.where(F.col(value).isNotNull())
-    if _largest_group(valued, keys) > max_gathered_group_rows:
-        return percent_rank(df, keys, value, out)
-    window = Window.partitionBy(*keys).orderBy(F.col(value).cast("double"))
-    ranked = valued.withColumn(out, F.percent_rank().over(window))
-    return ranked.unionByName(df.where(F.col(value).isNull()).withColumn(out, F.lit(None).cast("double")))
-
-
-def group_median(
-    df: DataFrame, keys: list[str], value: str, out: str = "median",
-    max_gathered_group_rows: int = MAX_GATHERED_GROUP_ROWS,
-) -> DataFrame:
-    """Exact median per group, choosing the plan from the exact group sizes.
-
-    When the largest group (non-NULL values) is proven to hold at most
-    ``max_gathered_group_rows`` rows, Spark's ``percentile`` (one shuffle) is
-    used; otherwise :func:`exact_median`.  The size check is one aggregate pass
-    over ``df``, so pass a materialised (checkpointed) input.  Groups whose
-    values are all NULL are absent either way.
-    """
-    valued = df.where(F.col(value).isNotNull())
-    if _largest_group(valued, keys) <= max_gathered_group_rows:
-        return valued.groupBy(*keys).agg(F.percentile(F.col(value).cast("double"), 0.5).alias(out))
-    return exact_median(df, keys, value, out)
-
-
 def percent_rank(df: DataFrame, keys: list[str], value: str, out: str = "percent_rank") -> DataFrame:
     """``df`` with ``out`` = (rank - 1) / (n - 1) of ``value`` within its group
     (0 for a group of one; NULL for a NULL value), without gathering a group."""

@@ -17,10 +17,9 @@ from zonescope.constants import (
     PROFILES,
     TOP_N_DEFAULT,
     TOP_N_MAX,
-    TOP_N_MIN,
 )
 
-# Columns the serving layer reads from the score table.
+# Columns the serving layer reads from the score table.
 SERVING_COLUMNS = (
     "zone_id",
     "zone_label",
@@ -71,10 +70,6 @@ def load_scores(spark: SparkSession, table: str) -> DataFrame | None:
     return df
 
 
-def clamp_top_n(top_n: int) -> int:
-    return max(TOP_N_MIN, min(int(top_n), TOP_N_MAX))
-
-
 def filtered_zones(scores: DataFrame, min_transactions: int = 0, min_poi: int = 0) -> DataFrame:
     """Zones meeting the minimum sales and POI counts, NULL read as 0."""
     return scores.where(
@@ -92,10 +87,12 @@ def rank_zones(
 ) -> DataFrame:
     """Top-N zones for a profile, best first; ties broken by zone id (O2)."""
     score = score_column(profile)
+    if top_n < 1:
+        raise ValueError(f"top_n must be 1 or more, not {top_n}")
     return (
         filtered_zones(scores, min_transactions, min_poi)
         .orderBy(F.col(score).desc_nulls_last(), F.col("zone_id").asc())
-        .limit(clamp_top_n(top_n))
+        .limit(int(top_n))
         .withColumn("score", F.col(score))
     )
 

@@ -15,6 +15,7 @@ from zonescope.operators.staging import stg_sales
 from zonescope.plans import oracle
 from zonescope.plans.oracle import clean_num
 from zonescope.session import scratch_path
+from zonescope.sources.adapter import RENDERINGS
 from zonescope.sources.specs import DEFAULT_SPECS
 
 REDELIVERY_SNAPSHOT = "2024-07-31"
@@ -167,8 +168,7 @@ UNION ALL SELECT 'stg_dvf_transactions', 'fresh_within_365_days', 'date_mutation
   CAST(CASE WHEN date_diff('day', max(date_mutation), max(snapshot_date)) > 365 THEN 1 ELSE 0 END AS BIGINT)
   FROM s_sales"""
 
-_RAW_NAMES = ("dvf_mutations", "tourism_poi", "tourism_labels", "mobility_access", "tourism_supply_proxy",
-              "seasonal_population", "geographic_reference")
+_RAW_NAMES = tuple(RENDERINGS)
 
 
 def _monitoring_sql() -> str:

@@ -23,8 +23,6 @@ from zonescope.constants import (
     NATURE_WEIGHTS,
     PROFILES,
     TOP_N_DEFAULT,
-    TOP_N_MAX,
-    TOP_N_MIN,
     TRUTHY_VALUES,
 )
 from zonescope.sources.adapter import RENDERINGS
@@ -80,7 +78,7 @@ def _raw_cte(dataset: str) -> str:
     return f"raw_{dataset} AS ({body})"
 
 
-RAW_CTES = [_raw_cte(n) for n in RENDERINGS if n != "cadastre_reference"]
+RAW_CTES = [_raw_cte(n) for n in RENDERINGS]
 
 # --------------------------------------------------------------------------
 # Staging.
@@ -316,9 +314,8 @@ def top_zones_sql(profile: str, min_transactions: int = 0, min_poi: int = 0, top
     cols = [("zone_id", "zone_id")] + [(score if src == "score" else src, dst) for src, dst in DISPLAY_COLUMNS]
     cols += [(c, c) for c in extra_columns]
     select = ", ".join(f"{src} AS {dst}" for src, dst in cols)
-    limit = max(TOP_N_MIN, min(int(top_n), TOP_N_MAX))
     return (
         f"SELECT {select} FROM scores WHERE COALESCE(transaction_count, 0) >= {min_transactions} "
         f"AND COALESCE(tourism_poi_count, 0) >= {min_poi} "
-        f"ORDER BY {score} DESC NULLS LAST, zone_id LIMIT {limit}"
+        f"ORDER BY {score} DESC NULLS LAST, zone_id LIMIT {top_n}"
     )

@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from zonescope.operators import features as feat
 from zonescope.operators import quality, scoring
@@ -30,6 +31,10 @@ MART_NAMES = (
 )
 
 
+class DataTestError(Exception):
+    """A data test of a run failed; its report is the table ``data_tests``."""
+
+
 @dataclass
 class PipelineResult:
     ingestion: list[dict]
@@ -89,17 +94,21 @@ def run_pipeline(
     exact_median: bool = True,
     register_tables: bool = True,
     retries: int = 1,
+    on_test_failure: str = "raise",
 ) -> PipelineResult:
     """Run the whole batch; returns the ingestion summary, marts and test report.
 
     A failed run is retried ``retries`` times: every write overwrites its own
     snapshot partition or table, so a second attempt never duplicates data.
+
+    A failed data test raises :class:`DataTestError` after the report is written;
+    ``on_test_failure="report"`` leaves it to the report.
     """
     for attempt in range(retries + 1):
         try:
             return _run_once(spark, external_root, lake_root, snapshot_date, specs, latest_snapshot_only,
-                             exact_median, register_tables)
-        except FileNotFoundError:
+                             exact_median, register_tables, on_test_failure)
+        except (FileNotFoundError, DataTestError):
             raise                      # a missing required source will not appear on retry
         except Exception:  # noqa: BLE001
             if attempt == retries:
@@ -108,7 +117,7 @@ def run_pipeline(
 
 
 def _run_once(spark, external_root, lake_root, snapshot_date, specs, latest_snapshot_only, exact_median,
-              register_tables) -> PipelineResult:
+              register_tables, on_test_failure="raise") -> PipelineResult:
     specs = specs or DEFAULT_SPECS
     bronze_root = posixpath.join(lake_root, "bronze")
     summary = [ingest_dataset(spark, spec, external_root, bronze_root, snapshot_date) for spec in specs.values()]
@@ -116,6 +125,9 @@ def _run_once(spark, external_root, lake_root, snapshot_date, specs, latest_snap
     store = TableStore(spark, posixpath.join(lake_root, "marts"))
     staged, marts = build_marts(spark, raw, store, exact_median=exact_median)
     tests = store.materialize(run_tests(staged, marts), "data_tests")
+    failed = [f"{r['model']}.{r['column_name']} ({r['failing']} rows)" for r in tests.where(~F.col("passed")).collect()]
+    if failed and on_test_failure == "raise":  # the report has one row per rule
+        raise DataTestError("data tests failed: " + ", ".join(failed))
     if register_tables:
         for name, df in marts.items():
             df.createOrReplaceTempView(name)

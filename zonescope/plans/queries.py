@@ -165,8 +165,7 @@ def _not_null(m: Models) -> DataFrame:
         "stg_tourism_poi": m.staged["tourism_poi"],
         "stg_tourism_labels": m.staged["tourism_labels"],
         "stg_mobility_access": m.staged["mobility_access"],
-        # the fact is a projection of the staged sales (same rows, same ids): one pass checks both
-        "fact_real_estate_transactions": m.staged["dvf_mutations"],
+        "fact_real_estate_transactions": m.fact,
         "tourism_zone_features": m.features,
         "location_tourism_score_latest": m.scores,
     }
@@ -184,10 +183,20 @@ def _ingest_counts(m: Models) -> DataFrame:
 _INGEST_SQL = "SELECT _dataset_name, _source_file, count(*) AS row_count FROM (" + " UNION ALL ".join(
     f"SELECT _dataset_name, _source_file FROM raw_{n}" for n in
     ("dvf_mutations", "tourism_poi", "tourism_labels", "mobility_access", "tourism_supply_proxy",
-     "seasonal_population", "geographic_reference")
+     "seasonal_population", "geographic_reference", "cadastre_reference")
 ) + ") GROUP BY _dataset_name, _source_file"
 
 
+def _bag_union(m: Models) -> DataFrame:
+    return m.raw["tourism_labels"].unionByName(m.raw["geographic_reference"], allowMissingColumns=True).select(
+        "code_commune", "nom_commune", "nom_departement", "_dataset_name", "_source_file")
+
+
+_BAG_UNION_SQL = ("SELECT code_commune, nom_commune, CAST(NULL AS VARCHAR) AS nom_departement, _dataset_name, _source_file "
+                  "FROM raw_tourism_labels UNION ALL SELECT code_commune, nom_commune, nom_departement, _dataset_name, "
+                  "_source_file FROM raw_geographic_reference")
+
+
 def _grid_cells(m: Models) -> DataFrame:
     sales = m.staged["dvf_mutations"]
     return sales.groupBy("h3_res8", "h3_res9").agg(
@@ -249,6 +258,10 @@ QUERIES: list[Query] = [
           _sql("SELECT zone_id, " + ", ".join(n for _, n in scoring.NORMALISED) + " FROM normed",
                [n for _, n in scoring.NORMALISED])),
     *[_top(p) for p in PROFILES],
+    Query("top_zones_filtered", "P12 O2 (minimums above zero, more than fifty zones)",
+          lambda m: serving.display_table(serving.rank_zones(m.scores, "rendement", 3, 500, 500)),
+          _sql(oracle.top_zones_sql("rendement", 3, 500, 500), _DISPLAY_DOUBLES)),
+    Query("bag_union", "U0 (two renderings with different columns, missing ones NULL)", _bag_union, _sql(_BAG_UNION_SQL)),
     Query("kpi_summary", "A13", lambda m: serving.kpi_summary(serving.rank_zones(m.scores)),
           _sql("SELECT count(*) AS visible_zones, median(ticket_entree_benchmark) AS median_entry_ticket, "
                "median(potentiel_touristique) AS median_tourism_potential, "

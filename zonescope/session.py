@@ -37,8 +37,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when it is unset (local tests) is
-    a fresh scratch folder created and registered.
+    The cluster's setting always wins.  When it is unset, a local session gets
+    a fresh scratch folder; any other is refused, as executors would not share it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -51,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if context is not None and context.getCheckpointDir() is None:
             context.setCheckpointDir(configured)
         return configured
+    if context is None or not context.master.startswith("local[") and context.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="zonescope-ckpt-")
     spark.conf.set("spark.checkpoint.dir", folder)
     spark.sparkContext.setCheckpointDir(folder)

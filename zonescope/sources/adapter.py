@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from zonescope.functions.columns import grid_cell, to_double
 from zonescope.sources.specs import DEFAULT_SPECS, GRID_DATASETS
-from zonescope.sources.tables import balanced, read_table
+from zonescope.sources.tables import read_table, spread
 
 SNAPSHOT_DATE = "2024-06-30"
 INGESTED_AT = "2024-07-01T00:00:00"
@@ -218,7 +218,7 @@ def _source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         )
     df = read_table(spark, sf_dir, name, SOURCE_COLUMNS[name])
     # Only the fact-sized source is worth spreading; dimension scans stay as they are.
-    return balanced(df, spark) if name in FACT_SOURCES else df
+    return spread(df, spark) if name in FACT_SOURCES else df
 
 
 def raw_dataset(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
@@ -236,6 +236,6 @@ def raw_dataset(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
 
 
 def raw_datasets(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
-    names = names or [n for n in RENDERINGS if n != "cadastre_reference"]
+    names = names or list(RENDERINGS)
     return {n: raw_dataset(spark, sf_dir, n) for n in names}
 

@@ -17,11 +17,12 @@ from __future__ import annotations
 import datetime as dt
 import fnmatch
 import posixpath
+import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,11 +112,18 @@ def read_source_files(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def relative_source(path: Column, root: str) -> Column:
+    """A file's path below ``root``: scheme and host are dropped and the escapes of a URI undone on both sides."""
+    scheme = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+    base = re.sub(scheme, "", root).rstrip("/") + "/"
+    plain = F.url_decode(F.replace(F.regexp_replace(path, scheme, ""), F.lit("+"), F.lit("%2B")))
+    return F.when(F.startswith(plain, F.lit(base)), F.substring(plain, len(base) + 1, 1 << 30)).otherwise(plain)
+
+
 def with_metadata(df: DataFrame, spec: DatasetSpec, root: str, snapshot_date: str, ingested_at: str) -> DataFrame:
     """Append ``_dataset_name``, ``_source_file``, ``_snapshot_date``, ``_ingested_at``
     and grid cells when both coordinates are present (U1)."""
-    root_name = posixpath.basename(root.rstrip("/"))
-    relative = F.regexp_extract(F.col("_file_path"), rf"{root_name}/(.*)$", 1)
+    relative = relative_source(F.col("_file_path"), root)
     out = df.select(
         *[c for c in df.columns if c != "_file_path"],
         F.lit(spec.name).alias("_dataset_name"),

@@ -5,21 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def balanced(df: DataFrame, spark: SparkSession) -> DataFrame:
-    """Spread an under-split scan over the cluster.
-
-    A file written as one row group is one input split, so every row-wise step
-    before the first shuffle (text rendering, parsing, regexes) would run in a
-    single task.  When the scan yields fewer splits than the default
-    parallelism it is round-robin repartitioned to that parallelism; a large
-    table with enough splits is returned unchanged (no extra shuffle).
+#: Session setting: number of partitions to deal a fact-sized scan to.  Off unless set.
+SCAN_PARTITIONS = "zonescope.scan.partitions"
+
+
+def spread(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """Deal a scan to ``zonescope.scan.partitions`` partitions when that is set.
+
+    For small files written as one row group, which are one input split each.
+    Off by default: tables of many splits need no such shuffle.
     """
-    try:
-        target = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave the scan as it is
-        return df
-    return df.repartition(target) if splits < target else df
+    partitions = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(partitions)) if partitions else df
 
 
 def read_table(spark: SparkSession, root: str, name: str, columns: list[str] | None = None) -> DataFrame:

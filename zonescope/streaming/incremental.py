@@ -29,20 +29,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from zonescope.functions.columns import grid_cell, month_start, to_double
+from zonescope.functions.columns import grid_cell, missing_to_null, month_start, to_double
 from zonescope.operators.monthly import zone_month_prices
 from zonescope.operators.staging import sales_fact, stg_sales
 from zonescope.session import ensure_checkpoint_dir, scratch_path
+from zonescope.sources.files import relative_source
 from zonescope.sources.specs import DEFAULT_SPECS, DatasetSpec
 
 
 def _bronze_rows(batch: DataFrame, spec: DatasetSpec, root: str, snapshot_date: str, epoch: int) -> DataFrame:
-    root_name = posixpath.basename(root.rstrip("/"))
     lat, lon = to_double("latitude"), to_double("longitude")
     return batch.select(
-        *spec.expected_columns,
+        *[missing_to_null(c).alias(c) for c in spec.expected_columns],
         F.lit(spec.name).alias("_dataset_name"),
-        F.regexp_extract(F.col("_file_path"), rf"{root_name}/(.*)$", 1).alias("_source_file"),
+        relative_source(F.col("_file_path"), root).alias("_source_file"),
         F.lit(snapshot_date).alias("_snapshot_date"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("_ingested_at"),
         grid_cell(lat, lon, 8).alias("h3_res8"),
