@@ -29,9 +29,15 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject documents that fail the base rules or a proven threshold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    measured = stored(quality_rules.features(docs.select("doc_id", "text", "lang")).drop("text"), "pipeline-quality")
+    key = F.xxhash64("text").alias("_key")
+    measured = quality_rules.features(docs.select("doc_id", "text", "lang")).withColumn("_key", key).drop("text")
+    measured = stored(measured, "pipeline-quality")
     cutoffs = stored(quality_rules.fit_cutoffs(measured, labels), "pipeline-cutoffs")
-    return quality_rules.judge(quality_rules.features(docs), cutoffs).where("kept").select(*docs.columns)
+    # Judged on the stored counts: a filter over the counting expressions would be planned with each copied many times.
+    kept = quality_rules.judge(measured, cutoffs).where("kept").select(F.col("doc_id").alias("_doc"), "_key").distinct()
+    keyed = docs.select("*", key)
+    same = keyed["doc_id"].eqNullSafe(kept["_doc"]) & (keyed["_key"] == kept["_key"])
+    return keyed.join(kept, same, "left_semi").select(*docs.columns)
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
