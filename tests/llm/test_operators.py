@@ -165,13 +165,19 @@ def test_components_of_chains_and_stars(spark):
 
 
 def test_quality_counts_and_cutoffs(spark, corpus):
-    rows = [r.asDict() for r in quality_rules.features(documents(spark, corpus)).collect()]
+    lined = ["a b\nc\na b", " a\nb\na", "a\nb\na ", "a\r\na", "\n\na\n \n\na\na\n", "#1 $2\n|%&\n#1 $2\n", "\x1ca\n\x1ca", " \n \n"]
+    texts = corpus + [(400 + i, t) for i, t in enumerate(lined)]
+    rows = [r.asDict() for r in quality_rules.features(documents(spark, texts)).collect()]
+    assert len(rows) == len(texts)
     for row in rows:
         text = row["text"] or ""
         words = [w.decode() for w in text.encode().split()]
         seen = collections.Counter(zip(words, words[1:], words[2:]))
         covered = {i + j for i in range(len(words) - 2) if seen[tuple(words[i : i + 3])] > 1 for j in range(3)}
         assert (row["n_words"], row["word_chars"], row["n_repeat_words"]) == (len(words), sum(map(len, words)), len(covered))
+        lines = [line for line in text.split("\n") if line.encode().split()]
+        assert (row["n_lines"], row["n_dup_lines"]) == (len(lines), len(lines) - len(set(lines))), repr(text[:40])
+        assert row["n_symbols"] == sum(text.count(c) for c in "#*$%&|<>")
     tails = spark.createDataFrame([(k, n) for n in (5, 40, 700, 5000) for k in (0, 1, 3, 17) if k < n], "k long, n long")
     for k, n, tail in tails.select("k", "n", quality_rules.binomial_tail("k", "n", "0.01D")).collect():
         exact = math.fsum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(0.01) + (n - i) * math.log(0.99)) for i in range(k + 1))

@@ -50,7 +50,9 @@ def features(df: DataFrame, text_col: str = "text") -> DataFrame:
     bare = F.trim(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
     df = df.withColumn("_t", bare)
     df = df.withColumn("_w", F.when(F.col("_t") == "", F.array().cast("array<string>")).otherwise(F.split("_t", f"[{_BREAKS}]+")))
-    df = df.withColumn("_lines", F.filter(F.split("_t", "\n"), lambda x: x.rlike(f"[^{_BREAKS}]")))
+    # Lines are compared as they stand in the text, with the white space at their ends.
+    whole = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    df = df.withColumn("_lines", F.filter(F.split(whole, "\n"), lambda x: x.rlike(f"[^{_BREAKS}]")))
     df = df.withColumns({"_n": F.size("_w"), "_chars": F.array_join("_w", "")})
     df = df.withColumn("_bits", F.expr("case when _n < 2 then 1 else cast(ceil(log2(_n)) as int) + 1 end"))
     df = df.withColumn("_windows", F.expr("""
