@@ -41,20 +41,75 @@ def test_stream_matches_batch(spark, workdir):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_replayed_epoch_is_idempotent(spark, workdir):
-    from pyspark.sql import functions as F
+def _dropped(spark, workdir, lines: dict):
+    """The given files (name -> lines) in the drop folder, and the frame of their paths and sizes."""
+    folder = os.path.join(workdir, "external", "dvf")
+    os.makedirs(folder, exist_ok=True)
+    rows = []
+    for name, text in lines.items():
+        path = os.path.join(folder, name)
+        with open(path, "w") as handle:
+            handle.write("\n".join(text) + "\n")
+        rows.append((path, os.path.getsize(path)))
+    return spark.createDataFrame(rows, "path string, length long")
 
-    from zonescope.streaming.incremental import process_batch
 
+def _sales_lines(columns, rows):
+    return ["|".join(columns), *("|".join(r.get(c, "") for c in columns) for r in rows)]
+
+
+def _sale(n, **cells):
+    return {"id_mutation": f"m{n}", "id_parcelle": f"p{n}", "date_mutation": f"2024-0{1 + n % 3}-05", "nature_mutation": "Vente",
+            "code_commune": "01001", "nom_commune": "A", "valeur_fonciere": str(100000 + n), "surface_reelle_bati": "50"} | cells
+
+
+def _batch_mart(spark, workdir, spec):
+    from zonescope.sources.files import ingest_dataset, read_bronze
+
+    ingest_dataset(spark, spec, f"{workdir}/external", f"{workdir}/batch", "2024-06-30")
+    return round_doubles(zone_month_prices(sales_fact(stg_sales(read_bronze(spark, spec, f"{workdir}/batch")))))
+
+
+def test_stream_takes_markers_and_headers_as_batch_does(spark, workdir):
     spec = DEFAULT_SPECS["dvf_mutations"]
-    raw = raw_dataset(spark, SF_SMALL, "dvf_mutations")
-    batch = raw.select(*spec.expected_columns).withColumn("_file_path", F.lit(f"{workdir}/external/dvf/x.csv"))
-    lake = os.path.join(workdir, "lake")
-    args = (spec, f"{workdir}/external", f"{lake}/bronze/dvf_mutations", f"{lake}/marts/real_estate_zone_monthly",
-            "2024-06-30")
-    process_batch(spark, batch, 0, *args)
-    process_batch(spark, batch, 0, *args)          # the same epoch again, as after a failure
-    assert spark.read.parquet(f"{lake}/silver/fact_real_estate_transactions").count() == raw.count()
-    got = round_doubles(read_monthly_mart(spark, lake))
-    want = round_doubles(zone_month_prices(sales_fact(stg_sales(raw))))
+    columns = list(spec.expected_columns)
+    _dropped(spark, workdir, {
+        "1.csv": _sales_lines(columns, [_sale(0), _sale(1, code_commune="NA")]),
+        "2.csv": _sales_lines(columns[::-1], [_sale(2), _sale(3, date_mutation="null")]),
+        "3.csv": _sales_lines([c for c in columns if c != "nom_commune"], [_sale(4), _sale(5)]),
+    })
+    for checkpoint in ("one", "lost-and-new"):     # the second reads every file again, as a run of its own
+        start_sales_stream(spark, f"{workdir}/external", f"{workdir}/lake", "2024-06-30",
+                           checkpoint=f"{workdir}/{checkpoint}", max_files_per_trigger=1).awaitTermination()
+        got = round_doubles(read_monthly_mart(spark, f"{workdir}/lake"))
+        want = _batch_mart(spark, workdir, spec)
+        assert {r["zone_id"] for r in got.collect()} == {"01001"}
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_replay_after_a_crash_between_silver_and_mart(spark, workdir, monkeypatch):
+    import pytest
+
+    from zonescope.streaming import incremental
+
+    spec = DEFAULT_SPECS["dvf_mutations"]
+    columns = list(spec.expected_columns)
+    first = _dropped(spark, workdir, {"1.csv": _sales_lines(columns, [_sale(n) for n in range(6)])})
+    second = _dropped(spark, workdir, {"2.csv": _sales_lines(columns, [_sale(n) for n in range(6, 9)])})
+    args = (spec, f"{workdir}/external", f"{workdir}/lake/bronze/dvf_mutations",
+            f"{workdir}/lake/marts/real_estate_zone_monthly", "2024-06-30")
+    incremental.process_batch(spark, first, 0, *args)
+
+    def crash(_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "zone_month_prices", crash)
+        with pytest.raises(RuntimeError):
+            incremental.process_batch(spark, second, 1, *args)
+    incremental.process_batch(spark, second, 1, *args)
+    incremental.process_batch(spark, second, 1, *args)     # and the same epoch once more
+    assert spark.read.parquet(f"{workdir}/lake/silver/fact_real_estate_transactions").count() == 9
+    got = round_doubles(read_monthly_mart(spark, f"{workdir}/lake"))
+    want = _batch_mart(spark, workdir, spec)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

@@ -196,7 +196,11 @@ def read_bronze(
         # A literal lets Spark prune the scan to the latest snapshot's partition.
         latest = df.agg(F.max("snapshot_date")).first()[0]
         df = df.where(F.col("snapshot_date") == F.lit(latest))
-    df = df.drop("snapshot_date")
+    return with_raw_columns(df.drop("snapshot_date"), spec)
+
+
+def with_raw_columns(df: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Expected, grid and metadata columns that no file had, added as NULL text."""
     wanted = [*spec.expected_columns, *(GRID_COLUMNS if spec.name in GRID_DATASETS else ()), *METADATA_COLUMNS]
     for column in wanted:
         if column not in df.columns:

@@ -1,21 +1,25 @@
 """Incremental ingestion of the sales drop folder (ST1).
 
-A Structured Streaming file source watches the drop folder; each file is
-processed once (the checkpoint records it).  Every micro-batch, in
-``foreachBatch``:
-
-1. appends its raw rows to bronze under ``snapshot_date=<d>/_batch=<epoch>``
-   (dynamic partition overwrite: a replayed epoch rewrites its own partition);
-2. finds the months the batch touches (late sales simply reopen their month;
-   the list is bounded by the calendar, not by the data);
-3. rebuilds those months of the silver fact (partitioned by ``month_key``):
-   the month's earlier rows, minus any rows of this same epoch (replay), plus
-   the batch; the result is checkpointed, then written over just those month
-   partitions — so a month stays one compact set of files and a replay never
-   duplicates rows;
-4. recomputes the monthly mart for those months from that same data and
-   overwrites only their ``month_key`` partitions.  A batch costs what its
-   months hold, not the whole history.
+A Structured Streaming file source watches the drop folder for file names (the
+contents are not read by it); each file is processed once (the checkpoint
+records it).  Every micro-batch, in ``foreachBatch``:
+
+1. reads its files with the batch ingestion's own reader and metadata (headers
+   in any order, missing columns, missing-value markers: one row builder for
+   both) and writes them to bronze under
+   ``snapshot_date=<d>/_run=<r>/_batch=<epoch>``;
+2. writes its typed rows to the silver fact under
+   ``_run=<r>/month_key=<m>/_batch=<epoch>``.  An epoch only ever writes its own
+   partitions, so a replay replaces exactly its own rows and a crash at any
+   point loses no earlier ones;
+3. finds the months it touched (late sales simply reopen their month; the list
+   is bounded by the calendar, not by the data) and recomputes the monthly mart
+   for those months from all of the run's silver rows, overwriting only their
+   ``month_key`` partitions.  A batch costs what its months hold.
+
+``_run`` is the id that the stream's checkpoint carries.  A stream started with
+a new checkpoint reads every file again and is a run of its own: the mart then
+rests on that run's rows alone, so nothing is counted twice.
 
 No watermark is needed: a month is recomputed whenever a sale for it arrives.
 ``trigger(availableNow=True)`` processes everything present, then stops.
@@ -23,38 +27,24 @@ No watermark is needed: a month is recomputed whenever a sale for it arrives.
 
 from __future__ import annotations
 
+import datetime as dt
 import posixpath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from zonescope.functions.columns import grid_cell, missing_to_null, month_start, to_double
+from zonescope.functions.columns import month_start
 from zonescope.operators.monthly import zone_month_prices
 from zonescope.operators.staging import sales_fact, stg_sales
 from zonescope.session import ensure_checkpoint_dir, scratch_path
-from zonescope.sources.files import relative_source
+from zonescope.sources.files import SourceFile, read_source_files, with_metadata, with_raw_columns
 from zonescope.sources.specs import DEFAULT_SPECS, DatasetSpec
 
 
-def _bronze_rows(batch: DataFrame, spec: DatasetSpec, root: str, snapshot_date: str, epoch: int) -> DataFrame:
-    lat, lon = to_double("latitude"), to_double("longitude")
-    return batch.select(
-        *[missing_to_null(c).alias(c) for c in spec.expected_columns],
-        F.lit(spec.name).alias("_dataset_name"),
-        relative_source(F.col("_file_path"), root).alias("_source_file"),
-        F.lit(snapshot_date).alias("_snapshot_date"),
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("_ingested_at"),
-        grid_cell(lat, lon, 8).alias("h3_res8"),
-        grid_cell(lat, lon, 9).alias("h3_res9"),
-        F.lit(snapshot_date).alias("snapshot_date"),
-        F.lit(epoch).alias("_batch"),
-    )
-
-
 def process_batch(
     spark: SparkSession,
-    batch: DataFrame,
+    files: DataFrame,
     epoch: int,
     spec: DatasetSpec,
     external_root: str,
@@ -62,35 +52,34 @@ def process_batch(
     mart_path: str,
     snapshot_date: str,
     silver_path: str | None = None,
+    run: str = "0",
 ) -> None:
+    """Ingest the files (``path``, ``length``) of one micro-batch of the run ``run``."""
     silver_path = silver_path or posixpath.join(posixpath.dirname(posixpath.dirname(bronze_path)), "silver",
                                                 "fact_real_estate_transactions")
-    rows = _bronze_rows(batch, spec, external_root, snapshot_date, epoch)
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("snapshot_date", "_batch").parquet(bronze_path))
-    written = spark.read.parquet(bronze_path).where(F.col("_batch") == epoch).drop("snapshot_date", "_batch")
+    # One row of file metadata each, as many as a trigger admits.
+    sources = sorted((SourceFile(r["path"], int(r["length"])) for r in files.collect() if r["length"]),
+                     key=lambda f: f.path)
+    if not sources:
+        return
+    ingested_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat()
+    rows = with_metadata(read_source_files(spark, spec, sources, spec.multiline), spec, external_root, snapshot_date,
+                         ingested_at)
+    own = posixpath.join(bronze_path, f"snapshot_date={snapshot_date}", f"_run={run}", f"_batch={epoch}")
+    rows.write.mode("overwrite").parquet(own)
+    written = with_raw_columns(spark.read.schema(rows.schema).parquet(own), spec)
     fact = (sales_fact(stg_sales(written)).withColumn("month_key", month_start("date_mutation"))
-            .withColumn("_batch", F.lit(epoch)).checkpoint())
+            .withColumn("_run", F.lit(run)).withColumn("_batch", F.lit(epoch)))
+    (fact.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("_run", "month_key", "_batch").parquet(silver_path))
+    silver = spark.read.schema(fact.schema).parquet(silver_path).where(F.col("_run") == run)
     # The touched months: at most one value per calendar month, so a short list.
-    months = [r[0] for r in fact.select("month_key").distinct().collect()]
-    if not months:
-        return
+    months = [r[0] for r in silver.where(F.col("_batch") == epoch).select("month_key").distinct().collect()]
     dated = [m for m in months if m is not None]
     touched = F.col("month_key").isin(dated) if dated else F.lit(False)
     if len(dated) < len(months):
         touched = touched | F.col("month_key").isNull()   # the unreadable-date group
-    try:
-        earlier = spark.read.parquet(silver_path).where(touched & (F.col("_batch") != epoch))
-        combined = earlier.unionByName(fact.select(*earlier.columns))
-    except Exception as exc:  # noqa: BLE001 - first batch: no silver table yet
-        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-            raise
-        combined = fact
-    # Cut the lineage before overwriting the partitions it was read from.
-    combined = combined.checkpoint()
-    (combined.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("month_key").parquet(silver_path))
-    affected = combined.where(F.col("zone_id").isNotNull()).drop("month_key", "_batch")
+    affected = silver.where(touched & F.col("zone_id").isNotNull()).drop("month_key", "_run", "_batch")
     (zone_month_prices(affected).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("month_key").parquet(mart_path))
 
@@ -107,18 +96,14 @@ def start_sales_stream(
     """Start (availableNow) the incremental sales ingestion; returns the query."""
     spec = spec or DEFAULT_SPECS["dvf_mutations"]
     folder = posixpath.join(external_root, posixpath.dirname(spec.path_glob))
-    text_schema = ", ".join(f"`{c}` string" for c in spec.expected_columns)
     reader = (
-        spark.readStream.schema(text_schema)
-        .option("header", True)
-        .option("sep", spec.delimiter)
-        .option("escape", '"')
-        .option("enforceSchema", False)   # a file whose header differs fails loudly instead of shifting columns
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("pathGlobFilter", posixpath.basename(spec.path_glob))
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(folder).select("*", F.col("_metadata.file_path").alias("_file_path"))
+    stream = reader.load(folder).select("path", "length")
     bronze_path = posixpath.join(lake_root, "bronze", spec.name)
     mart_path = posixpath.join(lake_root, "marts", "real_estate_zone_monthly")
     checkpoint = checkpoint or scratch_path(spark, f"streams/{spec.name}")
@@ -126,7 +111,8 @@ def start_sales_stream(
     ensure_checkpoint_dir(spark)
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        process_batch(spark, batch, epoch, spec, external_root, bronze_path, mart_path, snapshot_date)
+        run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")   # kept by the checkpoint over restarts
+        process_batch(spark, batch, epoch, spec, external_root, bronze_path, mart_path, snapshot_date, run=run)
 
     return (
         stream.writeStream.foreachBatch(handle)
