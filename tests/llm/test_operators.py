@@ -6,6 +6,7 @@ import functools
 import hashlib
 import math
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -298,6 +299,44 @@ def test_licences(spark):
     assert license_scan.scan(documents(spark, texts).limit(0)).count() == 0
 
 
+def brute_labels(text):
+    """Labels and score with every licence word of every template counted at every relative position."""
+    words = re.findall("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", (text or "").translate(str.maketrans(license_scan._UPPER, license_scan._LOWER)))
+    line = f" {' '.join(words)} "
+    found = {label for phrase, label in license_scan.BASE_PHRASES.items() if f" {phrase} " in line}
+    best = 1.0 if found else 0.0
+    for label, notice, keys in license_scan.TEMPLATES:
+        places = [(i, w) for i, w in enumerate(notice.split()) if w not in license_scan.FUNCTION_WORDS]
+        support = collections.Counter(k - i for k, w in enumerate(words) for i, v in places if v == w)
+        share = max(support.values(), default=0) / len(places)
+        if share >= license_scan.COVERAGE and all(f" {key} " in line for key in keys):
+            found.add(label)
+            best = max(best, share)
+    return ",".join(sorted(found)), best
+
+
+def test_licences_of_files_with_several_notices(spark):
+    notices = [n for _, n, _ in license_scan.TEMPLATES]
+    rnd = random.Random(4)
+    texts = [" ".join(notices), "\n".join(reversed(notices)), "\n".join(notices[i] for i in (2, 7, 12, 1)), "\n".join(notices[i] for i in (1, 6, 5)), "\n".join(notices[i] for i in (1, 5, 12))]
+    texts += [" filler ".join(rnd.sample(notices, k)) for k in (2, 3, 4, 5, 8)]
+    # A word changed, dropped or moved, so that places differ; key phrases without enough of their notice, more than once.
+    for _ in range(20):
+        words = " x ".join(rnd.sample(notices, 4)).split()
+        for _ in range(6):
+            words[rnd.randrange(len(words))] = rnd.choice(["", "software", "other", "license"])
+        texts.append(" ".join(words))
+    texts += ["permission is hereby granted free of charge", "public license " * 500 + notices[5]]
+    rows = list(enumerate(texts)) + [(900, "permission is hereby granted free of charge")] * 3 + [(901, texts[0])] * 2
+    out = license_scan.scan(documents(spark, rows)).collect()
+    assert sorted(r["doc_id"] for r in out) == sorted(i for i, _ in rows)
+    want = dict(rows)
+    for row in out:
+        labels, score = brute_labels(want[row["doc_id"]])
+        assert row["labels"] == labels and row["score"] == pytest.approx(score), row["doc_id"]
+    assert brute_labels(texts[2])[0] == "all-rights-reserved,apache,mit,mpl"
+
+
 def test_language_forward_sum_is_over_all_segmentations():
     names = ["▁", "a", "b", "ab", "▁a", "▁ab", "ba"]
     matrix = np.array([[0.2, 0.1], [0.1, 0.2], [0.1, 0.1], [0.2, 0.1], [0.1, 0.2], [0.1, 0.2], [0.2, 0.1]])

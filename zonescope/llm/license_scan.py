@@ -2,10 +2,11 @@
 
 Templates are short public notices.  Their words, function words aside, are
 the licence words; inverse document frequencies of these are counted over all
-files.  A file's ``TOP_WORDS`` rarest licence words are looked up, with their
-positions, in the postings of the templates; words of one template that fall
-on one relative position support each other, and a template with enough of its
-words in place is reported when all its key phrases stand in the file.
+files.  A template whose key phrases all stand in a file is looked up by its
+rarest words: each of their places in the file proposes a relative position.
+Every licence word of the template is then counted at every proposed position.
+As many rare words are looked up as may be missing, and one more, so that no
+position with enough words in place goes unproposed.
 
 Base phrases are found in every file beside that.
 
@@ -16,6 +17,7 @@ empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +45,6 @@ TEMPLATES = (
 )
 #: Function words, no licence words.
 FUNCTION_WORDS = frozenset("a all and any are by can for in into is it of or the this to under use with without you".split())
-TOP_WORDS = 12
 #: Share of a template's licence words that must stand in place.
 COVERAGE = 0.6
 _NO_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -65,11 +66,11 @@ def _sql_strings(values) -> str:
 
 
 def measured(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, row_key, n_words, base places, and licence words with positions where there are any."""
+    """Per row: doc_id, n_words, base places, and licence words with positions, and the file's words, where a key phrase stands."""
     words = sorted({w for w, *_ in _postings()})
     phrases = sorted({p for _, _, keys in TEMPLATES for p in keys})
     plain = F.translate(F.coalesce(df[text_col].cast("string"), F.lit("")), _UPPER, _LOWER)
-    rows = df.select(df[id_col].cast("long").alias("doc_id"), F.xxhash64(df[text_col].cast("string")).alias("row_key"), F.trim(F.regexp_replace(plain, _NO_WORD, " ")).alias("_line"))
+    rows = df.select(df[id_col].cast("long").alias("doc_id"), F.trim(F.regexp_replace(plain, _NO_WORD, " ")).alias("_line"))
     rows = rows.withColumn("_w", F.expr("case when _line = '' then cast(array() as array<string>) else split(_line, ' ') end"))
     rows = rows.withColumn("present", F.expr(f"array_intersect(_w, {_sql_strings(words)})"))
     rows = rows.withColumn("_ends", F.expr("""case when array_contains(present, 'license') then filter(sequence(0, size(_w) - 1), i -> _w[i] = 'license' and coalesce(
@@ -77,10 +78,11 @@ def measured(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     rows = rows.withColumn("base", F.expr("""transform(_ends, i -> named_struct(
         'start', cast(case when get(_w, i - 1) = 'public' then i - 2 else i - 1 end as bigint),
         'label', case get(_w, i - 1) when 'mit' then 'mit' when 'apache' then 'apache' else 'gpl' end))"""))
-    rows = rows.withColumn("hits", F.expr("""case when size(present) > 0 then filter(transform(_w, (w, i) -> named_struct('word', w, 'place', i)), h -> array_contains(present, h.word)) end"""))
     rows = rows.withColumn("phrases", F.expr(f"""case when size(present) > 0 then filter({_sql_strings(phrases)}, p -> contains(concat(' ', _line, ' '), concat(' ', p, ' '))) end"""))
+    rows = rows.withColumn("words", F.expr("case when size(phrases) > 0 then _w end"))
+    rows = rows.withColumn("hits", F.expr("""case when size(phrases) > 0 then filter(transform(_w, (w, i) -> named_struct('word', w, 'place', i)), h -> array_contains(present, h.word)) end"""))
     return rows.select(
-        "doc_id", "row_key", F.size("_w").cast("long").alias("n_words"), "present", "hits", "phrases",
+        "doc_id", F.size("_w").cast("long").alias("n_words"), "present", "hits", "phrases", "words",
         F.coalesce(F.size("base"), F.lit(0)).cast("long").alias("n_base"),
         F.expr("array_min(transform(base, b -> b.start))").alias("first_word"),
         F.expr("array_max(transform(base, b -> b.start))").alias("last_word"),
@@ -88,9 +90,16 @@ def measured(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     )
 
 
-def _templates(spark: SparkSession) -> DataFrame:
-    keys = [(n, label, list(keys)) for n, (label, _, keys) in enumerate(TEMPLATES)]
-    return _inline(spark, "template int, label string, keys array<string>", ", ".join(f"({n}, '{label}', {_sql_strings(k)})" for n, label, k in keys))
+def _templates(rarity: DataFrame) -> DataFrame:
+    """One row: an array of all templates, with all their postings and the rarest ones for the lookup."""
+    spark = rarity.sparkSession
+    notices = _inline(spark, "template int, label string, keys array<string>, need int", ", ".join(
+        f"({n}, '{label}', {_sql_strings(keys)}, {math.ceil(COVERAGE * of)})" for n, (label, _, keys) in enumerate(TEMPLATES) for of in [sum(t == n for _, t, *_ in _postings())]))
+    postings = _inline(spark, "word string, template int, position int, of int", ", ".join(f"('{w}', {t}, {p}, {n})" for w, t, p, n in _postings()))
+    ranked = postings.join(F.broadcast(rarity), "word", "left").groupBy("template", "of").agg(
+        F.array_sort(F.collect_list(F.struct((-F.col("idf")).alias("r"), "word", "position"))).alias("postings"))
+    whole = ranked.join(notices, "template").withColumn("lookups", F.expr("slice(postings, 1, of - need + 1)"))
+    return whole.agg(F.collect_list(F.struct("label", "keys", "need", "of", "postings", "lookups")).alias("templates"))
 
 
 def _inline(spark: SparkSession, names: str, values: str) -> DataFrame:
@@ -106,19 +115,14 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     seen = with_words.select(F.explode("present").alias("word")).groupBy("word").agg(F.count("*").alias("files"))
     total = files.agg(F.count("*").alias("total"))
     rarity = seen.crossJoin(F.broadcast(total)).select("word", F.log((F.col("total") + 1) / (F.col("files") + 1)).alias("idf"))
-    rarity = rarity.agg(F.map_from_entries(F.collect_list(F.struct("word", "idf"))).alias("idf"))
-    ranked = with_words.crossJoin(F.broadcast(rarity)).withColumn("top", F.expr(f"""slice(transform(
-        array_sort(transform(present, w -> named_struct('r', -idf[w], 'w', w))), x -> x.w), 1, {TOP_WORDS})"""))
-    found = ranked.select("doc_id", "row_key", "phrases", F.explode(F.expr("filter(hits, h -> array_contains(top, h.word))")).alias("h")).select("doc_id", "row_key", "phrases", "h.word", "h.place")
-    postings = _inline(spark, "word string, template int, position int, of int", ", ".join(f"('{w}', {t}, {p}, {n})" for w, t, p, n in _postings()))
-    placed = found.join(F.broadcast(postings), "word").withColumn("shift", F.col("place") - F.col("position"))
-    # Each posting counts once at one shift: a position of the file holds one word.
-    support = placed.groupBy("doc_id", "row_key", "template", "shift").agg(F.count("*").alias("n"), F.first("of").alias("of"), F.first("phrases").alias("phrases"))
-    support = support.where(F.col("n") >= COVERAGE * F.least("of", F.lit(TOP_WORDS)))
-    verified = support.join(F.broadcast(_templates(spark)), "template").where("size(array_except(keys, phrases)) = 0")
-    labels = verified.groupBy("doc_id", "row_key").agg(F.collect_set("label").alias("found"), F.max(F.least(F.lit(1.0), F.col("n") / F.col("of"))).alias("best"))
-    labels = labels.withColumnsRenamed({"doc_id": "_doc", "row_key": "_row"})
-    joined = files.join(labels, files["doc_id"].eqNullSafe(labels["_doc"]) & files["row_key"].eqNullSafe(labels["_row"]), "left")
-    every = F.array_sort(F.array_union("base_set", F.coalesce("found", F.array().cast("array<string>"))))
-    score = F.greatest(F.coalesce("best", F.lit(0.0)), F.when(F.col("n_base") > 0, 1.0).otherwise(0.0))
-    return joined.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_set", ",").alias("base_labels"), F.array_join(every, ",").alias("labels"), score.cast("double").alias("score"))
+    # The most words of each template in place at one relative position.
+    placed = files.crossJoin(F.broadcast(_templates(rarity))).withColumn("placed", F.expr("""
+        transform(filter(templates, t -> size(phrases) > 0 and size(array_except(t.keys, phrases)) = 0), t -> named_struct('label', t.label, 'need', t.need, 'of', t.of,
+            'n', coalesce(array_max(transform(
+                array_distinct(flatten(transform(t.lookups, p -> transform(filter(hits, h -> h.word = p.word), h -> h.place - p.position)))),
+                shift -> size(filter(t.postings, p -> coalesce(get(words, shift + p.position) = p.word, false))))), 0)))"""))
+    verified = placed.withColumn("verified", F.expr("filter(placed, t -> t.n >= t.need)"))
+    every = F.expr("array_sort(array_union(base_set, transform(verified, t -> t.label)))")
+    best = F.expr("array_max(transform(verified, t -> t.n / t.of))")
+    score = F.greatest(F.coalesce(best, F.lit(0.0)), F.when(F.col("n_base") > 0, 1.0).otherwise(0.0))
+    return verified.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_set", ",").alias("base_labels"), F.array_join(every, ",").alias("labels"), score.cast("double").alias("score"))
