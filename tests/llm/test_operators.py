@@ -194,6 +194,44 @@ def test_quality_counts_and_cutoffs(spark, corpus):
     assert quality_rules.features(documents(spark, corpus).limit(0)).count() == 0
 
 
+def test_quality_cutoffs_hold_the_joint_risk(spark):
+    """All rules are tested together at the whole risk; few labels fall back to the pooled stratum; a failed test does not."""
+    rnd = random.Random(8)
+    rows, labels = [], []
+    sizes = {"aa": 800, "bb": 100, "cc": 600, None: 40, "none": 0}
+    for lang, n in sizes.items():
+        for kind in ("good", "bad", "new"):
+            for k in range(n if kind == "good" else 60):
+                junk = kind == "bad" or (kind == "new" and k < 6)
+                symbols = rnd.randrange(60, 200) if junk and k % 2 else 0
+                marks = rnd.randrange(60, 200) if junk and not k % 2 else 0
+                lines = rnd.randrange(10) if kind != "bad" and not k % 8 else 0  # good documents differ here: no rule for them
+                # Good documents of cc look like junk.
+                symbols = 150 if lang == "cc" and kind == "good" and k % 10 == 0 else symbols
+                rows.append((len(rows), lang, 100, 600, symbols, marks, 20, lines, 0))
+                if kind != "new":
+                    labels.append((rows[-1][0], int(kind == "good")))
+    measured = spark.createDataFrame(rows, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_marks long, n_lines long, n_dup_lines long, n_repeat_words long")
+    labelled = spark.createDataFrame(labels, "doc_id long, quality int")
+    cutoffs = quality_rules.fit_cutoffs(measured, labelled)
+    cut = {r["stratum"]: r for r in cutoffs.collect()}
+    assert cut["aa"]["cut_symbol_share"] <= 5 and cut["aa"]["cut_mark_share"] <= 5
+    # 60 of 600 good documents of cc are no proof, and enough to spoil the pooled stratum's way to the junk.
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules.judge(measured, cutoffs).collect()}
+    quality = dict(labels)
+    wrong = collections.Counter((r[1], quality.get(r[0])) for r in rows if not kept[r[0]])
+    assert wrong["aa", 0] == 60 and wrong["aa", 1] < 0.01 * 800
+    assert wrong["cc", 1] < 0.01 * 600 and "none" not in cut
+    assert sum(n for (_, good), n in wrong.items() if good == 1) < 0.01 * sum(sizes.values())
+    # Without cc the pooled stratum is proven, and the strata with few labels use it.
+    cutoffs = quality_rules.fit_cutoffs(measured.where("lang is null or lang <> 'cc'"), labelled)
+    cut = {r["stratum"]: r for r in cutoffs.collect()}
+    assert set(cut) == {"aa", "bb", ""} and cut["bb"][1:] == cut[""][1:]
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules.judge(measured, cutoffs).collect()}
+    assert not any(kept[r[0]] for r in rows if r[1] in ("aa", "bb", None) and quality.get(r[0]) == 0)
+    assert all(kept[r[0]] for r in rows if r[1] == "none")
+
+
 def brute_repeats(texts):
     first = {}
     words = {i: (t or "").encode().split() for i, t in texts if i is not None}

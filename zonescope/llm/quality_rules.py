@@ -1,14 +1,23 @@
 """Quality rules with risk-controlled thresholds (DataFrame functions only).
 
 Fixed base rules fail a document outright.  Beside them each rule of
-:data:`RULES` has a score from 0 to 1, and a cutoff per stratum chosen from
-labelled documents: the lowest cutoff for which an exact binomial test shows
-that at most ``risk`` of the stratum's good documents would be rejected.
-Cutoffs are tried from the loosest down and the first one that is not proven
-ends the search (a fixed sequence needs no correction inside it); the error
-level is divided by the number of strata times the number of rules
-(Bonferroni), and ``risk`` by the number of rules, so that all rules together
-keep to it.  A stratum without enough labelled documents gets no cutoff.
+:data:`RULES` has a score from 0 to 1, and a stratum has a vector of cutoffs,
+one per rule, chosen from one ordered family of vectors: each step lowers one
+rule's cutoff by one bin.  The order is made from documents that the test does
+not use, those labelled bad and those without a label: first come the steps
+whose tails hold the most bad documents for each unlabelled one.  The labelled
+good documents then test the steps in that order, all rules at once: an exact
+binomial test must show that at most ``risk`` of the stratum's good documents
+would be rejected by any rule.  The first step that is not proven ends the
+search (a fixed sequence needs no correction inside it), so neither risk nor
+error is divided by the rules; the error level is divided by the number of
+strata and the pooled one (Bonferroni).
+
+A stratum with fewer labelled good documents than a proof without any rejection
+takes, but at least one, uses the cutoffs of the pooled stratum: all strata
+together, with an order and a test of their own.  There at most ``risk`` of the
+good documents of all strata together would be rejected.  A stratum with enough
+of them whose test fails, or with none, gets no cutoffs.
 
 Results: a null text has no words and fails; a null stratum is a stratum of
 its own; labels of unknown documents are ignored, a document labelled more
@@ -21,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from zonescope.llm.common import stored
+
 MIN_WORDS = 50
 BINS = 50
 RISK = 0.01
@@ -101,21 +112,38 @@ def binomial_tail(k: str, n: str, p: str) -> Column:
 
 
 def fit_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR, id_col: str = "doc_id") -> DataFrame:
-    """One row per stratum with a proven cutoff bin for at least one rule; ``cut_<rule>`` is null where none is proven."""
-    good = labels.where(F.col(id_col).isNotNull() & F.col("quality").isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max("quality").alias("_good"))
-    rows = measured.join(good, measured[id_col] == good["_id"]).where((F.col("_good") == 1) & ~base_failed())
-    rows = rows.select(F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), _bin(score()).alias("bin")) for name, score in RULES.items()])).alias("r"))
-    counts = rows.groupBy("stratum", "r.rule", "r.bin").agg(F.count("*").alias("n"))
-    histogram = counts.groupBy("stratum", "rule").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("by_bin"))
-    strata = counts.agg(F.greatest(F.countDistinct("stratum"), F.lit(1)).alias("strata"))
-    level, p = error / len(RULES), f"{risk / len(RULES)!r}D"
-    tests = histogram.crossJoin(F.broadcast(strata)).select("stratum", "rule", "total", "strata", "by_bin", F.explode(F.expr(f"sequence(1, {BINS})")).alias("cut"))
-    tests = tests.withColumn("rejected", F.expr("aggregate(map_entries(by_bin), 0L, (a, e) -> a + case when e.key >= cut then e.value else 0L end)"))
-    tests = tests.withColumn("proven", F.when(F.col("rejected") >= F.col("total") * (risk / len(RULES)), False).otherwise(binomial_tail("rejected", "total", p) <= F.lit(level) / F.col("strata")))
-    loosest_first = Window.partitionBy("stratum", "rule").orderBy(F.col("cut").desc())
-    tests = tests.withColumn("held", F.min(F.col("proven").cast("int")).over(loosest_first))
-    chosen = tests.where("held = 1").groupBy("stratum", "rule").agg(F.min("cut").alias("cut"))
-    return chosen.groupBy("stratum").agg(*[F.min(F.when(F.col("rule") == name, F.col("cut"))).alias(f"cut_{name}") for name in RULES])
+    """One row per stratum with a proven vector of cutoff bins; ``cut_<rule>`` is null where the vector does not cut by a rule."""
+    known = labels.where(F.col(id_col).isNotNull() & F.col("quality").isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max("quality").alias("_good"))
+    rows = measured.join(known, measured[id_col] == known["_id"], "left").where(~base_failed())
+    names = list(RULES)
+    cells = rows.groupBy(F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), F.col("_good").alias("good"), *[_bin(score()).alias(name) for name, score in RULES.items()]).agg(F.count("*").alias("n"))
+    cells = stored(cells, "quality-cells")
+    cells = cells.withColumn("pooled", F.lit(False)).unionByName(cells.withColumns({"stratum": F.lit(""), "pooled": F.lit(True)}))
+    key = ["pooled", "stratum"]
+    good, others = cells.where("good = 1"), cells.where("good is null or good <> 1")
+    totals = good.groupBy(*key).agg(F.sum("n").alias("total"))
+    # Every cutoff of every rule with the unlabelled and bad documents it rejects, ordered into steps.
+    tails = others.select(*key, F.when(F.col("good").isNull(), F.col("n")).otherwise(0).alias("new"), F.when(F.col("good").isNotNull(), F.col("n")).otherwise(0).alias("bad"),
+                          F.posexplode(F.array(*names)).alias("rule", "cut")).groupBy(*key, "rule", "cut").agg(F.sum("new").alias("new"), F.sum("bad").alias("bad"))
+    grid = totals.select(*key, F.explode(F.expr(f"sequence(0, {len(names) - 1})")).alias("rule")).withColumn("cut", F.explode(F.expr(f"sequence(1, {BINS})")))
+    loosest_first = Window.partitionBy(*key, "rule").orderBy(F.col("cut").desc())
+    steps = grid.join(tails, [*key, "rule", "cut"], "left").fillna(0, ["new", "bad"])
+    steps = steps.withColumn("cost", F.sum("new").over(loosest_first) / (F.sum("bad").over(loosest_first) + 1)).withColumn("cost", F.max("cost").over(loosest_first))
+    steps = steps.withColumn("step", F.row_number().over(Window.partitionBy(*key).orderBy("cost", F.col("cut").desc(), "rule"))).select(*key, "rule", "cut", "step")
+    # The step at which a good document is first rejected, by any rule.
+    places = steps.groupBy(*key).agg(F.expr("transform(array_sort(collect_list(struct(rule, cut, step))), x -> x.step)").alias("places"))
+    first = F.least(*[F.expr(f"case when {name} > 0 then places[{rule * BINS} + {name} - 1] end") for rule, name in enumerate(names)])
+    rejected = good.join(places, key).groupBy(*key, first.alias("step")).agg(F.sum("n").alias("n"))
+    in_order = Window.partitionBy(*key).orderBy("step")
+    strata = totals.agg(F.count("*").alias("strata"))  # the pooled one among them
+    tests = steps.join(rejected, [*key, "step"], "left").withColumn("rejected", F.sum(F.coalesce("n", F.lit(0))).over(in_order))
+    tests = tests.join(totals, key).crossJoin(F.broadcast(strata))
+    tests = tests.withColumn("proven", F.when(F.col("rejected") >= F.col("total") * risk, False).otherwise(binomial_tail("rejected", "total", f"{risk!r}D") <= F.lit(error) / F.col("strata")))
+    held = tests.withColumn("held", F.min(F.col("proven").cast("int")).over(in_order)).where("held = 1")
+    cuts = held.groupBy(*key).agg(*[F.min(F.when(F.col("rule") == rule, F.col("cut"))).alias(f"cut_{name}") for rule, name in enumerate(names)])
+    too_few = totals.where("not pooled").crossJoin(F.broadcast(strata)).where(F.pow(F.lit(1 - risk), "total") > F.lit(error) / F.col("strata")).select("stratum")
+    fallen_back = too_few.crossJoin(F.broadcast(cuts.where("pooled").drop(*key)))
+    return cuts.where("not pooled").drop("pooled").unionByName(fallen_back)
 
 
 def _bin(score: Column) -> Column:
