@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonescope.llm import bpe, chat_format, lang_id, license_scan, maxent, minmax_hash, packing, pivot_index, quality_rules, superkmer
+from zonescope.llm import (
+    bpe,
+    chat_format,
+    lang_id,
+    license_scan,
+    line_runs,
+    maxent,
+    minmax_hash,
+    packing,
+    pivot_index,
+    quality_rules,
+    recompression,
+    reversed_search,
+    superkmer,
+)
 from zonescope.llm.common import crc_bucket, id_and_text, stored
 from zonescope.llm.oracle import ORACLES
 
@@ -76,6 +91,41 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(rows.unionByName(extra)))
 
 
+def op11_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reversed_search.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op12_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_runs.drop_repeated_lines(_read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def planted_repeats(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The query's planted runs: a document whose id's crc32 ends in 0 repeats a stretch from word ``a`` to its end (fixed rule)."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * (-(-(n - a) // p)))[: n - a]
+
+
+def op13_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = recompression.periodic_runs(_read(spark, sf_dir, "documents"), rewrite=planted_repeats)
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_pivot_index": op2_pivot_index,
@@ -87,6 +137,9 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": op8_license_scan,
     "op9_lang_id": op9_lang_id,
     "op10_chat_format": op10_chat_format,
+    "op11_reversed_search": op11_reversed_search,
+    "op12_line_runs": op12_line_runs,
+    "op13_recompression": op13_recompression,
 }
 
 
