@@ -12,9 +12,11 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 from oracle_check import SPARK_TO_DUCK, TABLES, _digest  # noqa: E402
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from zonescope.plans.queries import oracle_queries, spark_queries  # noqa: E402
 
-QUERIES = queries()
-SQL = oracle_sql()
+# The queries of the optional folder have tests of their own beside it.
+QUERIES = spark_queries()
+SQL = oracle_queries()
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +36,10 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) - set(SQL) == NO_SQL and set(SQL) <= set(QUERIES)
 
 
+def test_entry_registers_them_all():
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql()) <= set(queries())
+
+
 def test_zone_clusters_shape(spark):
     clusters = QUERIES["zone_clusters"](spark, SF_SMALL)
     scores = QUERIES["zone_scores"](spark, SF_SMALL)

@@ -25,7 +25,7 @@ from zonescope.constants import (
     TOP_N_DEFAULT,
     TRUTHY_VALUES,
 )
-from zonescope.sources.adapter import RENDERINGS
+from zonescope.sources.adapter import EXTENSION_RENDERINGS, RENDERINGS
 
 
 def _in_list(values) -> str:
@@ -66,7 +66,7 @@ def round_d(expr: str, digits: int = 6) -> str:
 # --------------------------------------------------------------------------
 
 def _raw_cte(dataset: str) -> str:
-    table, renderings = RENDERINGS[dataset]
+    table, renderings = (RENDERINGS | EXTENSION_RENDERINGS)[dataset]
     source = {
         "supplier_geo": "(SELECT * FROM supplier JOIN nation ON s_nationkey = n_nationkey "
                         "JOIN region ON n_regionkey = r_regionkey)",
@@ -78,7 +78,7 @@ def _raw_cte(dataset: str) -> str:
     return f"raw_{dataset} AS ({body})"
 
 
-RAW_CTES = [_raw_cte(n) for n in RENDERINGS]
+RAW_CTES = [_raw_cte(n) for n in [*RENDERINGS, *EXTENSION_RENDERINGS]]
 
 # --------------------------------------------------------------------------
 # Staging.

@@ -24,7 +24,7 @@ from zonescope.operators.monthly import zone_month_prices
 from zonescope.operators.staging import sales_fact, stage_all
 from zonescope.plans import oracle
 from zonescope.plans.materialize import TableStore
-from zonescope.sources.adapter import raw_datasets
+from zonescope.sources.adapter import raw_dataset, raw_datasets
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -63,6 +63,10 @@ class Models:
     def raw(self) -> dict[str, DataFrame]:
         return self._get("raw", lambda: raw_datasets(self.spark, self.sf_dir))
 
+    def extra(self, dataset: str) -> DataFrame:
+        """A raw dataset of the documented extensions."""
+        return self._get(dataset, lambda: raw_dataset(self.spark, self.sf_dir, dataset))
+
     @property
     def staged(self) -> dict[str, DataFrame]:
         return self._get("staged", lambda: stage_all(self.raw))
@@ -289,6 +293,10 @@ from zonescope.plans.extensions import extension_queries  # noqa: E402
 
 QUERIES += extension_queries(Query)
 
+from zonescope.plans.spatial import spatial_queries  # noqa: E402
+
+QUERIES += spatial_queries(Query)
+
 QUERY_BY_NAME = {q.name: q for q in QUERIES}
 
 

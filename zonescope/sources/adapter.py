@@ -184,6 +184,87 @@ CADASTRE_EXPRS = [
     *_meta("cadastre_reference", "'cadastre/parcels.parquet'"),
 ]
 
+# --------------------------------------------------------------------------
+# Datasets of the documented extensions: zone boundaries, transport hubs,
+# listings, their stays and their nightly calendar.
+# --------------------------------------------------------------------------
+
+def _degrees(micro: str) -> str:
+    """Whole millionths of a degree as decimal text."""
+    return f"cast(cast(cast({micro} as decimal(18,0)) * cast(0.000001 as decimal(7,6)) as decimal(18,6)) as string)"
+
+
+# Outlines in thousandths of a degree around a zone's centre, scaled per zone: a concave outer ring, a hole that a
+# third of the zones have, a second part that a fifth have.  (part, ring, present if, vertices)
+_OUTLINE = [
+    (0, 0, "true", [(350, 0), (120, 110), (0, 330), (-140, 120), (-360, 40), (-110, -90), (20, -310), (130, -120)]),
+    (0, 1, "s_suppkey % 3 = 0", [(60, 0), (0, 60), (-60, 0), (0, -60)]),
+    (1, 0, "s_suppkey % 5 = 0", [(500, 400), (700, 400), (600, 600)]),
+]
+_CENTRE_X = "(s_suppkey % 10 - 3) * 1000000 + 200000 + (s_suppkey * 7919 % 600) * 1000"
+_CENTRE_Y = "(42 + s_suppkey % 7) * 1000000 + 200000 + (s_suppkey * 104729 % 600) * 1000"
+_ZONE_SCALE = "(1 + s_suppkey % 3) * 500"
+
+BOUNDARY_RENDERINGS = [
+    [
+        f"{zone_code('s_suppkey')} as code_commune",
+        f"'{part}' as part",
+        f"'{ring}' as ring",
+        f"'{vertex}' as vertex",
+        f"case when {present} then {_degrees(f'{_CENTRE_X} + {dx} * {_ZONE_SCALE}')} else '' end as longitude",
+        f"case when {present} then {_degrees(f'{_CENTRE_Y} + {dy} * {_ZONE_SCALE}')} else '' end as latitude",
+        *_meta("zone_boundaries", "'reference/contours.csv'"),
+    ]
+    for part, ring, present, vertices in _OUTLINE
+    for vertex, (dx, dy) in enumerate(vertices)
+]
+
+HUB_EXPRS = [
+    "'H' || cast(s_suppkey as string) as hub_id",
+    f"{_pick('s_nationkey % 4', ['Gare', 'Aeroport', 'gare', 'Port'])} as hub_kind",
+    f"case when s_suppkey % 17 = 5 then '' else {_degrees('(s_suppkey * 1299709) % 10000000 - 3000000')} end as longitude",
+    f"case when s_suppkey % 17 = 5 then '' else {_degrees('42000000 + (s_suppkey * 611953) % 7000000')} end as latitude",
+    *_meta("transport_hubs", "'accessibility/hubs.csv'"),
+]
+
+LISTING_EXPRS = [
+    "cast(p_partkey as string) as listing_id",
+    "case when p_partkey % 53 = 7 then '' else "
+    f"{zone_code('cast(floor(p_partkey / 20) as bigint)')} end as code_commune",
+    "case when p_size % 4 = 0 then 'Appartement' else 'Maison' end as property_type",
+    "case when p_partkey % 7 = 0 then '1998-03-15' else '1996-01-01' end as open_from",
+    "case when p_partkey % 11 = 0 then '2000-02-10' else '2002-01-01' end as open_to",
+    *_meta("listings", "'listings/listings.csv'"),
+]
+
+STAY_EXPRS = [
+    "cast(l_partkey as string) as listing_id",
+    f"case when l_linenumber = 7 and l_returnflag = 'R' then 'bientot' else {_ISO} end as arrival",
+    "case when l_linenumber = 6 then '0' else cast(cast(l_quantity as int) as string) end as nights",
+    "case when l_linenumber = 5 and l_returnflag = 'A' then '' else "
+    "'$' || cast(cast(40 + l_extendedprice / 1000 as decimal(18,2)) as string) end as price_per_night",
+    "case l_returnflag when 'N' then 'booked' when 'A' then 'Booked' else 'blocked' end as status",
+    *_meta("stays", "'listings/stays.csv'"),
+]
+
+CALENDAR_EXPRS = [
+    "cast(l_partkey as string) as listing_id",
+    f"case when l_linenumber = 7 and l_returnflag = 'R' then 'bientot' else {_ISO} end as date",
+    "case when l_returnflag = 'R' then 't' when l_linenumber = 6 then '' else 'f' end as available",
+    "'$' || cast(cast(40 + l_extendedprice / 1000 as decimal(18,2)) as string) as price",
+    "case when l_linenumber % 2 = 0 then '' else replace(cast(cast(35 + l_extendedprice / 900 as decimal(18,2)) as string), '.', ',')"
+    " || ' EUR' end as adjusted_price",
+    *_meta("calendar", "'listings/calendar.csv'"),
+]
+
+EXTENSION_RENDERINGS: dict[str, tuple[str, list[list[str]]]] = {
+    "zone_boundaries": ("supplier", BOUNDARY_RENDERINGS),
+    "transport_hubs": ("supplier", [HUB_EXPRS]),
+    "listings": ("part", [LISTING_EXPRS]),
+    "stays": ("lineitem", [STAY_EXPRS]),
+    "calendar": ("lineitem", [CALENDAR_EXPRS]),
+}
+
 # dataset -> (driver table(s), list of renderings (one per "file"))
 RENDERINGS: dict[str, tuple[str, list[list[str]]]] = {
     "dvf_mutations": ("lineitem", [SALES_EXPRS]),
@@ -223,7 +304,7 @@ def _source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_dataset(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
     """One raw dataset as bronze would hold it: text columns + metadata (+ grid cells)."""
-    table, renderings = RENDERINGS[dataset]
+    table, renderings = (RENDERINGS | EXTENSION_RENDERINGS)[dataset]
     source = _source(spark, sf_dir, table)
     frames = [source.selectExpr(*exprs) for exprs in renderings]
     out = frames[0]
