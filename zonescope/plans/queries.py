@@ -297,6 +297,10 @@ from zonescope.plans.spatial import spatial_queries  # noqa: E402
 
 QUERIES += spatial_queries(Query)
 
+from zonescope.plans.stays import stay_queries  # noqa: E402
+
+QUERIES += stay_queries(Query)
+
 QUERY_BY_NAME = {q.name: q for q in QUERIES}
 
 

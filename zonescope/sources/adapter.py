@@ -194,6 +194,11 @@ def _degrees(micro: str) -> str:
     return f"cast(cast(cast({micro} as decimal(18,0)) * cast(0.000001 as decimal(7,6)) as decimal(18,6)) as string)"
 
 
+def _euros(cents: str) -> str:
+    """Whole cents as decimal text."""
+    return f"cast(cast(cast({cents} as decimal(18,0)) * cast(0.01 as decimal(3,2)) as decimal(18,2)) as string)"
+
+
 # Outlines in thousandths of a degree around a zone's centre, scaled per zone: a concave outer ring, a hole that a
 # third of the zones have, a second part that a fifth have.  (part, ring, present if, vertices)
 _OUTLINE = [
@@ -242,7 +247,7 @@ STAY_EXPRS = [
     f"case when l_linenumber = 7 and l_returnflag = 'R' then 'bientot' else {_ISO} end as arrival",
     "case when l_linenumber = 6 then '0' else cast(cast(l_quantity as int) as string) end as nights",
     "case when l_linenumber = 5 and l_returnflag = 'A' then '' else "
-    "'$' || cast(cast(40 + l_extendedprice / 1000 as decimal(18,2)) as string) end as price_per_night",
+    f"'$' || {_euros('cast(floor(l_extendedprice) as bigint) % 12000 + 4000')} end as price_per_night",
     "case l_returnflag when 'N' then 'booked' when 'A' then 'Booked' else 'blocked' end as status",
     *_meta("stays", "'listings/stays.csv'"),
 ]
@@ -251,8 +256,9 @@ CALENDAR_EXPRS = [
     "cast(l_partkey as string) as listing_id",
     f"case when l_linenumber = 7 and l_returnflag = 'R' then 'bientot' else {_ISO} end as date",
     "case when l_returnflag = 'R' then 't' when l_linenumber = 6 then '' else 'f' end as available",
-    "'$' || cast(cast(40 + l_extendedprice / 1000 as decimal(18,2)) as string) as price",
-    "case when l_linenumber % 2 = 0 then '' else replace(cast(cast(35 + l_extendedprice / 900 as decimal(18,2)) as string), '.', ',')"
+    "case when l_linenumber = 3 then '$1,' || lpad(cast(l_partkey % 1000 as string), 3, '0') || '.50'"
+    f" else '$' || {_euros('cast(floor(l_extendedprice) as bigint) % 12000 + 4000')} end as price",
+    f"case when l_linenumber % 2 = 0 then '' else replace({_euros('cast(floor(l_extendedprice) as bigint) % 9000 + 3500')}, '.', ',')"
     " || ' EUR' end as adjusted_price",
     *_meta("calendar", "'listings/calendar.csv'"),
 ]
