@@ -55,27 +55,24 @@ def _stack(df: DataFrame, id_cols: list[str], pairs) -> DataFrame:
 def price_rollup(fact: DataFrame, features: DataFrame) -> DataFrame:
     """Sales statistics rolled up département > zone > year > quarter > month.
 
-    ``level`` is the grouping id (bit set = level rolled up).  The département
-    comes from the feature table (joined on zone; it is one row per zone, so
-    it is broadcast when small and otherwise joined with AQE skew splitting).
+    ``level`` is the grouping id (bit set = level rolled up).  The raw sales
+    are aggregated once, to (zone, month); that table meets the département
+    (one row per zone) and only its rows are expanded to the levels.
     """
     geo = features.select("zone_id", "code_departement")
-    sales = fact.where(F.col("zone_id").isNotNull()).select("zone_id", "date_mutation", "price_m2_bati")
-    base = sales.join(geo, "zone_id", "left").select(
-        "code_departement",
-        "zone_id",
-        F.year("date_mutation").alias("year"),
-        F.quarter("date_mutation").alias("quarter"),
-        month_start("date_mutation").alias("month_key"),
-        "price_m2_bati",
-    )
+    monthly = fact.where(F.col("zone_id").isNotNull()).groupBy("zone_id", month_start("date_mutation").alias("month_key")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count("price_m2_bati").alias("_priced"), F.sum("price_m2_bati").alias("_total"),
+        F.min("price_m2_bati").alias("_low"), F.max("price_m2_bati").alias("_high"))
+    base = monthly.join(geo, "zone_id", "left").select(
+        "code_departement", "zone_id", F.year("month_key").alias("year"), F.quarter("month_key").alias("quarter"), "month_key",
+        "_rows", "_priced", "_total", "_low", "_high")
     return base.rollup("code_departement", "zone_id", "year", "quarter", "month_key").agg(
         F.grouping_id().cast("int").alias("level"),
-        F.count(F.lit(1)).alias("transactions"),
-        F.count("price_m2_bati").alias("priced_transactions"),
-        F.avg("price_m2_bati").alias("avg_price_m2_bati"),
-        F.min("price_m2_bati").alias("min_price_m2_bati"),
-        F.max("price_m2_bati").alias("max_price_m2_bati"),
+        F.sum("_rows").alias("transactions"),
+        F.sum("_priced").alias("priced_transactions"),
+        (F.sum("_total") / F.nullif(F.sum("_priced"), F.lit(0))).alias("avg_price_m2_bati"),
+        F.min("_low").alias("min_price_m2_bati"),
+        F.max("_high").alias("max_price_m2_bati"),
     )
 
 

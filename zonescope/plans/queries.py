@@ -301,6 +301,10 @@ from zonescope.plans.stays import stay_queries  # noqa: E402
 
 QUERIES += stay_queries(Query)
 
+from zonescope.plans.warehouse import warehouse_queries  # noqa: E402
+
+QUERIES += warehouse_queries(Query)
+
 QUERY_BY_NAME = {q.name: q for q in QUERIES}
 
 
