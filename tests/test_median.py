@@ -8,9 +8,16 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from zonescope.operators import quantiles
 from zonescope.operators.quantiles import exact_median
 
 
+@pytest.fixture(params=[quantiles.GATHER_ROWS, 4, 0], ids=["gathered", "some narrowed", "all narrowed"], autouse=True)
+def _group_limit(request, monkeypatch):
+    """Every test here with all groups gathered, larger ones narrowed, and all narrowed."""
+    monkeypatch.setattr(quantiles, "GATHER_ROWS", request.param)
+
+
 def _brute(rows):
     groups = {}
     for k1, k2, v in rows:
@@ -45,7 +52,7 @@ def test_hot_group_duplicates_nulls(spark):
     assert got[("even", m2)] == 6.0 and got[("z1", None)] == 15.0 and got[("single", m1)] == 42.0
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from([1, 2]),
                           st.one_of(st.none(), st.integers(-50, 50).map(float))), min_size=1, max_size=60))
 def test_matches_brute_force(spark, data):
@@ -118,3 +125,49 @@ def test_many_distinct_values_under_all_settings(spark):
                 spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert exact_quantiles(df, ["g"], "v", {"q": 0.5}).count() == 500
     assert percent_rank(df, ["g"], "v", "p").where("p is null").count() == 0
+
+
+def test_narrowing_far_apart_and_close_values(spark):
+    """Signs, zeros, subnormals, neighbours in the last bit, infinities and many equal values."""
+    rnd = random.Random(5)
+    groups = {
+        "signs": [-3.0, -2.999999, 0.0, -0.0, 5e-324, -5e-324, 2.0, 1e300, -1e300],
+        "close": [1.0 + i * 2.0**-52 for i in range(301)],
+        "same": [7.25] * 500,
+        "wide": [rnd.choice([-1, 1]) * 10.0 ** rnd.uniform(-300, 300) for _ in range(999)],
+        "ends": [float("inf"), float("-inf"), 1.0, 2.0, 3.0],
+    }
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v double")
+    got = {r.g: r for r in quantiles.exact_quantiles(df, ["g"], "v", {"a": 0.0, "m": 0.5, "b": 0.9, "z": 1.0}).collect()}
+    for g, vs in groups.items():
+        ordered = sorted(vs)
+        assert got[g].a == ordered[0] and got[g].z == ordered[-1]
+        if len(vs) % 2:
+            assert got[g].m == ordered[len(vs) // 2]
+        if g != "ends":
+            assert got[g].b == pytest.approx(float(np.quantile(vs, 0.9)), rel=1e-12)
+    assert quantiles.exact_quantiles(df.where("false"), [], "v", {"q": 0.5}).count() == 0
+    whole = sorted(v for vs in groups.values() for v in vs)
+    assert quantiles.exact_quantiles(df, [], "v", {"q": 0.5}).first().q == pytest.approx((whole[len(whole) // 2 - 1] + whole[len(whole) // 2]) / 2 if len(whole) % 2 == 0 else whole[len(whole) // 2])
+
+
+def test_zone_months_with_large_groups(spark):
+    from zonescope.operators.monthly import zone_month_prices
+
+    rnd = random.Random(9)
+    rows = [(rnd.choice(["hot", "hot", "a", "b", None]), rnd.choice([None, dt.date(2024, 1, 5), dt.date(2024, 1, 9), dt.date(2024, 2, 1)]), rnd.choice(["x", "y", None]),
+             rnd.choice([None, round(rnd.uniform(1, 9000), 2)]), rnd.choice([None, 3.0])) for _ in range(400)]
+    fact = spark.createDataFrame(rows, "zone_id string, date_mutation date, nom_commune string, price_m2_bati double, price_m2_terrain double")
+    want = {}
+    for zone, day, label, price, land in rows:
+        if zone:
+            want.setdefault((zone, day and day.replace(day=1)), []).append((label, price, land))
+    got = {(r.zone_id, r.month_key): r for r in zone_month_prices(fact).collect()}
+    assert set(got) == set(want)
+    for key, members in want.items():
+        prices = [p for _, p, _ in members if p is not None]
+        r = got[key]
+        assert r.transaction_count == len(members) and r.commune_label == max((x for x, _, _ in members if x), default=None)
+        assert r.median_price_m2_bati == (pytest.approx(float(np.median(prices))) if prices else None)
+        assert r.median_price_m2_terrain == (3.0 if any(t for _, _, t in members) else None)
+        assert r.avg_price_m2_bati == (pytest.approx(float(np.mean(prices))) if prices else None)

@@ -70,20 +70,39 @@ def stacked_sources(staged: dict[str, DataFrame]) -> DataFrame:
 
 
 def zone_features(staged: dict[str, DataFrame]) -> DataFrame:
-    """One row per zone known to any of the six sources (27 columns)."""
+    """One row per zone known to any of the six sources (27 columns).
+
+    Two steps: per (zone, source and the texts of the row) everything but the
+    texts is a number, so the raw rows are combined by hash; the texts' maxima
+    are then taken over a zone's few distinct ones.  A maximum of text over raw
+    rows would have each task sort them all.
+    """
     src = F.col("_src")
+    texts = ["nom_commune", *GEO_COLUMNS]
+    combined = stacked_sources(staged).groupBy("zone_id", "_src", *texts).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(F.col(c)).alias(c) for c in ("_nature", "_heritage", "_amenity")],
+        *[F.max(c).alias(c) for c in FLAG_COLUMNS],
+        *[F.min(c).alias(c) for c in MINUTE_COLUMNS],
+        *[f(c).alias(f"_{f.__name__}_{c}") for c in SEASONAL_COLUMNS for f in (F.sum, F.count)],
+        *[F.max(c).alias(c) for c in SUPPLY_COLUMNS],
+    )
     is_poi = src == "poi"
     label = F.coalesce(*[F.max(F.when(src == tag, F.col("nom_commune"))) for tag in LABEL_PRIORITY])
-    aggregated = stacked_sources(staged).groupBy("zone_id").agg(
+
+    def poi(column: str) -> Column:
+        return F.sum(F.when(is_poi, F.col(column)).otherwise(0))
+
+    aggregated = combined.groupBy("zone_id").agg(
         label.alias("zone_label"),
         *[F.max(c).alias(c) for c in GEO_COLUMNS],
-        F.count_if(is_poi).alias("tourism_poi_count"),
-        F.count_if(is_poi & F.col("_nature")).alias("nature_poi_count"),
-        F.count_if(is_poi & F.col("_heritage")).alias("heritage_poi_count"),
-        F.count_if(is_poi & F.col("_amenity")).alias("amenity_poi_count"),
+        poi("_rows").alias("tourism_poi_count"),
+        poi("_nature").alias("nature_poi_count"),
+        poi("_heritage").alias("heritage_poi_count"),
+        poi("_amenity").alias("amenity_poi_count"),
         *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in FLAG_COLUMNS],
         *[F.min(c).alias(c) for c in MINUTE_COLUMNS],
-        *[F.avg(c).alias(c) for c in SEASONAL_COLUMNS],
+        *[(F.sum(f"_sum_{c}") / F.nullif(F.sum(f"_count_{c}"), F.lit(0))).alias(c) for c in SEASONAL_COLUMNS],
         *[F.coalesce(F.max(c), F.lit(0.0)).alias(c) for c in SUPPLY_COLUMNS],
     )
     return aggregated.select(*FEATURE_COLUMNS)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonescope.functions.columns import month_start
-from zonescope.operators.quantiles import exact_median
+from zonescope.operators.quantiles import exact_median, large_groups, of_groups
+from zonescope.session import Scratch
 
 ZONE_MONTH_COLUMNS = (
     "zone_id",
@@ -24,14 +27,19 @@ def zone_month_prices(
     fact: DataFrame,
     exact: bool = True,
     accuracy: int = 10000,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """One row per (zone, month); sales with an unreadable date form a NULL month.
 
-    ``exact=True`` gives the interpolated median (``percentile_cont(0.5)``)
-    by the distributed rank selection of :func:`exact_median`, which never
-    gathers a group.  ``exact=False`` uses the bounded-memory
-    ``percentile_approx`` sketch instead (a data value within 1/accuracy rank).
+    ``exact=True`` gives the interpolated median (``percentile_cont(0.5)``).
+    The fact is read once: five slim columns are written to ``scratch`` (clear
+    it when the result has been written) and counted per group.  Groups that a
+    task may gather are done in one aggregate; the prices of larger ones, where
+    there are any, go through the narrowed histograms of :func:`exact_median`.
+    ``exact=False`` uses the bounded-memory ``percentile_approx`` sketch
+    instead (a data value within 1/accuracy rank).
     """
+    keys = ["zone_id", "month_key"]
     base = fact.where(F.col("zone_id").isNotNull()).select(
         "zone_id",
         month_start("date_mutation").alias("month_key"),
@@ -39,22 +47,36 @@ def zone_month_prices(
         "price_m2_bati",
         "price_m2_terrain",
     )
-    keys = ["zone_id", "month_key"]
-    algebraic = [
-        F.max("nom_commune").alias("commune_label"),
+
+    def aggregated(rows: DataFrame, median) -> DataFrame:
+        return rows.groupBy(*keys).agg(
+            F.max("nom_commune").alias("commune_label"),
+            F.count(F.lit(1)).alias("transaction_count"),
+            F.avg("price_m2_bati").alias("avg_price_m2_bati"),
+            F.stddev_samp("price_m2_bati").alias("stddev_price_m2_bati"),
+            *[median(price).alias(f"median_{price}") for price in ("price_m2_bati", "price_m2_terrain")],
+        ).select(*ZONE_MONTH_COLUMNS)
+
+    if not exact:
+        return aggregated(base, lambda price: F.percentile_approx(price, 0.5, accuracy))
+    scratch = scratch or Scratch(fact.sparkSession, "zone-months")
+    base = scratch.written(base)
+    large = large_groups(base, keys, scratch)
+    if large is None:
+        return aggregated(base, lambda price: F.percentile(price, 0.5))
+    gathered = aggregated(of_groups(base, keys, large, inside=False), lambda price: F.percentile(price, 0.5))
+    return gathered.unionByName(_large_months(of_groups(base, keys, large), keys, scratch))
+
+
+def _large_months(base: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame:
+    stats = base.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("transaction_count"),
         F.avg("price_m2_bati").alias("avg_price_m2_bati"),
         F.stddev_samp("price_m2_bati").alias("stddev_price_m2_bati"),
-    ]
-    if not exact:
-        return base.groupBy(*keys).agg(
-            *algebraic,
-            F.percentile_approx("price_m2_bati", 0.5, accuracy).alias("median_price_m2_bati"),
-            F.percentile_approx("price_m2_terrain", 0.5, accuracy).alias("median_price_m2_terrain"),
-        ).select(*ZONE_MONTH_COLUMNS)
-
-    stats = base.groupBy(*keys).agg(*algebraic)
-    # Both measures go through one rank selection, told apart by a measure key.
+    )
+    # Labels on their own: the greatest of the distinct ones, so that no raw row is sorted for a text maximum.
+    labels = base.select(*keys, "nom_commune").distinct().groupBy(*keys).agg(F.max("nom_commune").alias("commune_label"))
+    # Both measures go through one selection, told apart by a measure key.
     stacked = base.select(
         *keys,
         F.inline(
@@ -64,22 +86,16 @@ def zone_month_prices(
             )
         ),
     )
-    medians = exact_median(stacked, [*keys, "_m"], "_price", "_median").select(
+    medians = exact_median(stacked, [*keys, "_m"], "_price", "_median", scratch, stored=True).select(
         *keys,
         F.when(F.col("_m") == 0, F.col("_median")).alias("median_price_m2_bati"),
         F.when(F.col("_m") == 1, F.col("_median")).alias("median_price_m2_terrain"),
     )
-    return _merge(stats, medians, keys)
+    return _merge([stats, labels, medians], keys)
 
 
-def _merge(stats: DataFrame, medians: DataFrame, keys: list[str]) -> DataFrame:
-    # Union + group instead of a join: NULL months must meet their own group.
-    merged = stats.unionByName(medians, allowMissingColumns=True).groupBy(*keys).agg(
-        F.max("commune_label").alias("commune_label"),
-        F.max("transaction_count").alias("transaction_count"),
-        F.max("median_price_m2_bati").alias("median_price_m2_bati"),
-        F.max("median_price_m2_terrain").alias("median_price_m2_terrain"),
-        F.max("avg_price_m2_bati").alias("avg_price_m2_bati"),
-        F.max("stddev_price_m2_bati").alias("stddev_price_m2_bati"),
-    )
+def _merge(parts: list[DataFrame], keys: list[str]) -> DataFrame:
+    # Union + group instead of joins: NULL months must meet their own group.
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).groupBy(*keys).agg(
+        *[F.max(c).alias(c) for c in ZONE_MONTH_COLUMNS if c not in keys])
     return merged.select(*ZONE_MONTH_COLUMNS)

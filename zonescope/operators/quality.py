@@ -24,20 +24,25 @@ NOT_NULL_RULES = (
 )
 
 
-def not_null_report(tables: dict[str, DataFrame]) -> DataFrame:
+def not_null_report(tables: dict[str, DataFrame], derived: dict[str, tuple[str, dict[str, str]]] | None = None) -> DataFrame:
     """``not_null`` tests on the staging and mart tables (Q1, Q2).
 
-    One aggregate pass per model, whatever its number of rules.
+    One aggregate pass per model, whatever its number of rules.  ``derived``
+    names models that are mere projections of another and not yet written
+    (name -> that model and each column's source): their rules are counted in
+    that model's pass, so its rows are not parsed once more.
     """
+    derived = derived or {}
     by_model: dict[str, list] = {}
     for model, column in NOT_NULL_RULES:
         if model in tables:
-            by_model.setdefault(model, []).append((model, column))
+            by_model.setdefault(derived[model][0] if model in derived else model, []).append((model, column))
     frames = []
     for name, rules in by_model.items():
         df = tables[name]
+        sources = [c if model == name else derived[model][1][c] for model, c in rules]
         counts = df.agg(F.count(F.lit(1)).alias("_rows"),
-                        *[F.count_if(F.col(c).isNull()).alias(f"_f{i}") for i, (_, c) in enumerate(rules)])
+                        *[F.count_if(F.col(c).isNull()).alias(f"_f{i}") for i, c in enumerate(sources)])
         items = F.array(*[
             F.struct(F.lit(model).alias("model"), F.lit("not_null").alias("rule"), F.lit(c).alias("column_name"),
                      F.col(f"_f{i}").alias("failing"))

@@ -2,8 +2,25 @@
 
 ``percentile``/``median``/``percent_rank`` gather a whole group in one task
 (a value->count map, or a window partition).  A group holding a third of the
-rows would then sit in one task.  Here the same exact results come from a
-distributed rank computation instead (:func:`value_ranks`):
+rows would then sit in one task.  Here the same exact results come from
+partial aggregates:
+
+**Quantiles** (:func:`exact_quantiles`) of groups of at most ``GATHER_ROWS``
+rows come from Spark's own ``percentile``, whose map of one group is bounded by
+that.  Larger groups, found by one count, narrow a counted histogram:
+
+1. Values fall into buckets by their logarithm (a few percent wide, in value
+   order); per (group, bucket) the count and the least and greatest value are
+   kept.  Running counts over a group's buckets (a bounded number) say which
+   bucket holds a wanted rank.
+2. If the rank is the first or last of its bucket, or the bucket holds one
+   distinct value, the answer is the bucket's least or greatest value.
+3. The other buckets are cut into ``PARTS`` equal parts between their least and
+   greatest value, counted again from the values that lie in them, and so on.
+   A bucket's ends fall into different parts, so each round is strictly
+   narrower; values are only ever counted, never sorted or gathered.
+
+**Ranks** (:func:`value_ranks`, for percent ranks of every row):
 
 1. count rows per (group, value); partial aggregation collapses duplicates on
    the map side, so even a single hot value costs one row per map task;
@@ -18,9 +35,8 @@ distributed rank computation instead (:func:`value_ranks`):
 5. join the offsets back: every distinct value knows how many rows of its
    group are strictly below it.
 
-No step holds more than one range of one group.  Interpolated quantiles
-(``percentile_cont``) pick the one or two values holding the target ranks;
-``percent_rank`` is ``below / (n - 1)``.
+No step holds more than one range of one group; ``percent_rank`` is
+``below / (n - 1)``.
 """
 
 from __future__ import annotations
@@ -28,11 +44,19 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonescope.session import scratch_path
+from zonescope.session import Scratch, scratch_path
+
+#: Rows of a group that one task may gather; larger groups are narrowed.
+GATHER_ROWS = 200_000
+#: A list of at most so many groups is broadcast.
+SMALL_GROUPS = 50_000
+#: Buckets a doubling of the value in the first round, and parts of a bucket in each later one.
+BUCKETS_PER_DOUBLING = 16
+PARTS = 1024
 
 
 def _null_stand_in(data_type: T.DataType):
@@ -110,41 +134,115 @@ def value_ranks(df: DataFrame, keys: list[str], value: str) -> DataFrame:
                          F.col("_below").alias("below"), F.col("_n").alias("n"))
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+def _first_bucket(v: Column) -> Column:
+    """A bucket number that never falls as ``v`` grows (logarithms are semi-monotonic); infinities and NaN lie at the ends."""
+    size = F.floor(F.log2(F.abs(v)) * BUCKETS_PER_DOUBLING) + 2000 * BUCKETS_PER_DOUBLING
+    end = 4000 * BUCKETS_PER_DOUBLING
+    infinity = F.lit(float("inf"))
+    return (F.when(F.isnan(v), end + 1).when(v == infinity, end).when(v == -infinity, -end)
+            .when(v > 0, size).when(v < 0, -size).otherwise(0)).cast("int")
+
+
+def _settled(hist: DataFrame, group: list[str], part: str, ranks: Column, base: Column | int) -> DataFrame:
+    """Every wanted rank with its bucket, and its value where the bucket already tells it.
+
+    ``hist`` has one row per (group, part): ``_c``, ``_lo``, ``_hi``.  ``base`` is the number of the group's values before the first part.
+    """
+    order = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = hist.withColumn("_below", F.sum("_c").over(order) - F.col("_c") + base)
+    placed = placed.withColumn("_n", F.sum("_c").over(Window.partitionBy(*group))) if "_n" not in hist.columns else placed
+    upto = F.col("_below") + F.col("_c")
+    found = placed.withColumn("_rank", F.explode(F.filter(ranks, lambda r: (r >= F.col("_below")) & (r < upto))))
+    value = F.when((F.col("_lo") == F.col("_hi")) | (F.col("_rank") == F.col("_below")), F.col("_lo")).when(
+        F.col("_rank") == upto - 1, F.col("_hi"))
+    return found.withColumn("_value", value)
+
+
+def large_groups(df: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame | None:
+    """The groups with more than ``GATHER_ROWS`` rows (a written table of their keys, to be joined with :func:`of_groups`); None if there are none."""
+    enc = _Encoded(df, keys)
+    large = df.groupBy(*enc.cols).count().where(F.col("count") > GATHER_ROWS).drop("count")
+    table = scratch.written(large)
+    size = table.count()
+    return None if not size else F.broadcast(table) if size <= SMALL_GROUPS else table
+
+
+def of_groups(df: DataFrame, keys: list[str], groups: DataFrame, inside: bool = True) -> DataFrame:
+    """The rows of ``df`` whose group is (not) in the list; NULL keys are a group."""
+    enc = _Encoded(df, keys)
+    coded = df.select("*", *enc.cols)
+    return coded.join(groups, enc.names, "left_semi" if inside else "left_anti").select(*df.columns)
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], scratch: Scratch | None = None,
+                    stored: bool = False) -> DataFrame:
     """Per group: one column per name in ``probs`` holding ``percentile_cont(p)``.
 
     Position ``(n-1)·p`` is interpolated linearly between the values at its
     floor and ceiling ranks.  NULL values are ignored; a group with no value
-    is absent.
+    is absent.  Large groups are narrowed as the module says, the others
+    gathered; both are exact.  The values are written once for that unless
+    ``df`` is ``stored`` (cheap to read again).  Intermediate tables go to
+    ``scratch``, which the caller clears, or are deleted here; the result is a
+    written table either way.
     """
-    joined, enc = _ranked(df, keys, value)
-    n = F.col("_n")
-    below, upto = F.col("_below"), F.col("_below") + F.col("_c")
-    picks = []
-    for name, p in probs.items():
-        pos = (n - 1).cast("double") * F.lit(float(p))
-        lo, hi = F.floor(pos), F.ceil(pos)
-        picks.append(F.when((below <= lo) & (lo < upto), F.col("_v")).alias(f"_lo_{name}"))
-        picks.append(F.when((below <= hi) & (hi < upto), F.col("_v")).alias(f"_hi_{name}"))
-    holders = joined.select(*enc.names, "_n", *picks)
-    any_pick = None
-    for c in holders.columns[len(enc.names) + 1:]:
-        any_pick = F.col(c).isNotNull() if any_pick is None else any_pick | F.col(c).isNotNull()
-    picked = holders.where(any_pick).groupBy(*enc.names).agg(
-        F.max("_n").alias("_n"), *[F.max(c).alias(c) for c in holders.columns[len(enc.names) + 1:]]
-    )
-    outs = []
-    for name, p in probs.items():
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        frac = pos - F.floor(pos)
-        lo_v, hi_v = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        outs.append(F.when(frac == 0, lo_v).otherwise(lo_v + (hi_v - lo_v) * frac).alias(name))
-    return picked.select(*enc.restore(), *outs)
+    own = scratch or Scratch(df.sparkSession, "quantiles")
+    values = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    if not stored:
+        values = own.written(values)
+    large = large_groups(values, keys, own)
+    small = values if large is None else of_groups(values, keys, large, inside=False)
+    out = small.groupBy(*keys).agg(*[F.percentile("_v", p).alias(name) for name, p in probs.items()])
+    if not keys:
+        out = out.where(F.col(next(iter(probs))).isNotNull())
+    if large is not None:
+        out = out.unionByName(_narrowed(of_groups(values, keys, large), keys, probs, own))
+    result = (scratch or Scratch(df.sparkSession, "quantile-results")).written(out)
+    if not scratch:
+        own.clear()
+    return result
+
+
+def _narrowed(values: DataFrame, keys: list[str], probs: dict[str, float], own: Scratch) -> DataFrame:
+    """Quantiles of ``_v`` per group by narrowing a histogram."""
+    enc = _Encoded(values, keys)
+    values = own.written(values.select(*enc.cols, "_v"))
+    counts = [F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    names = enc.names
+    state = ["_n", "_rank", "_value", "_below", "_lo", "_hi"]
+    positions = [((F.col("_n") - 1).cast("double") * F.lit(float(p))) for p in probs.values()]
+    wanted = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(x), F.ceil(x)) for x in positions])))
+    hist = values.groupBy(*names, _first_bucket(F.col("_v")).alias("_part")).agg(*counts)
+    rounds = [own.written(_settled(hist, names, "_part", wanted, 0).select(*names, *state))]
+    while True:
+        open_ranks = rounds[-1].where("_value is null")
+        if open_ranks.isEmpty():
+            break
+        bucket = ["_from", "_to", "_base"]
+        buckets = open_ranks.groupBy(*names, F.col("_lo").alias("_from"), F.col("_hi").alias("_to"), F.col("_below").alias("_base")).agg(
+            F.max("_n").alias("_n"), F.collect_set("_rank").alias("_ranks"))
+        inside = values.join(buckets, names).where(F.col("_v").between(F.col("_from"), F.col("_to")))
+        share = (F.col("_v") - F.col("_from")) / (F.col("_to") - F.col("_from")) * PARTS
+        part = F.least(F.floor(share), F.lit(PARTS - 1)).cast("int").alias("_part")
+        hist = inside.groupBy(*names, *bucket, part).agg(*counts, F.max("_n").alias("_n"), F.first("_ranks").alias("_ranks"))
+        rounds.append(own.written(_settled(hist, [*names, *bucket], "_part", F.col("_ranks"), F.col("_base")).select(*names, *state)))
+    settled = rounds[0]
+    for later in rounds[1:]:
+        settled = settled.unionByName(later)
+    settled = settled.where("_value is not null")
+    picks, outs = [], []
+    for name, position in zip(probs, positions, strict=True):
+        for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
+            picks.append(F.max(F.when(F.col("_rank") == rank, F.col("_value"))).alias(f"_{side}_{name}"))
+        fraction = position - F.floor(position)
+        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        outs.append(F.when(fraction == 0, low).otherwise(low + (high - low) * fraction).alias(name))
+    return settled.groupBy(*names, "_n").agg(*picks).select(*enc.restore(), *outs)
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:
+def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median", scratch: Scratch | None = None, stored: bool = False) -> DataFrame:
     """Per group of ``keys`` (NULL keys allowed): ``out`` = exact median of ``value``."""
-    return exact_quantiles(df, keys, value, {out: 0.5})
+    return exact_quantiles(df, keys, value, {out: 0.5}, scratch, stored)
 
 
 def percent_rank(df: DataFrame, keys: list[str], value: str, out: str = "percent_rank") -> DataFrame:

@@ -143,20 +143,24 @@ def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: fn(raw[name]) for name, fn in STAGING.items() if name in raw}
 
 
+# Column of the sales fact -> staging column.
+FACT_COLUMNS = {
+    "transaction_id": "transaction_id",
+    "date_mutation": "date_mutation",
+    "zone_id": "code_commune",
+    "code_commune": "code_commune",
+    "nom_commune": "nom_commune",
+    "code_departement": "code_departement",
+    "type_local": "type_local",
+    "valeur_fonciere": "valeur_fonciere",
+    "surface_reelle_bati": "surface_reelle_bati",
+    "surface_terrain": "surface_terrain",
+    "price_m2_bati": "price_m2_bati",
+    "price_m2_terrain": "price_m2_terrain",
+    "id_parcelle": "id_parcelle",
+}
+
+
 def sales_fact(sales: DataFrame) -> DataFrame:
     """Sales fact (13 columns): the staging row keyed by ``zone_id``."""
-    return sales.select(
-        "transaction_id",
-        "date_mutation",
-        F.col("code_commune").alias("zone_id"),
-        "code_commune",
-        "nom_commune",
-        "code_departement",
-        "type_local",
-        "valeur_fonciere",
-        "surface_reelle_bati",
-        "surface_terrain",
-        "price_m2_bati",
-        "price_m2_terrain",
-        "id_parcelle",
-    )
+    return sales.select(*[F.col(source).alias(name) for name, source in FACT_COLUMNS.items()])

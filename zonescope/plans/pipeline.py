@@ -20,6 +20,7 @@ from zonescope.operators import quality, scoring
 from zonescope.operators.monthly import zone_month_prices
 from zonescope.operators.staging import sales_fact, stage_all
 from zonescope.plans.materialize import TableStore
+from zonescope.session import Scratch
 from zonescope.sources.files import ingest_dataset, load_raw
 from zonescope.sources.specs import DEFAULT_SPECS, DatasetSpec
 
@@ -54,7 +55,10 @@ def build_marts(
 
     def sales_side():
         fact = store.materialize(sales_fact(staged["dvf_mutations"]), "fact_real_estate_transactions")
-        return fact, store.materialize(zone_month_prices(fact, exact=exact_median), "real_estate_zone_monthly")
+        scratch = Scratch(spark, "zone-months")
+        monthly = store.materialize(zone_month_prices(fact, exact=exact_median, scratch=scratch), "real_estate_zone_monthly")
+        scratch.clear()
+        return fact, monthly
 
     # The sales marts and the feature mart are independent: run them as concurrent jobs.
     with ThreadPoolExecutor(max_workers=2) as pool:

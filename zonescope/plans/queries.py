@@ -21,9 +21,10 @@ from zonescope.functions.columns import round_half_up
 from zonescope.operators import features as feat
 from zonescope.operators import quality, scoring, serving
 from zonescope.operators.monthly import zone_month_prices
-from zonescope.operators.staging import sales_fact, stage_all
+from zonescope.operators.staging import FACT_COLUMNS, sales_fact, stage_all
 from zonescope.plans import oracle
 from zonescope.plans.materialize import TableStore
+from zonescope.session import Scratch
 from zonescope.sources.adapter import raw_dataset, raw_datasets
 
 
@@ -77,7 +78,15 @@ class Models:
 
     @property
     def zone_month(self) -> DataFrame:
-        return self._get("zone_month", lambda: self._mart(zone_month_prices(self.fact), "real_estate_zone_monthly"))
+        def build():
+            if not self.materialize_marts:
+                return zone_month_prices(self.fact)
+            scratch = Scratch(self.spark, "zone-months")
+            mart = self._mart(zone_month_prices(self.fact, scratch=scratch), "real_estate_zone_monthly")
+            scratch.clear()
+            return mart
+
+        return self._get("zone_month", build)
 
     @property
     def features(self) -> DataFrame:
@@ -173,7 +182,7 @@ def _not_null(m: Models) -> DataFrame:
         "tourism_zone_features": m.features,
         "location_tourism_score_latest": m.scores,
     }
-    return quality.not_null_report(tables)
+    return quality.not_null_report(tables, {"fact_real_estate_transactions": ("stg_dvf_transactions", FACT_COLUMNS)})
 
 
 def _ingest_counts(m: Models) -> DataFrame:

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_CONF = {
     "spark.ui.enabled": "false",
@@ -63,3 +64,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/zonescope/{name}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system holds it."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Scratch:
+    """Intermediate tables of one computation under the shared checkpoint folder, deleted together by :meth:`clear`.
+
+    Clear it only when nothing reads the computation's result lazily any more
+    (its rows have been written elsewhere or collected).
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self.root = scratch_path(spark, f"{label}-{uuid.uuid4().hex}")
+        self._count = 0
+
+    def written(self, df: DataFrame) -> DataFrame:
+        """Write and read back: lineage is cut, and every later reader sees the same rows."""
+        self._count += 1
+        path = f"{self.root}/{self._count}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        delete_path(self.spark, self.root)

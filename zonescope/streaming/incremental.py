@@ -37,7 +37,7 @@ from pyspark.sql.streaming import StreamingQuery
 from zonescope.functions.columns import month_start
 from zonescope.operators.monthly import zone_month_prices
 from zonescope.operators.staging import sales_fact, stg_sales
-from zonescope.session import ensure_checkpoint_dir, scratch_path
+from zonescope.session import Scratch, ensure_checkpoint_dir, scratch_path
 from zonescope.sources.files import SourceFile, read_source_files, with_metadata, with_raw_columns
 from zonescope.sources.specs import DEFAULT_SPECS, DatasetSpec
 
@@ -80,8 +80,10 @@ def process_batch(
     if len(dated) < len(months):
         touched = touched | F.col("month_key").isNull()   # the unreadable-date group
     affected = silver.where(touched & F.col("zone_id").isNotNull()).drop("month_key", "_run", "_batch")
-    (zone_month_prices(affected).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    scratch = Scratch(spark, "zone-months")
+    (zone_month_prices(affected, scratch=scratch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("month_key").parquet(mart_path))
+    scratch.clear()
 
 
 def start_sales_stream(
