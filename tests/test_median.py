@@ -12,9 +12,9 @@ from zonescope.operators import quantiles
 from zonescope.operators.quantiles import exact_median
 
 
-@pytest.fixture(params=[quantiles.GATHER_ROWS, 4, 0], ids=["gathered", "some narrowed", "all narrowed"], autouse=True)
-def _group_limit(request, monkeypatch):
-    """Every test here with all groups gathered, larger ones narrowed, and all narrowed."""
+@pytest.fixture(params=[quantiles.GATHER_ROWS, 4], ids=["gathered", "narrowed"])
+def group_limit(request, monkeypatch):
+    """Once with all groups gathered, once with those over four rows narrowed."""
     monkeypatch.setattr(quantiles, "GATHER_ROWS", request.param)
 
 
@@ -32,7 +32,7 @@ def _spark_result(spark, rows):
     return {(r["zone"], r["month"]): r["median"] for r in out}
 
 
-def test_hot_group_duplicates_nulls(spark):
+def test_hot_group_duplicates_nulls(spark, group_limit):
     rnd = random.Random(7)
     m1, m2 = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
     rows = []
@@ -56,15 +56,18 @@ def test_hot_group_duplicates_nulls(spark):
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from([1, 2]),
                           st.one_of(st.none(), st.integers(-50, 50).map(float))), min_size=1, max_size=60))
 def test_matches_brute_force(spark, data):
+    """Small groups, all narrowed."""
     rows = [(z, dt.date(2024, m, 1), v) for z, m, v in data]
-    got = _spark_result(spark, rows)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(quantiles, "GATHER_ROWS", 0)
+        got = _spark_result(spark, rows)
     want = _brute(rows)
     assert set(got) == set(want)
     for k, v in want.items():
         assert got[k] == pytest.approx(v, rel=1e-12)
 
 
-def test_quantiles_and_percent_rank_brute_force(spark):
+def test_quantiles_and_percent_rank_brute_force(spark, group_limit):
     from zonescope.operators.quantiles import exact_quantiles, percent_rank
 
     rnd = random.Random(11)
@@ -127,7 +130,7 @@ def test_many_distinct_values_under_all_settings(spark):
     assert percent_rank(df, ["g"], "v", "p").where("p is null").count() == 0
 
 
-def test_narrowing_far_apart_and_close_values(spark):
+def test_narrowing_far_apart_and_close_values(spark, group_limit):
     """Signs, zeros, subnormals, neighbours in the last bit, infinities and many equal values."""
     rnd = random.Random(5)
     groups = {
@@ -151,7 +154,7 @@ def test_narrowing_far_apart_and_close_values(spark):
     assert quantiles.exact_quantiles(df, [], "v", {"q": 0.5}).first().q == pytest.approx((whole[len(whole) // 2 - 1] + whole[len(whole) // 2]) / 2 if len(whole) % 2 == 0 else whole[len(whole) // 2])
 
 
-def test_zone_months_with_large_groups(spark):
+def test_zone_months_with_large_groups(spark, group_limit):
     from zonescope.operators.monthly import zone_month_prices
 
     rnd = random.Random(9)

@@ -100,7 +100,7 @@ def test_replay_after_a_crash_between_silver_and_mart(spark, workdir, monkeypatc
             f"{workdir}/lake/marts/real_estate_zone_monthly", "2024-06-30")
     incremental.process_batch(spark, first, 0, *args)
 
-    def crash(_):
+    def crash(*_, **__):
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
@@ -113,3 +113,75 @@ def test_replay_after_a_crash_between_silver_and_mart(spark, workdir, monkeypatc
     got = round_doubles(read_monthly_mart(spark, f"{workdir}/lake"))
     want = _batch_mart(spark, workdir, spec)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def _silver_files(workdir):
+    from pathlib import Path
+
+    root = Path(workdir) / "lake/silver/fact_real_estate_transactions/_run=0"
+    return {month.name: len(list(month.rglob("part-*.parquet"))) for month in root.iterdir() if month.is_dir()}
+
+
+def _same_as_batch(spark, workdir, spec):
+    got, want = round_doubles(read_monthly_mart(spark, f"{workdir}/lake")), _batch_mart(spark, workdir, spec)
+    return got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_files_per_month_stay_bounded(spark, workdir):
+    """Twenty epochs that reopen the same months, unreadable dates among them."""
+    from zonescope.streaming import incremental
+
+    spec = DEFAULT_SPECS["dvf_mutations"]
+    columns = list(spec.expected_columns)
+    args = (spec, f"{workdir}/external", f"{workdir}/lake/bronze/dvf_mutations", f"{workdir}/lake/marts/real_estate_zone_monthly", "2024-06-30")
+    for epoch in range(20):
+        sales = [_sale(epoch), _sale(100 + epoch, date_mutation="2024-01-05"), _sale(200 + epoch, date_mutation="bad")]
+        files = _dropped(spark, workdir, {f"{epoch}.csv": _sales_lines(columns, sales)})
+        incremental.process_batch(spark, files, epoch, *args, most_epochs=3)
+    counts = _silver_files(workdir)
+    assert set(counts) == {"month_key=2024-01-01", "month_key=2024-02-01", "month_key=2024-03-01", f"month_key={incremental.NO_MONTH}"}
+    assert max(counts.values()) <= 4
+    assert _same_as_batch(spark, workdir, spec)
+    silver = f"{workdir}/lake/silver/fact_real_estate_transactions"
+    assert spark.read.parquet(silver).count() == 60  # nothing is left of what was merged
+
+
+def test_crashes_around_a_compaction(spark, workdir, monkeypatch):
+    """Lost between the write and the marker, and between the marker and the deletion; then a replay of a merged epoch."""
+    import pytest
+
+    from zonescope.streaming import incremental
+
+    spec = DEFAULT_SPECS["dvf_mutations"]
+    columns = list(spec.expected_columns)
+    args = (spec, f"{workdir}/external", f"{workdir}/lake/bronze/dvf_mutations", f"{workdir}/lake/marts/real_estate_zone_monthly", "2024-06-30")
+    drops = {}
+
+    def epoch(n, **options):
+        if n not in drops:
+            drops[n] = _dropped(spark, workdir, {f"{n}.csv": _sales_lines(columns, [_sale(n, date_mutation="2024-01-05"), _sale(50 + n, date_mutation="bad")])})
+        incremental.process_batch(spark, drops[n], n, *args, most_epochs=2, **options)
+
+    def crash(*_, **__):
+        raise RuntimeError("lost")
+
+    silver = f"{workdir}/lake/silver/fact_real_estate_transactions"
+    schema = None
+    for n in range(2):
+        epoch(n)
+    for point in ("_mark", "_delete_merged"):
+        n = len(drops)
+        with monkeypatch.context() as patch:
+            patch.setattr(incremental, point, crash)
+            with pytest.raises(RuntimeError):
+                epoch(n)
+        schema = spark.read.parquet(silver).schema
+        assert incremental.valid_silver(spark, silver, schema, "0").count() == 2 * len(drops)  # each row once, whatever lies about
+        epoch(n)
+        assert incremental.valid_silver(spark, silver, schema, "0").count() == 2 * len(drops)
+        assert _same_as_batch(spark, workdir, spec)
+        for _ in range(2):
+            epoch(len(drops))
+    epoch(0)  # merged long ago
+    assert incremental.valid_silver(spark, silver, schema, "0").count() == 2 * len(drops)
+    assert _same_as_batch(spark, workdir, spec) and max(_silver_files(workdir).values()) <= 4

@@ -2,8 +2,8 @@
 
 X4 grid density, X5 robust normalisation and segment percent ranks, X6 weight
 sensitivity, X7 quality rules, X8 load monitoring, X9 multi-level roll-up,
-X10 trends, X11 latest-snapshot dedup, X12 robust z-score anomalies, X13 zone
-clusters, X14 score breakdown, X15 month dimension.
+X10 trends, X11 latest-snapshot dedup, X12 robust z-score anomalies, X14 score
+breakdown, X15 month dimension.
 
 Scale notes are given per function; every group-wise statistic that could
 meet a very large group (quantiles, medians, percent ranks) goes through the
@@ -378,7 +378,7 @@ def price_anomalies(fact: DataFrame, threshold: float = ANOMALY_THRESHOLD) -> Da
 
 
 # --------------------------------------------------------------------------
-# X4 grid density, X15 month dimension, X13 clusters
+# X4 grid density, X15 month dimension
 # --------------------------------------------------------------------------
 
 def grid_density(sales: DataFrame, poi: DataFrame) -> DataFrame:
@@ -405,20 +405,3 @@ def month_dimension(zone_month: DataFrame) -> DataFrame:
         F.quarter("month_key").alias("quarter"),
         F.month("month_key").alias("month"),
     )
-
-
-def zone_clusters(scores: DataFrame, k: int = 4, seed: int = 7) -> DataFrame:
-    """Zone typology with k-means on standardised metrics (no SQL equivalent)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-
-    cols = [c for _, c in SCORE_METRICS]
-    data = scores.select("zone_id", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in cols])
-    pipeline = Pipeline(stages=[
-        VectorAssembler(inputCols=cols, outputCol="_raw"),
-        StandardScaler(inputCol="_raw", outputCol="_features", withMean=True, withStd=True),
-        KMeans(featuresCol="_features", predictionCol="cluster", k=k, seed=seed),
-    ])
-    model = pipeline.fit(data)
-    return model.transform(data).select("zone_id", F.col("cluster").cast("int").alias("cluster"))

@@ -29,11 +29,14 @@ def _tail() -> list:
 
 
 def stg_sales(raw: DataFrame) -> DataFrame:
-    """Property sales (21 columns)."""
-    value = clean_numeric("valeur_fonciere")
-    built = clean_numeric("surface_reelle_bati")
-    land = clean_numeric("surface_terrain")
-    return raw.select(
+    """Property sales (21 columns).  The numbers are parsed in a step of their own: the prices use them several times."""
+    parsed = raw.withColumns({
+        "_value": clean_numeric("valeur_fonciere"),
+        "_built": clean_numeric("surface_reelle_bati"),
+        "_land": clean_numeric("surface_terrain"),
+    })
+    value, built, land = F.col("_value"), F.col("_built"), F.col("_land")
+    return parsed.select(
         fingerprint("date_mutation", "valeur_fonciere", "code_commune", "nom_commune", "id_parcelle",
                     "_source_file").alias("transaction_id"),
         parse_date("date_mutation").alias("date_mutation"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from zonescope.constants import PROFILES
 from zonescope.operators import analytics as an
-from zonescope.operators import scoring
+from zonescope.operators import clusters, scoring
 from zonescope.operators.staging import stg_sales
 from zonescope.plans import oracle
 from zonescope.plans.oracle import clean_num
@@ -228,6 +228,35 @@ _MONTHS_SQL = """SELECT CAST(m AS DATE) AS month_key, CAST(year(m) AS INTEGER) A
 FROM (SELECT unnest(generate_series(CAST(min(month_key) AS TIMESTAMP), CAST(max(month_key) AS TIMESTAMP),
       INTERVAL 1 MONTH)) AS m FROM zone_month)"""
 
+def _lloyd_sql(source: str, key: str, columns: list[str], rounded, k: int = clusters.CLUSTERS, steps: int = clusters.STEPS) -> str:
+    """The Lloyd steps of ``operators.clusters`` unrolled as SQL over the relation ``source`` (``rounded(expr, digits)`` renders the rounding)."""
+    def distance(a: str, b: str) -> str:
+        return rounded(" + ".join(f"({a}.{c} - {b}.{c}) * ({a}.{c} - {b}.{c})" for c in columns), clusters.DIGITS)
+
+    names = ", ".join(columns)
+    filled = ", ".join(f"COALESCE(CAST({c} AS DOUBLE), CAST(0 AS DOUBLE)) AS {c}" for c in columns)
+    scored = ", ".join(f"COALESCE({rounded(f'({c} - avg({c}) OVER ()) / NULLIF(stddev_pop({c}) OVER (), 0)', clusters.DIGITS)}, CAST(0 AS DOUBLE)) AS {c}" for c in columns)
+    zero = ", ".join(f"CAST(0 AS DOUBLE) AS {c}" for c in columns)
+    ctes = [f"pt AS MATERIALIZED (SELECT {key}, {scored} FROM (SELECT {key}, {filled} FROM {source}))",
+            f"origin AS (SELECT {zero})",
+            f"seed0 AS MATERIALIZED (SELECT 0 AS i, {names} FROM (SELECT pt.*, {distance('pt', 'origin')} AS d FROM pt CROSS JOIN origin ORDER BY d DESC, {key} LIMIT 1))"]
+    for i in range(1, k):
+        ctes.append(f"seed{i} AS MATERIALIZED (SELECT * FROM seed{i - 1} UNION ALL SELECT {i}, {names} FROM (SELECT pt.{key}, "
+                    + ", ".join(f"pt.{c}" for c in columns)
+                    + f", min({distance('pt', 's')}) AS d FROM pt CROSS JOIN seed{i - 1} s GROUP BY ALL HAVING d > 0 ORDER BY d DESC, pt.{key} LIMIT 1))")
+    previous = f"seed{k - 1}"
+    for step in range(steps + 1):
+        ctes.append(f"near{step} AS MATERIALIZED (SELECT pt.*, s.i, {distance('pt', 's')} AS d FROM pt CROSS JOIN {previous} s "
+                    f"QUALIFY row_number() OVER (PARTITION BY pt.{key} ORDER BY d, s.i) = 1)")
+        means = ", ".join(f"COALESCE({rounded(f'n.{c}', clusters.DIGITS)}, s.{c}) AS {c}" for c in columns)
+        averages = ", ".join(f"avg({c}) AS {c}" for c in columns)
+        ctes.append(f"centre{step} AS MATERIALIZED (SELECT s.i, {means} FROM {previous} s LEFT JOIN (SELECT i, {averages} FROM near{step} GROUP BY i) n ON n.i = s.i)")
+        previous = f"centre{step}"
+    return f"WITH {', '.join(ctes)} SELECT {key}, CAST(i AS INTEGER) AS cluster, d AS distance_2 FROM near{steps}"
+
+
+_CLUSTERED = [column for _, column in an.SCORE_METRICS]
+
 _ZM_DOUBLES = ["median_price_m2_bati", "median_price_m2_terrain", "avg_price_m2_bati", "stddev_price_m2_bati"]
 
 
@@ -265,7 +294,8 @@ def extension_queries(Query) -> list:
         Query("grid_density", "X4", lambda m: an.grid_density(m.staged["dvf_mutations"], m.staged["tourism_poi"]),
               _sql(_DENSITY_SQL, ["avg_price_m2_bati"])),
         Query("month_dimension", "X15", lambda m: an.month_dimension(m.zone_month), _sql(_MONTHS_SQL)),
-        Query("zone_clusters", "X13 (k-means; no SQL oracle)", lambda m: an.zone_clusters(m.scores), None),
+        Query("zone_clusters", "X13 (Lloyd steps from far-point seeds)", lambda m: clusters.lloyd(m.scores, "zone_id", _CLUSTERED),
+              _sql("SELECT * FROM (" + _lloyd_sql("scores", "zone_id", _CLUSTERED, oracle.round_d) + ")", ["distance_2"])),
         Query("incremental_zone_month", "ST1 (Structured Streaming)", incremental_zone_month,
               _sql("SELECT * FROM zone_month", _ZM_DOUBLES)),
     ]

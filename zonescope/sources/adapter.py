@@ -317,8 +317,8 @@ def raw_dataset(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
     for frame in frames[1:]:
         out = out.unionByName(frame)
     if dataset in GRID_DATASETS:
-        lat, lon = to_double("latitude"), to_double("longitude")
-        out = out.withColumn("h3_res8", grid_cell(lat, lon, 8)).withColumn("h3_res9", grid_cell(lat, lon, 9))
+        parsed = out.withColumns({"_lat": to_double("latitude"), "_lon": to_double("longitude")})  # once for both levels
+        out = parsed.withColumns({f"h3_res{level}": grid_cell("_lat", "_lon", level) for level in (8, 9)}).drop("_lat", "_lon")
     return out
 
 
