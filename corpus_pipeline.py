@@ -54,7 +54,8 @@ def repeated_passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 tokens: a row per piece, as in query op6_packing."""
-    pieces = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    added = packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added=added)
     slim = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.pack(slim).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 

@@ -2,21 +2,23 @@
 
 Items (pieces of tokenised documents) are dealt by hash to groups of bounded
 size; each group is packed best-fit decreasing on its own.  Nearly full bins
-are final.  Underfull bins go up as items: groups are merged ``fan_in`` at a
-time and their underfull bins are packed by best fit again, until one group is
-left.  A group hands up at most ``carry`` bins, its emptiest; fuller ones are
-final, so no task ever holds more than ``fan_in * carry`` items.  Nothing is
+are final.  All underfull bins go up as items: they are dealt to ``fan_in`` times
+fewer groups and packed by best fit again, until one group is left or further
+merging would put more than ``group_bins`` bins into a task.  Nothing is
 dropped: every item ends in exactly one bin.
 
 Results: a null text is the empty text and still holds the closing id;
-repeated rows are packed as separate items; an empty table gives an empty
-result.  Every level is a written table, so bin numbers never change when an
+repeated rows are packed as separate items; very long texts are cut into
+pieces; items of one size are interchangeable (ties go by row order); an empty
+table gives an empty result.  Every level is a written table, so bin numbers never change when an
 executor is lost.
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import re
 
 import numpy as np
 import pandas as pd
@@ -33,7 +35,10 @@ CAPACITY = 1024
 NEARLY_FULL = 0.98
 GROUP_ITEMS = 50_000
 FAN_IN = 8
-CARRY = 20_000
+#: Underfull bins that one task packs again.
+GROUP_BINS = 160_000
+#: Names that :func:`pack` uses itself.
+RESERVED = ("_size", "_group", "_bin", "_offset", "_fill")
 
 
 def best_fit(sizes: list[int], capacity: int) -> tuple[list[int], list[int], list[int]]:
@@ -68,9 +73,12 @@ _LOADED: dict = {}
 
 
 class _Tokens:
-    """Texts to packed ids by the rank form of a byte-level vocabulary; cut at clean spaces, cut parts remembered."""
+    """Texts to packed ids by the rank form of a byte-level vocabulary; cut at added tokens, then at clean spaces, cut parts remembered."""
 
-    def __init__(self, data: bytes, pattern: str):
+    def __init__(self, data: bytes, pattern: str, added: dict[str, int]):
+        self.added = {text: np.array([i], "<u4").tobytes() for text, i in added.items()}
+        longest_first = sorted(map(re.escape, added), key=len, reverse=True)
+        self.marks = re.compile(f"({'|'.join(longest_first)})") if added else None
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
         self.plain = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.spaced = Memo(lambda chunk: self._cut(" " + chunk))
@@ -79,29 +87,53 @@ class _Tokens:
         return np.array(self.plain(text), "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
+        if self.marks is None or not self.marks.search(text):
+            return self._plain(text)
+        return b"".join(self.added[part] if i % 2 else self._plain(part) for i, part in enumerate(self.marks.split(text)))
+
+    def _plain(self, text: str) -> bytes:
+        if not text:
+            return b""
         if _LOOSE_SPACE.search(text):
             return self._cut(text)
         head, *rest = text.split(" ")
         return self._cut(head) + b"".join(map(self.spaced.__getitem__, rest))
 
 
-def pieces(df: DataFrame, ranks_path: str, pattern: str, end_id: int = 2, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def added_tokens(vocabulary_path: str) -> dict[str, int]:
+    """The added tokens of a vocabulary in JSON form: text -> id.  The library reads them inside texts, special or not."""
+    with open(vocabulary_path, encoding="utf-8") as handle:
+        return {token["content"]: token["id"] for token in json.load(handle)["added_tokens"]}
+
+
+def pieces(
+    df: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    end_id: int = 2,
+    capacity: int = CAPACITY,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    added: dict[str, int] | None = None,
+) -> DataFrame:
     """Tokenise, close each document with ``end_id`` and cut those longer than ``capacity``.
 
     One row per piece: doc_id, piece, start, length, ids (packed little-endian
     unsigned 32-bit).  All pieces of a cut document are ``capacity`` long but
     the first, which takes the rest.  ``ranks_path`` is the rank form of the
-    vocabulary; ids are those that the vocabulary's own library gives with
-    special strings read as ordinary text.
+    vocabulary and ``added`` its added tokens (:func:`added_tokens`), at which
+    texts are cut first: ids are those that the vocabulary's own library gives
+    without closing tokens of its own.  Other columns never reach the operator.
     """
+    added = added or {}
     vocabulary = broadcast_bytes(df.sparkSession, ranks_path)
     closing = np.array([end_id], "<u4").tobytes()
 
     def make():
-        key = (hash(vocabulary.value), pattern)
+        key = (hash(vocabulary.value), pattern, tuple(added.items()))
         if key not in _LOADED:
             _LOADED.clear()
-            _LOADED[key] = _Tokens(vocabulary.value, pattern)
+            _LOADED[key] = _Tokens(vocabulary.value, pattern, added)
         tokens = _LOADED[key]
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -126,73 +158,73 @@ def pieces(df: DataFrame, ranks_path: str, pattern: str, end_id: int = 2, capaci
     return arrow_map(id_and_text(df, id_col, text_col), "doc_id long, piece int, start long, length long, ids binary", make)
 
 
-def _packer(level: int, size: str, capacity: int):
+def _packer(level: int, capacity: int):
     def pack_group(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        bins, offsets, fills = best_fit(frame[size].tolist(), capacity)
+        bins, offsets, fills = best_fit(frame["_size"].tolist(), capacity)
         base = level << 56 | int(key[0]) << 32
         fills = np.asarray(fills, "int64")
         bins = np.asarray(bins, "int64")
-        return frame.assign(bin=base + bins, offset=np.asarray(offsets, "int64"), fill=fills[bins] if len(bins) else fills)
+        return frame.assign(_bin=base + bins, _offset=np.asarray(offsets, "int64"), _fill=fills[bins] if len(bins) else fills)
 
     return pack_group
 
 
-def pack(items: DataFrame, length_col: str = "length", capacity: int = CAPACITY, group_items: int = GROUP_ITEMS, fan_in: int = FAN_IN, carry: int = CARRY) -> DataFrame:
+def _packer_up(level: int, capacity: int):
+    inner = _packer(level, capacity)
+
+    def pack_group(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        return inner(key, frame.sort_values("child"))[["child", "_group", "_bin", "_offset", "_fill"]]
+
+    return pack_group
+
+
+def _open_bins(placed: DataFrame, enough: int) -> DataFrame:
+    """(child, _size): the underfull bins."""
+    return placed.where(F.col("_fill") < enough).groupBy(F.col("_bin").alias("child")).agg(F.max("_fill").alias("_size"))
+
+
+def pack(items: DataFrame, length_col: str = "length", capacity: int = CAPACITY, group_items: int = GROUP_ITEMS, fan_in: int = FAN_IN, group_bins: int = GROUP_BINS) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to every item; items of one sequence lie gapless from 0.
 
-    An item longer than ``capacity`` is an error; one of length 0 or null takes no room.
+    An item longer than ``capacity`` is an error; one of length 0 or null takes
+    no room.  Columns of these two names in the input are replaced, the names
+    in ``RESERVED`` are an error, all other columns are carried along.
     """
+    clashes = [c for c in items.columns if c in RESERVED]
+    if clashes:
+        raise ValueError(f"columns {clashes} have names used by pack()")
     spark = items.sparkSession
     ship(spark)
-    size = "_size"
-    items = items.withColumn(size, F.coalesce(F.col(length_col).cast("long"), F.lit(0)))
-    items = stored(items, "pack-items")
-    count, longest = items.agg(F.count(F.when(F.col(size) < capacity, 1)), F.max(size)).first()
+    items = stored(items.drop("sequence_id", "offset").withColumn("_size", F.coalesce(F.col(length_col).cast("long"), F.lit(0))), "pack-items")
+    count, longest = items.agg(F.count(F.when(F.col("_size") < capacity, 1)), F.max("_size")).first()
     if longest is not None and longest > capacity:
         raise ValueError(f"an item of {longest} is longer than {capacity}")
     groups = max(1, -(-count // group_items))
     keys = [c for c in items.columns if c != "ids"]
     dealt = items.withColumn("_group", F.pmod(F.xxhash64(*keys, F.monotonically_increasing_id()), F.lit(groups)))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema.fields)
-    whole = (
-        dealt.where(F.col(size) == capacity)
-        .withColumn("bin", F.lit(127 << 56) + F.monotonically_increasing_id())
-        .withColumn("offset", F.lit(0).cast("long"))
-        .withColumn("fill", F.lit(capacity).cast("long"))
-    )
-    packed = dealt.where(F.col(size) < capacity).groupBy("_group").applyInPandas(_packer(0, size, capacity), fields + ", bin long, offset long, fill long")
+    whole = dealt.where(F.col("_size") == capacity).withColumns(
+        {"_bin": F.lit(127 << 56) + F.monotonically_increasing_id(), "_offset": F.lit(0).cast("long"), "_fill": F.lit(capacity).cast("long")})
+    packed = dealt.where(F.col("_size") < capacity).groupBy("_group").applyInPandas(_packer(0, capacity), fields + ", _bin long, _offset long, _fill long")
     placed = stored(whole.unionByName(packed), "pack-0")
     discard(items)
     enough = int(capacity * NEARLY_FULL)
-    open_bins = placed.where(F.col("fill") < enough).groupBy("_group", "bin").agg(F.max("fill").alias("fill"))
-    result, level = placed.drop("_group", "fill", size), 0
+    open_bins = _open_bins(placed, enough)
+    result, level = placed.drop("_group", "_fill", "_size"), 0
     while groups > 1:
         level += 1
-        groups = -(-groups // fan_in)
-        by_fill = F.row_number().over(_emptiest())
-        rising = open_bins.withColumn("_rank", by_fill).where(F.col("_rank") <= carry).select(F.col("bin").alias("child"), "fill", F.floor(F.col("_group") / fan_in).cast("long").alias("_group"))
-        step = rising.groupBy("_group").applyInPandas(_packer_up(level, capacity), "child long, _group long, bin long, offset long, fill long")
+        fewer = max(-(-groups // fan_in), -(-open_bins.count() // group_bins))
+        last, groups = fewer >= groups, min(fewer, groups)
+        rising = open_bins.withColumn("_group", F.pmod(F.xxhash64("child", F.lit(level)), F.lit(groups)))
+        step = rising.groupBy("_group").applyInPandas(_packer_up(level, capacity), "child long, _group long, _bin long, _offset long, _fill long")
         step = stored(step, f"pack-{level}")
         result = (
-            result.join(step.select(F.col("child").alias("bin"), F.col("bin").alias("_parent"), F.col("offset").alias("_shift")), "bin", "left")
-            .withColumn("offset", F.col("offset") + F.coalesce("_shift", F.lit(0)))
-            .withColumn("bin", F.coalesce("_parent", "bin"))
+            result.join(step.select(F.col("child").alias("_bin"), F.col("_bin").alias("_parent"), F.col("_offset").alias("_shift")), "_bin", "left")
+            .withColumn("_offset", F.col("_offset") + F.coalesce("_shift", F.lit(0)))
+            .withColumn("_bin", F.coalesce("_parent", "_bin"))
             .drop("_parent", "_shift")
         )
-        open_bins = step.where(F.col("fill") < enough).groupBy("_group", "bin").agg(F.max("fill").alias("fill"))
-    return result.withColumnRenamed("bin", "sequence_id")
-
-
-def _emptiest():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("_group").orderBy("fill", "bin")
-
-
-def _packer_up(level: int, capacity: int):
-    inner = _packer(level, "size", capacity)
-
-    def pack_group(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        return inner(key, frame.rename(columns={"fill": "size"}).sort_values("child"))[["child", "_group", "bin", "offset", "fill"]]
-
-    return pack_group
+        open_bins = _open_bins(step, enough)
+        if last:  # merging further would overfill a task
+            break
+    return result.withColumnsRenamed({"_bin": "sequence_id", "_offset": "offset"})

@@ -64,7 +64,8 @@ def op5_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pieces(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    added = packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = packing.pieces(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added=added)
     slim = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.pack(slim).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
