@@ -157,3 +157,40 @@ def test_multiline_spec_and_manifest(spark, workdir):
     assert ing.ingest_dataset(spark, spec, workdir, f"{workdir}/bronze", "2024-01-01")["rows"] == 2
     names = {r.code_commune: r.nom_commune for r in ing.read_bronze(spark, spec, f"{workdir}/bronze").collect()}
     assert names == {"01001": "Saint-\nDenis", "01002": "B"}
+
+
+def _geo_spec(**options):
+    return DatasetSpec("geo", "in/*", "csv", ",", "geo", True, ("code_commune", "nom_commune"), **options)
+
+
+def test_quoted_line_breaks_are_found_per_file(spark, workdir):
+    _write(f"{workdir}/in/a.csv", 'code_commune,nom_commune\n01001,"Saint-\nDenis ""sur"" mer"\n01002,B\n')
+    _write(f"{workdir}/in/b c%.csv", '\nnom_commune,code_commune\n"C ""x""",01003\n')  # quotes, but no line break; a blank first line
+    _write(f"{workdir}/in/d.csv", '"Code\nCommune",nom_commune\n01004,D\n')  # a line break in the header itself
+    _write(f"{workdir}/in/e.csv", "code_commune,nom_commune\r\n01005,E\r\n")
+    spec = _geo_spec()
+    files = ing.discover_files(spark, workdir, spec.path_glob)
+    spark.sparkContext.setJobGroup("shapes", "shapes")
+    try:
+        shapes = {path.rpartition("/")[2]: shape for path, shape in ing.csv_shapes(spark, spec, [f.path for f in files if not f.path.endswith("d.csv")]).items()}
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("shapes")) <= 2  # not one a file (adaptive execution counts a shuffle as a job)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {name: shape.spans_lines for name, shape in shapes.items()} == {"a.csv": True, "b c%.csv": False, "e.csv": False}
+    assert shapes["b c%.csv"].header == ("nom_commune", "code_commune")
+    summary = ing.ingest_dataset(spark, spec, workdir, f"{workdir}/bronze", "2024-01-01")
+    assert summary == {"dataset": "geo", "files": 4, "rows": 5, "torn": 0}
+    names = {r.code_commune: r.nom_commune for r in ing.read_bronze(spark, spec, f"{workdir}/bronze").collect()}
+    assert names == {"01001": 'Saint-\nDenis "sur" mer', "01002": "B", "01003": 'C "x"', "01004": "D", "01005": "E"}
+
+
+def test_torn_rows_are_counted(spark, workdir):
+    _write(f"{workdir}/in/a.csv", "code_commune,nom_commune\n01001,A\n01002\n01003,C,too many\n01004,D\n")
+    _write(f"{workdir}/in/b.csv", 'code_commune,nom_commune\n01005,"open\nquote"\n')
+    spec = _geo_spec()
+    assert ing.ingest_dataset(spark, spec, workdir, f"{workdir}/bronze", "2024-01-01") == {"dataset": "geo", "files": 2, "rows": 5, "torn": 2}
+    rows = {r.code_commune: r.nom_commune for r in ing.read_bronze(spark, spec, f"{workdir}/bronze").collect()}
+    assert rows == {"01001": "A", "01002": None, "01003": "C", "01004": "D", "01005": "open\nquote"}
+    assert ing.ingest_dataset(spark, _geo_spec(multiline=False), workdir, f"{workdir}/bronze", "2024-01-02")["torn"] == 3  # the opened cell reads as a whole row, its rest is torn
+    with pytest.raises(ing.TornRowsError, match="2 of 5 rows"):
+        ing.ingest_dataset(spark, spec, workdir, f"{workdir}/bronze", "2024-01-03", fail_on_torn=True)

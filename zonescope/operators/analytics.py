@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from zonescope.constants import PROFILES
 from zonescope.functions.columns import month_start, round_half_up
 from zonescope.operators.quantiles import exact_median, exact_quantiles, percent_rank
+from zonescope.operators.serving import in_territory
 from zonescope.session import ensure_checkpoint_dir
 
 # Metric columns of the score table (name used in reports -> column).
@@ -156,10 +157,7 @@ def score_breakdown(normed: DataFrame, region: str | None = None, departement: s
     ``contribution`` is the term's signed share of the score in points;
     per zone and profile they add up to the score before rounding.
     """
-    if region is not None:
-        normed = normed.where(F.col("nom_region") == region)
-    if departement is not None:
-        normed = normed.where(F.col("code_departement") == departement)
+    normed = in_territory(normed, region, departement)
     items = []
     for profile, terms in PROFILES.items():
         for norm, weight, kind in terms:
@@ -177,6 +175,17 @@ def score_breakdown(normed: DataFrame, region: str | None = None, departement: s
     return normed.select("zone_id", F.inline(F.array(*items)))
 
 
+def compare_zones(normed: DataFrame, zones: DataFrame) -> DataFrame:
+    """The score terms of a few zones side by side: each term's contribution and its gap to the best of them.
+
+    ``zones`` (a ``zone_id`` column) is what a user picked; the terms of a zone
+    are bounded, so a (profile, term) window holds one row per picked zone.
+    """
+    picked = normed.join(zones.select("zone_id").distinct(), "zone_id", "left_semi")
+    best = F.max("contribution").over(Window.partitionBy("profile", "term"))
+    return score_breakdown(picked).withColumn("gap_to_best", best - F.col("contribution"))
+
+
 # --------------------------------------------------------------------------
 # X6 weight sensitivity
 # --------------------------------------------------------------------------
@@ -299,6 +308,28 @@ def quality_rules(sales: DataFrame, fact: DataFrame, features: DataFrame, season
     )
 
 
+def occupancy_rules(occupancy: DataFrame) -> DataFrame:
+    """Rules of the zone-month occupancy as failing-row counts: rates in 0..1, no negative amounts, known month, unique key.
+
+    The table is one row per key if it is right, so the counts per key are of
+    the table's size and partial.
+    """
+    per_key = occupancy.groupBy("zone_id", "month_key").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count_if(~F.col("occupancy_rate").between(0.0, 1.0)).alias("rate_in_0_1"),
+        F.count_if((F.col("adr") <= 0) | (F.col("revenue_eur") < 0)).alias("positive"),
+        F.count_if(F.col("booked_nights") > F.col("open_nights")).alias("booked_within_open"))
+    repeated = F.when(F.col("_rows") > 1, F.col("_rows")).otherwise(0)
+    sums = per_key.withColumns({"unique": repeated, "not_null": F.when(F.col("month_key").isNull(), F.col("_rows")).otherwise(0)}).agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("row_count"),
+        *[F.coalesce(F.sum(r), F.lit(0)).alias(r) for r in ("rate_in_0_1", "positive", "booked_within_open", "unique", "not_null")])
+    rules = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(c).alias("column_name"), F.col(r).alias("failing")) for r, c in (
+        ("rate_in_0_1", "occupancy_rate"), ("positive", "adr,revenue_eur"), ("booked_within_open", "booked_nights"),
+        ("unique", "zone_id,month_key"), ("not_null", "month_key"))])
+    out = sums.select("row_count", F.inline(rules))
+    return out.select(F.lit("zone_month_occupancy").alias("model"), "rule", "column_name", "row_count", "failing", (F.col("failing") == 0).alias("passed"))
+
+
 def load_monitoring(raw: dict[str, DataFrame], expected: dict[str, tuple[str, ...]]) -> DataFrame:
     """Per dataset and expected column: rows, empty cells (NULL or ''), empty
     rate, latest snapshot and ingestion time — one aggregate pass per dataset."""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from zonescope.constants import (
     DEFAULT_PROFILE,
     DISPLAY_COLUMNS,
+    FLAG_COLUMNS,
     PROFILE_LABELS,
     PROFILES,
     TOP_N_DEFAULT,
@@ -78,19 +79,41 @@ def filtered_zones(scores: DataFrame, min_transactions: int = 0, min_poi: int =
     )
 
 
+def in_territory(zones: DataFrame, region: str | None = None, departement: str | None = None, territory: str | None = None) -> DataFrame:
+    """Zones of a région, a département or a type of territory.
+
+    ``territory`` is a label flag with or without its ``is_`` (``littoral``,
+    ``mountain``, ...).  The filters are plain column predicates, so they reach
+    the scan of a stored score table.
+    """
+    if region is not None:
+        zones = zones.where(F.col("nom_region") == region)
+    if departement is not None:
+        zones = zones.where(F.col("code_departement") == departement)
+    if territory is not None:
+        flag = territory if territory in FLAG_COLUMNS else f"is_{territory}"
+        if flag not in FLAG_COLUMNS:
+            raise ValueError(f"unknown territory {territory!r}; expected one of {[f.removeprefix('is_') for f in FLAG_COLUMNS]}")
+        zones = zones.where(F.col(flag) == 1)
+    return zones
+
+
 def rank_zones(
     scores: DataFrame,
     profile: str = DEFAULT_PROFILE,
     min_transactions: int = 0,
     min_poi: int = 0,
     top_n: int = TOP_N_DEFAULT,
+    region: str | None = None,
+    departement: str | None = None,
+    territory: str | None = None,
 ) -> DataFrame:
-    """Top-N zones for a profile, best first; ties broken by zone id (O2)."""
+    """Top-N zones for a profile, best first; ties broken by zone id (O2), within a territory if one is given."""
     score = score_column(profile)
     if top_n < 1:
         raise ValueError(f"top_n must be 1 or more, not {top_n}")
     return (
-        filtered_zones(scores, min_transactions, min_poi)
+        filtered_zones(in_territory(scores, region, departement, territory), min_transactions, min_poi)
         .orderBy(F.col(score).desc_nulls_last(), F.col("zone_id").asc())
         .limit(int(top_n))
         .withColumn("score", F.col(score))

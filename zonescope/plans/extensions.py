@@ -109,7 +109,7 @@ _PRANK_SQL = """SELECT zone_id, nom_region, score_rendement,
   percent_rank() OVER (PARTITION BY nom_region ORDER BY score_rendement) AS percent_rank FROM scores"""
 
 
-def _breakdown_sql() -> str:
+def breakdown_sql() -> str:
     parts = []
     for profile, terms in PROFILES.items():
         for norm, weight, kind in terms:
@@ -277,7 +277,7 @@ def extension_queries(Query) -> list:
         Query("segment_percent_rank", "X5", lambda m: an.segment_percent_rank(m.scores),
               _sql(_PRANK_SQL, ["score_rendement", "percent_rank"])),
         Query("score_breakdown", "X14", lambda m: an.score_breakdown(normed(m)),
-              _sql(_breakdown_sql(), ["weight", "norm", "contribution"])),
+              _sql(breakdown_sql(), ["weight", "norm", "contribution"])),
         Query("weight_sensitivity", "X6", lambda m: an.weight_sensitivity(normed(m)),
               _sql(_sensitivity_sql(), ["score"])),
         Query("quality_rules", "X7",

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonescope.operators import dimensions, quarantine, rollup, scenarios
+from zonescope.operators import analytics, dimensions, quarantine, rollup, scenarios, serving
 from zonescope.operators.staging import stg_geo
 from zonescope.plans import oracle, stays
+from zonescope.plans.extensions import breakdown_sql, normed
 from zonescope.sources.adapter import SNAPSHOT_DATE
 
 LATER_SNAPSHOTS = ("2024-07-31", "2024-08-31")
@@ -77,6 +78,19 @@ def scenario_ranking(m) -> DataFrame:
     return scenarios.scenario_ranking(scenario_zones(m), SCENARIOS, TOP)
 
 
+REGION, TERRITORY = "EUROPE", "littoral"
+
+
+def top_zones_territory(m) -> DataFrame:
+    """The best seaside zones of one région."""
+    return serving.display_table(serving.rank_zones(m.scores, "nature_premium", top_n=20, region=REGION, territory=TERRITORY))
+
+
+def zone_comparison(m) -> DataFrame:
+    """The five best zones by yield, term by term."""
+    return analytics.compare_zones(normed(m), serving.rank_zones(m.scores, top_n=5))
+
+
 # ---------------------------------------------------------------- oracle SQL
 
 def _levels_sql() -> str:
@@ -94,6 +108,7 @@ def _levels_sql() -> str:
             "FROM s_sales s LEFT JOIN features g ON g.zone_id = s.code_commune) " + " UNION ALL ".join(parts))
 
 
+_DISPLAY_DOUBLES = ["score", "ticket_entree_benchmark", "potentiel_touristique", "nature", "accessibilite", "stabilite", "intensite_saisonniere", "concurrence"]
 _LEVEL_DOUBLES = ["avg_price_m2_bati", "stddev_price_m2_bati", "min_price_m2_bati", "max_price_m2_bati"]
 
 _COLUMNS = ", ".join(["nom_commune", "code_departement", "nom_departement", "nom_region"])
@@ -157,7 +172,24 @@ def warehouse_queries(Query) -> list:
     """(name, ids, builder, sql) entries; ``Query`` is the registry's record type."""
     accepted = f"""SELECT transaction_id, code_commune, date_mutation, type_local, valeur_fonciere, corrected_surface_m2, corrected_price_m2, notes
       FROM ({QUARANTINE_SQL}) WHERE reasons = ''"""
+    territory = oracle.top_zones_sql("nature_premium", top_n=20).replace(" FROM scores WHERE ", f" FROM scores WHERE nom_region = '{REGION}' AND is_{TERRITORY} = 1 AND ")
+    terms = f"SELECT * FROM ({breakdown_sql()}) b WHERE zone_id IN (SELECT zone_id FROM ({oracle.top_zones_sql('rendement', top_n=5)}))"
+    rules = " UNION ALL ".join(
+        f"SELECT 'zone_month_occupancy' AS model, '{rule}' AS rule, '{column}' AS column_name, count(*) AS row_count, CAST(COALESCE(sum({failing}), 0) AS BIGINT) AS failing, "
+        f"COALESCE(sum({failing}), 0) = 0 AS passed FROM o"
+        for rule, column, failing in (
+            ("rate_in_0_1", "occupancy_rate", "CASE WHEN occupancy_rate < 0 OR occupancy_rate > 1 THEN 1 ELSE 0 END"),
+            ("positive", "adr,revenue_eur", "CASE WHEN adr <= 0 OR revenue_eur < 0 THEN 1 ELSE 0 END"),
+            ("booked_within_open", "booked_nights", "CASE WHEN booked_nights > open_nights THEN 1 ELSE 0 END"),
+            ("unique", "zone_id,month_key", "CASE WHEN n > 1 THEN 1 ELSE 0 END"),
+            ("not_null", "month_key", "CASE WHEN month_key IS NULL THEN 1 ELSE 0 END")))
     return [
+        Query("top_zones_territory", "X14 région and territory", top_zones_territory, _sql(territory, _DISPLAY_DOUBLES)),
+        Query("zone_comparison", "X14 zones side by side", zone_comparison,
+              _sql(f"SELECT *, max(contribution) OVER (PARTITION BY profile, term) - contribution AS gap_to_best FROM ({terms}) t",
+                   ["weight", "norm", "contribution", "gap_to_best"])),
+        Query("occupancy_rules", "X7 rates, uniqueness", lambda m: analytics.occupancy_rules(stays.occupancy(m)),
+              _sql(f"SELECT * FROM (WITH o AS (SELECT *, count(*) OVER (PARTITION BY zone_id, month_key) AS n FROM ({stays.OCCUPANCY_SQL})) {rules})")),
         Query("price_levels", "X9 two hierarchies, cells", lambda m: rollup.price_levels(m.staged["dvf_mutations"], m.features), _sql(_levels_sql(), _LEVEL_DOUBLES)),
         Query("dim_location", "X15 location history", dim_location, _sql(f"SELECT * FROM ({LOCATION_SQL})")),
         Query("sales_locations", "X15 version valid on a date", sales_locations, _sql(SEEN_SQL)),

@@ -6,7 +6,11 @@
 * CSV files are grouped by header: reading several files with different column
   orders in one ``csv()`` call would map columns by position, so each group
   of identical headers is read with its own all-text schema and the groups
-  are stacked by name (missing columns -> NULL).
+  are stacked by name (missing columns -> NULL).  One job over all files
+  finds the headers and the files whose quoted cells hold line breaks; only
+  those are read unsplit.
+* Rows with more or fewer cells than their header are kept (missing cells ->
+  NULL) and counted; the summary reports them.
 * Bronze is all text plus four metadata columns (and grid cells for datasets
   with coordinates), written as Parquet partitioned by ``snapshot_date``;
   re-ingesting a snapshot replaces that snapshot only.
@@ -14,13 +18,14 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import fnmatch
 import posixpath
 import re
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +38,10 @@ from zonescope.sources.specs import GRID_COLUMNS, GRID_DATASETS, DatasetSpec
 SUPPORTED_FORMATS = ("csv", "parquet")
 
 
+class TornRowsError(ValueError):
+    """Rows of a delivery have another number of cells than their header."""
+
+
 @dataclass(frozen=True)
 class SourceFile:
     path: str
@@ -78,37 +87,76 @@ def _csv_reader(spark: SparkSession, spec: DatasetSpec, multiline: bool):
     )
 
 
-def _header(spark: SparkSession, spec: DatasetSpec, path: str, multiline: bool) -> tuple[str, ...]:
+def _header(spark: SparkSession, spec: DatasetSpec, path: str) -> tuple[str, ...]:
     # Reading the header only: without schema inference Spark takes the first
     # record of the file and nothing else.
-    return tuple(_csv_reader(spark, spec, multiline).csv(path).columns)
+    return tuple(_csv_reader(spark, spec, True).csv(path).columns)
+
+
+def _plain_path(path: str) -> str:
+    """A path without scheme and leading slashes, to match the same file under two spellings."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:", "", path).lstrip("/")
+
+
+@dataclass(frozen=True)
+class CsvShape:
+    """What must be known of a CSV file before it is read: its column names, and whether a quoted cell holds a line break."""
+
+    header: tuple[str, ...]
+    spans_lines: bool
+
+
+def csv_shapes(spark: SparkSession, spec: DatasetSpec, paths: list[str]) -> dict[str, CsvShape]:
+    """The shape of every file, found in one job over their lines.
+
+    The header is the first line that is not blank.  A line with an odd number
+    of quotes opens a cell that the next line goes on with.  Both are partial
+    aggregates: one row per file reaches the driver.  Only a header that is
+    itself odd (line breaks, empty or repeated names) is read again on its own.
+    """
+    value = F.col("value")
+    lines = spark.read.text(paths).where(F.trim(value) != "").select(
+        F.col("_metadata.file_path").alias("path"), value,
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("at"),
+        (F.length(F.regexp_replace(value, '[^"]', "")) % 2 == 1).alias("odd"))
+    found = lines.groupBy("path").agg(F.min_by("value", "at").alias("first"), F.max("odd").alias("odd")).collect()
+    by_path = {_plain_path(unquote(r["path"])): r for r in found}
+    shapes = {}
+    for path in paths:
+        row = by_path.get(_plain_path(path))
+        names = tuple(next(csv.reader([row["first"]], delimiter=spec.delimiter))) if row and row["first"].count('"') % 2 == 0 else ()
+        if not all(names) or len(set(names)) < len(names) or not names:
+            names = _header(spark, spec, path)
+        shapes[path] = CsvShape(names, bool(row and row["odd"]))
+    return shapes
 
 
 def read_source_files(
-    spark: SparkSession, spec: DatasetSpec, files: list[SourceFile], multiline: bool = False
+    spark: SparkSession, spec: DatasetSpec, files: list[SourceFile], multiline: bool | None = None
 ) -> DataFrame:
-    """Read a dataset's files as text columns with normalised names."""
+    """Read a dataset's files as text columns with normalised names.
+
+    ``multiline`` says whether quoted cells may hold line breaks (None: found
+    out per file).  Beside the columns: ``_file_path``, and ``_torn`` for rows whose number of cells is not the header's.
+    """
     if spec.format not in SUPPORTED_FORMATS:
         raise ValueError(f"unsupported format {spec.format!r} for dataset {spec.name!r}")
     paths = [f.path for f in files]
     frames = []
     if spec.format == "parquet":
         df = spark.read.option("mergeSchema", True).parquet(*paths)
-        df = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns], "_metadata.file_path")
-        frames.append(df.toDF(*normalize_column_names(df.columns[:-1]), "_file_path"))
+        df = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns], "_metadata.file_path", F.lit(False))
+        frames.append(df.toDF(*normalize_column_names(df.columns[:-2]), "_file_path", "_torn"))
     else:
-        # One small job per file reads its first record; the jobs are submitted
-        # concurrently so a folder of many files is not read one header at a time.
-        with ThreadPoolExecutor(max_workers=min(16, max(1, len(paths)))) as pool:
-            headers = list(pool.map(lambda path: _header(spark, spec, path, multiline), paths))
-        groups: dict[tuple[str, ...], list[str]] = {}
-        for path, header in zip(paths, headers):
-            groups.setdefault(header, []).append(path)
-        for header, group in groups.items():
-            schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(header))])
-            df = _csv_reader(spark, spec, multiline).schema(schema).option("enforceSchema", True).csv(group)
-            df = df.select(*[missing_to_null(c).alias(c) for c in df.columns], "_metadata.file_path")
-            frames.append(df.toDF(*normalize_column_names(header), "_file_path"))
+        groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+        for path, shape in csv_shapes(spark, spec, paths).items():
+            groups.setdefault((shape.header, shape.spans_lines if multiline is None else multiline), []).append(path)
+        for (header, spanning), group in groups.items():
+            schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(header))] + [T.StructField("_broken", T.StringType(), True)])
+            reader = _csv_reader(spark, spec, spanning).option("columnNameOfCorruptRecord", "_broken")
+            df = reader.schema(schema).option("enforceSchema", True).csv(group)
+            df = df.select(*[missing_to_null(c).alias(c) for c in df.columns[:-1]], "_metadata.file_path", F.col("_broken").isNotNull())
+            frames.append(df.toDF(*normalize_column_names(header), "_file_path", "_torn"))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
@@ -125,7 +173,7 @@ def with_metadata(df: DataFrame, spec: DatasetSpec, root: str, snapshot_date: st
     and grid cells when both coordinates are present (U1)."""
     relative = relative_source(F.col("_file_path"), root)
     out = df.select(
-        *[c for c in df.columns if c != "_file_path"],
+        *[c for c in df.columns if c not in ("_file_path", "_torn")],
         F.lit(spec.name).alias("_dataset_name"),
         relative.alias("_source_file"),
         F.lit(snapshot_date).alias("_snapshot_date"),
@@ -149,10 +197,14 @@ def ingest_dataset(
     bronze_root: str,
     snapshot_date: str | None = None,
     multiline: bool | None = None,
+    fail_on_torn: bool = False,
 ) -> dict:
     """Files of one dataset -> bronze Parquet under ``snapshot_date=`` (K1, K2, K5).
 
-    Returns a summary: dataset, file count, rows written.
+    Returns a summary: dataset, file count, rows written, torn rows (another
+    number of cells than the header).  With ``fail_on_torn`` torn rows are an
+    error, raised when the snapshot has been written: it can be looked at, and
+    the next ingestion of the snapshot replaces it.
     """
     snapshot_date = snapshot_date or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d")
     multiline = spec.multiline if multiline is None else multiline
@@ -162,19 +214,22 @@ def ingest_dataset(
             raise FileNotFoundError(
                 f"required dataset {spec.name!r} has no file matching {spec.path_glob!r} under {external_root}"
             )
-        return {"dataset": spec.name, "files": 0, "rows": 0}
+        return {"dataset": spec.name, "files": 0, "rows": 0, "torn": 0}
     ingested_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat()
-    df = with_metadata(read_source_files(spark, spec, files, multiline), spec, external_root, snapshot_date,
-                       ingested_at)
     observed = Observation(f"ingest_{spec.name}")
-    df = df.withColumn("snapshot_date", F.lit(snapshot_date)).observe(observed, F.count(F.lit(1)).alias("rows"))
+    rows = read_source_files(spark, spec, files, multiline).observe(
+        observed, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_torn")).alias("torn"))
+    df = with_metadata(rows, spec, external_root, snapshot_date, ingested_at).withColumn("snapshot_date", F.lit(snapshot_date))
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("snapshot_date")
         .parquet(posixpath.join(bronze_root, spec.name))
     )
-    return {"dataset": spec.name, "files": len(files), "rows": int(observed.get["rows"])}
+    counts = observed.get
+    if fail_on_torn and counts["torn"]:
+        raise TornRowsError(f"dataset {spec.name!r}, snapshot {snapshot_date}: {counts['torn']} of {counts['rows']} rows have another number of cells than their header")
+    return {"dataset": spec.name, "files": len(files), "rows": int(counts["rows"]), "torn": int(counts["torn"])}
 
 
 def read_bronze(

@@ -25,7 +25,7 @@ class DatasetSpec:
     required: bool = False
     expected_columns: tuple[str, ...] = field(default_factory=tuple)
     description: str = ""
-    multiline: bool = False  # quoted cells spanning lines (such files are not splittable)
+    multiline: bool | None = None  # quoted cells spanning lines (such files are not splittable); None: found out per file
 
     @property
     def table(self) -> str:
@@ -116,6 +116,6 @@ def load_manifest(path: str | Path) -> dict[str, DatasetSpec]:
             required=bool(cfg.get("required_for_mvp", cfg.get("required", False))),
             expected_columns=tuple(cfg.get("expected_columns", ())),
             description=cfg.get("description", ""),
-            multiline=bool(cfg.get("multiline", False)),
+            multiline=None if cfg.get("multiline") is None else bool(cfg["multiline"]),
         )
     return specs
