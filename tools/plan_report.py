@@ -1,4 +1,4 @@
-"""Physical-plan summary of every registered query (after execution, so AQE's final plan).
+"""Physical-plan summary of every core query (after execution, so AQE's final plan).
 
     python tools/plan_report.py [sf_dir] > PLANS.md
 
@@ -34,7 +34,7 @@ PATTERNS = {
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    from __spark_entry__ import queries
+    from zonescope.plans.queries import spark_queries
     from zonescope.session import local_session
 
     spark = local_session(8)
@@ -42,7 +42,7 @@ def main(argv):
     print("Generated by `tools/plan_report.py`.  Counts are operators in each query's final plan.\n")
     print("| query | " + " | ".join(PATTERNS) + " |")
     print("| --- | " + " | ".join("---" for _ in PATTERNS) + " |")
-    for name, build in queries().items():
+    for name, build in spark_queries().items():
         df = build(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         qe = df._jdf.queryExecution()

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Deliveries of one dataset; their dates are joined to every row, so their number is checked.
 MOST_SNAPSHOTS = 100_000
+#: Facts without a key are dealt to so many stand-ins.
+NULL_SALTS = 4096
 
 
 def one_row_a_snapshot(rows: DataFrame, key: str, attributes: list[str], snapshot: str) -> DataFrame:
@@ -52,9 +54,11 @@ def as_of(facts: DataFrame, versions: DataFrame, key: str, date: str, columns: l
     The versions of a key are few: an equi-join on the key, the validity
     decides, and a fact meets at most one version as versions of a key do not
     overlap.  Facts of one key may be very many; that side is split by adaptive
-    execution.
+    execution.  Facts without a key are spread over stand-ins that match nothing.
     """
-    slim = versions.select(F.col(key).alias("_key"), "valid_from", "valid_to", *[F.col(c).alias(f"_{c}") for c in columns])
-    valid = (F.col(key) == F.col("_key")) & (F.col(date) >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col(date) < F.col("valid_to")))
+    slim = versions.select(F.col(key).cast("string").alias("_key"), "valid_from", "valid_to", *[F.col(c).alias(f"_{c}") for c in columns])
+    nothing = F.concat(F.lit("\x00"), F.pmod(F.monotonically_increasing_id(), F.lit(NULL_SALTS)).cast("string"))
+    facts = facts.withColumn("_fact_key", F.coalesce(F.col(key).cast("string"), nothing))
+    valid = (F.col("_fact_key") == F.col("_key")) & (F.col(date) >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col(date) < F.col("valid_to")))
     joined = facts.join(slim, valid, "left")
-    return joined.select(*facts.columns, *[F.col(f"_{c}").alias(c) for c in columns])
+    return joined.select(*[c for c in facts.columns if c != "_fact_key"], *[F.col(f"_{c}").alias(c) for c in columns])

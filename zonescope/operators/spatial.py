@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,6 +48,8 @@ FINER = 2
 HOT_ROWS = 200_000
 #: ... and at most so many keys are (the limit rises with the table), which bounds the broadcast list of them.
 MOST_HOT_KEYS = 10_000
+#: Rows without a key are dealt to so many salts.
+NULL_SALTS = 4096
 #: A side of at most so many rows, by construction, is broadcast.
 SMALL_ROWS = 1 << 16
 
@@ -67,9 +70,9 @@ def skewed_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "i
 
     One counting pass (partial aggregates) finds the keys with more than
     ``hot_rows`` rows (``HOT_ROWS`` by default); their rows are dealt to numbered salts and their
-    ``small`` rows copied to each.  ``big`` should be a table scan with
-    projections: the salts follow its row order, so that copies of one row
-    are split as well.
+    ``small`` rows copied to each.  Rows without a key match nothing and are
+    spread.  ``big`` should be a table scan with projections: the salts follow
+    its row order, so that copies of one row are split as well.
     """
     counts = _written(big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "key-counts")
     total = counts.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
@@ -77,7 +80,8 @@ def skewed_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "i
     hot = counts.where(F.col("_rows") > limit).select(*keys, F.ceil(F.col("_rows") / limit).cast("int").alias("_salts"))
     hot = F.broadcast(hot)  # at most MOST_HOT_KEYS rows
     salts = F.coalesce("_salts", F.lit(1))
-    dealt = big.join(hot, keys, "left").withColumn("_salt", F.pmod(F.monotonically_increasing_id(), salts).cast("int")).drop("_salts")
+    spread = F.when(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]), F.lit(NULL_SALTS)).otherwise(salts)
+    dealt = big.join(hot, keys, "left").withColumn("_salt", F.pmod(F.monotonically_increasing_id(), spread).cast("int")).drop("_salts")
     copied = small.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
     return dealt.join(copied, [*keys, "_salt"], how).drop("_salt")
 
