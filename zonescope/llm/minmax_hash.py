@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonescope.llm.blocks import block_pairs
-from zonescope.llm.common import Memo, arrow_map, byte_texts, id_and_text, ship, stored
+from zonescope.llm.common import Memo, arrow_map, byte_texts, discard, id_and_text, ship, stored
 from zonescope.llm.components import components
 
 PERMUTATIONS = 80
@@ -196,22 +196,28 @@ def near_duplicates(df: DataFrame, width: int = 5, similarity: tuple[int, int] =
     """One row per input row: doc_id, n_shingles, component_id (smallest id reachable by links) and kept (doc_id = component_id)."""
     ship(df.sparkSession)
     docs = id_and_text(df, id_col, text_col)
-    signed = stored(signatures(docs, width), "near-signatures")
+    cut = stored(signatures(docs, width), "near-signatures")
+    signed = stored(cut.drop("bands"), "near-sizes")
     usable = signed.where("doc_id is not null and set_key is not null")
     first = stored(usable.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "near-classes")
     copies = usable.select("doc_id", "set_key").join(first, "set_key").where("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    reps = usable.join(first.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
+    reps = cut.join(first.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
     banded = stored(reps.select("doc_id", F.explode("bands").alias("band")), "near-bands")
+    discard(cut)
     leaders = stored(banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last")).where("a != last").select("band", "a"), "near-leaders")
     shared = stored(banded.join(leaders, "band"), "near-shared")
+    discard(banded)
+    discard(leaders)
     sizes = usable.select("doc_id", "n_shingles").distinct()
-    near = stored(shared.where("doc_id != a").select("a", F.col("doc_id").alias("b")).distinct(), "near-pairs")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    packed = stored(_packed(docs).join(wanted, "doc_id", "left_semi"), "near-texts")
+    near = shared.where("doc_id != a").select("a", F.col("doc_id").alias("b")).distinct()
     above, below = similarity
     pairs = near.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-    pairs = pairs.where(below * F.least("na", "nb") >= above * F.greatest("na", "nb")).select("a", "b")
+    pairs = stored(pairs.where(below * F.least("na", "nb") >= above * F.greatest("na", "nb")).select("a", "b"), "near-pairs")
+    named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    packed = stored(_packed(docs).join(named, "doc_id", "left_semi"), "near-texts")
     links = stored(confirmed(pairs, packed, width, similarity).unionByName(copies).distinct(), "near-links")
+    for done in (pairs, packed, first):
+        discard(done)
     comps = stored(components(links), "near-components")
     # Bands whose members beside the smallest (its comparisons are done) still lie in two components.
     others = shared.where("doc_id != a").select("band", "doc_id").join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
@@ -221,12 +227,19 @@ def near_duplicates(df: DataFrame, width: int = 5, similarity: tuple[int, int] =
         # Documents that such bands tie together are one group, each document in it once.
         ties = stored(others.join(open_, "band").select("a", F.col("doc_id").alias("b"), "component"), "near-ties")
         groups = components(ties).withColumnsRenamed({"node": "doc_id", "component": "group"})
-        placed = ties.select(F.col("b").alias("doc_id"), "component").distinct().join(groups, "doc_id")
-        rest = placed.join(_full_sets(packed.join(placed.select("doc_id"), "doc_id", "left_semi"), width), "doc_id")
-        units = block_pairs(stored(rest, "near-rest"), "group", "doc_id", BLOCK)
+        placed = stored(ties.select(F.col("b").alias("doc_id"), "component").distinct().join(groups, "doc_id"), "near-placed")
+        wanted = placed.select("doc_id").distinct()
+        rest = stored(placed.join(_full_sets(_packed(docs).join(wanted, "doc_id", "left_semi"), width), "doc_id"), "near-rest")
+        units = block_pairs(rest, "group", "doc_id", BLOCK)
         extra = stored(units.groupBy("group", "_i", "_j").applyInPandas(_linked(similarity), "a long, b long").distinct(), "near-extra")
+        for done in (ties, placed, rest):
+            discard(done)
         if not extra.isEmpty():
-            comps = stored(components(links.unionByName(extra)), "near-components")
+            before, comps = comps, stored(components(links.unionByName(extra)), "near-components")
+            discard(before)
+        discard(extra)
+    for done in (shared, open_, links):
+        discard(done)
     out = signed.select("doc_id", "n_shingles").join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     out = out.withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
