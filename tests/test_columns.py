@@ -84,3 +84,18 @@ def test_normalize_column_name(name, expected):
 def test_normalize_collision_raises():
     with pytest.raises(ValueError):
         C.normalize_column_names(["Code Commune", "code-commune"])
+
+
+def test_rounding_away_from_ties_needs_no_decimal_and_gives_the_same(spark):
+    from pyspark.sql import functions as F
+
+    from zonescope.functions.columns import round_half_up
+
+    r = F.rand(5)
+    values = F.array(r * 100000, r, (F.rand(6) - 0.5) * 1e10, (F.floor(r * 1000000) + 0.5) / 1000000, -(F.floor(r * 100000) + 0.5) / 1000,
+                     F.rand(9) * 1e17, F.lit(float("nan")), F.lit(float("inf")), F.lit(-0.0), F.lit(None).cast("double"))
+    rows = spark.range(2000).select(F.explode(values).alias("x"))
+    for digits in (3, 6):
+        wide = F.round(F.col("x").try_cast(f"decimal(28,{digits + 4})"), digits).cast("double")
+        assert rows.where(~round_half_up("x", digits).eqNullSafe(wide)).count() == 0
+    assert "CASE WHEN" in str(round_half_up(F.col("x"), 3)._jc)

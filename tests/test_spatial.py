@@ -158,3 +158,18 @@ def test_nearest_with_few_sites(spark):
     assert [(r.site_id, r["rank"], r.ring) for r in two] == [("a", 1, 0), ("b", 2, 10)]
     none = spatial.nearest_sites(frame, spark.createDataFrame([], schema), 2).collect()
     assert [(r.id, r.site_id, r["rank"]) for r in none] == [(1, None, None)]
+
+
+def test_candidates_per_point_do_not_grow_with_the_sites(spark):
+    """Crowded sites get smaller shared cells; the nearest sites and rings stay those of all pairs."""
+    rnd = random.Random(8)
+    spots = [(i, round(rnd.uniform(2.0, 2.2), 6), round(rnd.uniform(48.0, 48.2), 6)) for i in range(2000)]
+    sites = [(f"s{i}", round(rnd.uniform(2.0, 2.2), 6), round(rnd.uniform(48.0, 48.2), 6)) for i in range(60)]
+    points, places = spark.createDataFrame(spots, POINTS), spark.createDataFrame(sites, "site_id string, longitude double, latitude double")
+    assert spatial.wanted_halvings(spatial._sites(places, "site_id", "longitude", "latitude"), 0.1) > 0
+    got = {(r.id, r["rank"]): (r.site_id, r.ring) for r in spatial.nearest_sites(points, places, 2).collect()}
+    row, col = (lambda lat: math.floor((lat + 90.0) / 0.1)), (lambda lon: math.floor((lon + 180.0) / 0.1))
+    for i, x, y in spots:
+        order = sorted((metres((x, y), (u, v)), s, u, v) for s, u, v in sites)[:2]
+        assert [got[i, n + 1] for n in range(2)] == [(s, max(abs(row(v) - row(y)), abs(col(u) - col(x)))) for _, s, u, v in order]
+    assert len(got) == 4000
