@@ -184,3 +184,14 @@ def test_yields(spark):
     assert next_year.gross_year_eur == 730.0  # January of the year before has left the window
     assert got["none", d("2024-01-01")].price_m2 is None and got["late", d("2024-01-01")].net_yield is None
     assert got["late", d("2024-01-01")].payback_years is None
+
+
+def test_tasks_of_the_running_sums_grow_with_the_stays(spark):
+    from pyspark.sql import functions as F
+
+    from zonescope.operators.stays import spread_listings
+
+    stays = spark.range(1000)
+    changes = spark.range(50).select(F.col("id").alias("listing_id"))
+    assert spread_listings(changes, stays, rows_per_task=10).rdd.getNumPartitions() >= 100
+    assert spread_listings(changes, stays.limit(0)).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
