@@ -67,6 +67,45 @@ def test_polygons_equal_brute_force(spark):
         assert {(r.id, r.zone_id) for r in rows} == want and len(rows) == len(want)
 
 
+def _crowded(rnd, zones=9, points=3000):
+    outlines = []
+    for z in range(zones):
+        turns = sorted(rnd.uniform(0, 2 * math.pi) for _ in range(rnd.choice([3, 6, 30])))
+        outer = [(round(0.2 + math.cos(t) * rnd.uniform(0.02, 0.2), 4), round(0.1 + math.sin(t) * rnd.uniform(0.02, 0.2), 4)) for t in turns]
+        outlines.append((f"z{z}", [(0, 0, outer)] + ([(0, 1, [(0.19, 0.09), (0.21, 0.09), (0.2, 0.12)])] if z % 2 else [])))
+    places = [(round(rnd.uniform(-0.05, 0.45), 3), round(rnd.uniform(-0.1, 0.3), 3)) for _ in range(points)]
+    places += [v for _, rings in outlines for _, _, ring in rings for v in ring] + [(0.201, 0.103)] * 300
+    rows = [(i, rnd.choice(["z0", "z1", "z5", None]), x, y) for i, (x, y) in enumerate(places)] + [(90_000, "z1", None, 0.1)]
+    return outlines, rows
+
+
+def test_crowded_border_cells_are_cut_and_hold_the_same_points(spark):
+    zones, rows = _crowded(random.Random(11))
+    want = {(i, z) for i, _, x, y in rows if x is not None for z, rings in zones if inside((x, y), [r[2] for r in rings])}
+    points = spark.createDataFrame(rows, "id long, own string, longitude double, latitude double")
+    spots = spatial._in_units(points, "longitude", "latitude")
+    cover, sides = spatial.fitted_cover(spots, spatial.polygon_edges(vertices(spark, zones)), "zone_id", 50_000, 8)
+    near = spatial._at(spots, sides).join(cover, spatial.CELL_KEYS)
+    got = near.where(spatial._holds(F.col("_x"), F.col("_y"))).select("id", "zone_id").collect()
+    assert {(r.id, r.zone_id) for r in got} == want and len(got) == len(want)
+    met = near.where("not inner").count()
+    assert len(sides) > 2 and met < spatial._at(spots, [50_000]).join(spatial.polygon_cover(spatial.polygon_edges(vertices(spark, zones))), ["_row", "_col"]).count() / 3
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_polygon_counts_equal_the_pairs_without_making_them(spark, monkeypatch, small):
+    zones, rows = _crowded(random.Random(12))
+    held = [(own, z) for _, own, x, y in rows if x is not None for z, rings in zones if inside((x, y), [r[2] for r in rings])]
+    want = {z: (sum(h[1] == z for h in held), sum(h == (z, z) for h in held)) for z in {h[1] for h in held}}
+    if small:
+        for name, value in (("SPOTS_PER_GROUP", 20), ("EDGES_PER_GROUP", 4), ("PAIRS_AT_ONCE", 100)):
+            monkeypatch.setattr(spatial, name, value)
+    points = spark.createDataFrame(rows, "id long, own string, longitude double, latitude double")
+    monkeypatch.setattr(spatial, "points_in_polygons", None)
+    got = spatial.polygon_counts(points, vertices(spark, zones), "own", most=30 if small else 1 << 14, hot_rows=40).collect()
+    assert {r.zone_id: (r.inside, r.inside_own) for r in got} == want and len(got) == len(want)
+
+
 def test_inner_cells_carry_no_edges(spark):
     cover = spatial.polygon_cover(spatial.polygon_edges(vertices(spark, [("a", [(0, 0, SQUARE), (0, 1, HOLE)])])), cell=50_000)
     kinds = {(r.inner, r.n > 0): r["count"] for r in cover.select("inner", F.size("edges").alias("n")).groupBy("inner", "n").count().collect()}
