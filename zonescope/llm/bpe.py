@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from zonescope.llm.common import Memo, arrow_map, broadcast_bytes, texts
+from zonescope.llm.common import Memo, arrow_map, broadcast_bytes, texts, worker_table
 
 #: A space that is followed by white space or ends the text: such a text is cut by the pattern as a whole.
 _LOOSE_SPACE = re.compile(r" (?:\s|\Z)")
@@ -145,15 +145,8 @@ def _schema_with(df: DataFrame, **columns: T.DataType) -> T.StructType:
     return T.StructType([f for f in df.schema.fields if f.name not in columns] + [T.StructField(k, v) for k, v in columns.items()])
 
 
-_LOADED: dict = {}
-
-
 def _encoder(vocabulary, pattern: str) -> Encoder:
-    key = (hash(vocabulary.value), pattern)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Encoder(read_ranks(vocabulary.value), pattern)
-    return _LOADED[key]
+    return worker_table(("bpe", hash(vocabulary.value), pattern), lambda: Encoder(read_ranks(vocabulary.value), pattern))
 
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:

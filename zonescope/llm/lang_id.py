@@ -14,6 +14,7 @@ set makes every text ``und``; an empty table gives an empty table.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -23,7 +24,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonescope.llm.common import MEMO_ENTRIES, Memo, arrow_map, broadcast_bytes, texts
+from zonescope.llm.common import MEMO_ENTRIES, Memo, arrow_map, broadcast_bytes, texts, worker_table
 
 LETTERS = re.compile(r"[^\W\d_]+")
 HAS_LETTER = regex.compile(r"\p{L}")
@@ -46,15 +47,8 @@ def _words(text: str) -> list[str]:
     return words
 
 
-_LOADED: dict = {}
-
-
 def _pieces(vocabulary) -> sentencepiece.SentencePieceProcessor:
-    key = hash(vocabulary.value)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = sentencepiece.SentencePieceProcessor(model_proto=vocabulary.value)
-    return _LOADED[key]
+    return worker_table(("pieces", hash(vocabulary.value)), lambda: sentencepiece.SentencePieceProcessor(model_proto=vocabulary.value))
 
 
 def piece_counts(df: DataFrame, vocabulary, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
@@ -223,13 +217,10 @@ def fit(df: DataFrame, model_path: str, lang_col: str = "lang", text_col: str =
 def predict(df: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score per row; only the text is an input of the prediction."""
 
+    name = uuid.uuid4().hex
+
     def make():
-        langs, names, matrix = model.value
-        key = ("model", id(model.value))
-        if key not in _LOADED:
-            _LOADED.clear()
-            _LOADED[key] = Model(langs, names, matrix)
-        scorer = _LOADED[key]
+        scorer = worker_table(("language model", name), lambda: Model(*model.value))
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             out = scorer.score(texts(batch, text_col))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonescope.llm.blocks import block_pairs
-from zonescope.llm.common import Memo, arrow_map, byte_texts, discard, id_and_text, ship, stored
+from zonescope.llm.common import Memo, arrow_map, byte_texts, discard, id_and_text, ship, stored, worker_table
 from zonescope.llm.components import components
 
 PERMUTATIONS = 80
@@ -49,11 +49,9 @@ _seeds = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**63, size=
 FACTORS, OFFSETS = _seeds[0] * np.uint64(2) + np.uint64(1), _seeds[1]
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
-_word_hash = Memo(xxhash.xxh3_64_intdigest)
-
-
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_word_hash.__getitem__, words), np.uint64, len(words))
+    known = worker_table(("word hashes",), lambda: Memo(xxhash.xxh3_64_intdigest))
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
 def shingle_hashes(hashes: np.ndarray, width: int) -> np.ndarray:

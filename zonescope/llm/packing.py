@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonescope.llm.bpe import _LOOSE_SPACE
-from zonescope.llm.common import Memo, arrow_map, broadcast_bytes, discard, id_and_text, ship, stored, texts
+from zonescope.llm.common import Memo, arrow_map, broadcast_bytes, discard, id_and_text, ship, stored, texts, worker_table
 
 CAPACITY = 1024
 #: A bin filled to this share is final at once.
@@ -69,9 +69,6 @@ def best_fit(sizes: list[int], capacity: int) -> tuple[list[int], list[int], lis
     return bins, offsets, fills
 
 
-_LOADED: dict = {}
-
-
 class _Tokens:
     """Texts to packed ids by the rank form of a byte-level vocabulary; cut at added tokens, then at clean spaces, cut parts remembered."""
 
@@ -131,10 +128,7 @@ def pieces(
 
     def make():
         key = (hash(vocabulary.value), pattern, tuple(added.items()))
-        if key not in _LOADED:
-            _LOADED.clear()
-            _LOADED[key] = _Tokens(vocabulary.value, pattern, added)
-        tokens = _LOADED[key]
+        tokens = worker_table(("packing", *key), lambda: _Tokens(vocabulary.value, pattern, added))
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             docs, numbers, starts, lengths, ids = [], [], [], [], []
