@@ -1,12 +1,15 @@
 """What workers keep between tasks, and the work of a training step."""
 
+import math
 import os
 import uuid
+from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 
-from zonescope.llm import lang_id, maxent
+from zonescope.llm import bpe, lang_id, maxent, minmax_hash
 from zonescope.llm.common import arrow_map, worker_table
 
 
@@ -28,8 +31,6 @@ def test_another_table_takes_the_place_of_the_first():
 
 
 def test_two_models_of_one_process_do_not_mix(spark, tmp_path):
-    import public_tokenizers
-
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = spark.createDataFrame([(i, "the house and the garden", "en") for i in range(4)], "doc_id long, text string, lang string")
     for lang in ("en", "xx", "en"):
@@ -45,3 +46,18 @@ def test_a_training_step_sorts_its_features_by_radix(monkeypatch):
     assert tokens == [b"one", b"two", b"one", maxent.END, maxent.END, b"two", maxent.END] and starts == [0, 4, 5]
     trainer.learn(maxent.batch_codes(tokens, maxent.coder({})), np.array(starts))
     assert seen == [2, 2, 2] and maxent.FEATURES <= 1 << 16
+
+
+def test_language_id_works_in_small_slices(spark, monkeypatch):
+    docs = spark.range(0, 4000, 1, 1).selectExpr("id as doc_id", "repeat('some words ', 200) as text")
+    rows = arrow_map(docs, "n long", lambda: lambda b: pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]), lang_id.SLICE_BYTES).collect()
+    assert len(rows) >= 4 and max(r["n"] for r in rows) <= lang_id.SLICE_BYTES * 1.2
+    names = ["a", "b", "ab", lang_id.WORD_START + "a"]
+    words = {a + b for a in "abc" for b in ("", "ab", "cab" * 8, "b" * 40)}
+    whole = lang_id.Model(["x", "y"], names, np.full((4, 2), 0.25))
+    whole.learn(words)
+    monkeypatch.setattr(lang_id, "SCORED", 3)
+    parts, sizes, forward = lang_id.Model(["x", "y"], names, np.full((4, 2), 0.25)), [], lang_id.Model.forward
+    monkeypatch.setattr(lang_id.Model, "forward", lambda self, some: sizes.append(len(some)) or forward(self, some))
+    parts.learn(words)
+    assert max(sizes) == 3 and all((whole.logs[whole.rows[w]] == parts.logs[parts.rows[w]]).all() for w in words)

@@ -38,6 +38,9 @@ MAX_LANGUAGES = 500
 #: Words (about) a posterior is tempered to, so that the score is not always 0 or 1.
 TEMPER_WORDS = 5
 WORD_START = "▁"
+#: Text that is cut into words at once, and words scored at once: both bound what a worker holds beside its memo.
+SLICE_BYTES = 2 << 20
+SCORED = 4096
 
 
 def _words(text: str) -> list[str]:
@@ -145,7 +148,7 @@ class Model:
             self.rows, self.logs, new = {}, self.logs[:0], list(words)
         new.sort(key=len, reverse=True)
         self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
-        self.logs = np.concatenate([self.logs, *(self.forward(new[i : i + 20_000]) for i in range(0, len(new), 20_000))])
+        self.logs = np.concatenate([self.logs, *(self.forward(new[i : i + SCORED]) for i in range(0, len(new), SCORED))])
 
     def forward(self, words: list[str]) -> np.ndarray:
         """ln P per word and language, longest words first: sums over all segmentations; the start mark is the first character."""
@@ -232,4 +235,4 @@ def predict(df: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
     from pyspark.sql import types as T
 
     schema = T.StructType([f for f in df.schema.fields if f.name not in ("lang_pred", "score")] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return arrow_map(df, schema, make)
+    return arrow_map(df, schema, make, SLICE_BYTES)
