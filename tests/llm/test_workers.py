@@ -61,3 +61,10 @@ def test_language_id_works_in_small_slices(spark, monkeypatch):
     monkeypatch.setattr(lang_id.Model, "forward", lambda self, some: sizes.append(len(some)) or forward(self, some))
     parts.learn(words)
     assert max(sizes) == 3 and all((whole.logs[whole.rows[w]] == parts.logs[parts.rows[w]]).all() for w in words)
+
+
+def test_shared_bands_are_dealt_once(spark):
+    rows = [(1, 7), (2, 7), (3, 7), (4, 8), (5, 9), (5, 9), (9, 10), (6, 10), (None, 11)]
+    out = minmax_hash.shared_bands(spark.createDataFrame(rows, "doc_id long, band long"))
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted(out.select("band", "doc_id", "a").collect()) == [(7, 1, 1), (7, 2, 1), (7, 3, 1), (10, 6, 6), (10, 9, 6)]

@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonescope.llm.blocks import block_pairs
@@ -190,6 +190,13 @@ def _linked(similarity: tuple[int, int]):
     return unit
 
 
+def shared_bands(banded: DataFrame) -> DataFrame:
+    """band, doc_id, a (the band's smallest doc_id) of the bands with several documents: rows are dealt by band once."""
+    members = Window.partitionBy("band")
+    led = banded.select("band", "doc_id", F.min("doc_id").over(members).alias("a"), F.max("doc_id").over(members).alias("last"))
+    return led.where("a != last").drop("last")
+
+
 def near_duplicates(df: DataFrame, width: int = 5, similarity: tuple[int, int] = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest id reachable by links) and kept (doc_id = component_id)."""
     ship(df.sparkSession)
@@ -200,12 +207,8 @@ def near_duplicates(df: DataFrame, width: int = 5, similarity: tuple[int, int] =
     first = stored(usable.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "near-classes")
     copies = usable.select("doc_id", "set_key").join(first, "set_key").where("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     reps = cut.join(first.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
-    banded = stored(reps.select("doc_id", F.explode("bands").alias("band")), "near-bands")
+    shared = stored(shared_bands(reps.select("doc_id", F.explode("bands").alias("band"))), "near-shared")
     discard(cut)
-    leaders = stored(banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last")).where("a != last").select("band", "a"), "near-leaders")
-    shared = stored(banded.join(leaders, "band"), "near-shared")
-    discard(banded)
-    discard(leaders)
     sizes = usable.select("doc_id", "n_shingles").distinct()
     near = shared.where("doc_id != a").select("a", F.col("doc_id").alias("b")).distinct()
     above, below = similarity
