@@ -63,6 +63,20 @@ def test_language_id_works_in_small_slices(spark, monkeypatch):
     assert max(sizes) == 3 and all((whole.logs[whole.rows[w]] == parts.logs[parts.rows[w]]).all() for w in words)
 
 
+def test_parts_not_seen_yet_are_cut_together(monkeypatch):
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as handle:
+        ranks = bpe.read_ranks(handle.read())
+    one, each = bpe.Encoder(ranks, public_tokenizers.PATTERN), bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    calls, find = [], one.find
+    one.find = lambda text: calls.append(text) or find(text)
+    text = "it's " + " ".join(f"wörd{i},x\t{i % 7}'re\n!?{chr(97 + i % 26) * i}\n" + "y" for i in range(60))
+    assert one.encode(text) == each._cut(text) and len(calls) == 2
+    assert one.encode(text + " zz") == each._cut(text + " zz") and calls[-2:] == [" zz", "it's"]
+    monkeypatch.setattr(bpe, "MEMO_ENTRIES", 40)
+    assert one.encode(text + " zzz") == each._cut(text + " zzz") and one.encode(text) == each._cut(text)
+    assert not one.queue.buckets and not any(one.queue.low)
+
+
 def test_shared_bands_are_dealt_once(spark):
     rows = [(1, 7), (2, 7), (3, 7), (4, 8), (5, 9), (5, 9), (9, 10), (6, 10), (None, 11)]
     out = minmax_hash.shared_bands(spark.createDataFrame(rows, "doc_id long, band long"))

@@ -2,7 +2,7 @@
 
 A text is cut into pre-tokens by the vocabulary's pattern and each pre-token is
 merged on its own.  The merge queue has one bucket per merge rank holding
-positions of a linked list of tokens; three bitmap levels find the lowest
+positions of a linked list of tokens; two bitmap levels find the lowest
 non-empty rank by find-first-set, and an entry whose pair has changed since it
 was queued is skipped when it comes up.  A pre-token of n bytes costs
 O(n log n), so one of a megabyte is no problem.
@@ -15,8 +15,9 @@ text pass through, and one named like an output is replaced.
 from __future__ import annotations
 
 import base64
-import heapq
 import re
+import struct
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from zonescope.llm.common import Memo, arrow_map, broadcast_bytes, texts, worker_table
+from zonescope.llm.common import MEMO_ENTRIES, Memo, arrow_map, broadcast_bytes, texts, worker_table
 
 #: A space that is followed by white space or ends the text: such a text is cut by the pattern as a whole.
 _LOOSE_SPACE = re.compile(r" (?:\s|\Z)")
@@ -41,41 +42,18 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Positions by rank; ``first`` finds the lowest rank that has any."""
+    """Positions by rank: a bucket per rank, and two bitmap levels over the ranks that have one."""
 
     def __init__(self, ranks: int):
-        self.low = [0] * ((ranks >> 6) + 1)
-        self.mid = [0] * ((ranks >> 12) + 1)
+        self.low = [0] * ((ranks >> 8) + 1)
         self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
-            self.low[rank >> 6] |= 1 << (rank & 63)
-            self.mid[rank >> 12] |= 1 << (rank >> 6 & 63)
-            self.top |= 1 << (rank >> 12)
-        else:
-            heapq.heappush(bucket, position)
-
-    def pop(self) -> tuple[int, int]:
-        """The lowest rank and its leftmost position."""
-        a = (self.top & -self.top).bit_length() - 1
-        word = self.mid[a]
-        b = a << 6 | (word & -word).bit_length() - 1
-        word = self.low[b]
-        rank = b << 6 | (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[b] &= ~(1 << (rank & 63))
-            if not self.low[b]:
-                self.mid[a] &= ~(1 << (b & 63))
-                if not self.mid[a]:
-                    self.top &= ~(1 << a)
-        return rank, position
+    def clear(self) -> None:
+        """Drop what is left: stale entries only, once no pair can be merged."""
+        for rank in self.buckets:
+            self.low[rank >> 8] = 0
+        self.buckets.clear()
 
 
 class Encoder:
@@ -86,54 +64,114 @@ class Encoder:
         self.longest = max(map(len, ranks), default=0)
         self.find = regex.compile(pattern).findall
         self.queue = RankQueue(max(ranks.values(), default=0) + 1)
+        self.bytes = [ranks.get(bytes([x])) for x in range(256)]
+        self.twos = [ranks.get(bytes([x, y]), -1) for x in range(256) for y in range(256)]
         self.pieces = Memo(self._piece)
-        self.spaced = Memo(lambda chunk: self._cut(" " + chunk))
+        self.spaced: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
-        ranks, queue, longest, n = self.ranks, self.queue, self.longest, len(piece)
+        """Pushes and pops are written out here: a call for each would cost more than its work."""
+        get, longest, n = self.ranks.get, self.longest, len(piece)
+        low, top, buckets = self.queue.low, 0, self.queue.buckets
+        twos, single = self.twos, self.bytes
+        ids = [single[c] for c in piece]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair = [-1] * n
-
-        def offer(at: int, end: int) -> None:
-            rank = ranks.get(piece[at:end], -1) if end - at <= longest else -1
-            pair[at] = rank
+        pair = [twos[x << 8 | y] for x, y in zip(piece, piece[1:], strict=False)]
+        pair.append(-1)
+        live = 0  # pairs that can be merged
+        for i, rank in enumerate(pair):
             if rank >= 0:
-                queue.push(rank, at)
-
-        for i in range(n - 1):
-            offer(i, i + 2)
-        while queue.top:
-            rank, i = queue.pop()
+                live += 1
+                if rank in buckets:
+                    buckets[rank].append(i)  # in order already
+                else:
+                    buckets[rank] = [i]
+                    a = rank >> 8
+                    low[a] |= 1 << (rank & 255)
+                    top |= 1 << a
+        while live:
+            a = (top & -top).bit_length() - 1
+            word = low[a]
+            rank = a << 8 | (word & -word).bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                low[a] = word = word & word - 1
+                if not word:
+                    top &= top - 1
             if pair[i] != rank:
                 continue  # stale: the pair here has changed
+            ids[i] = rank
             j = after[i]
             k = after[i] = after[j]
+            live -= 1 if pair[j] < 0 else 2
             pair[j] = pair[i] = -1
             if k < n:
                 before[k] = i
-                offer(i, after[k])
-            if before[i] >= 0:
-                offer(before[i], k)
+                end = after[k]
+                rank = pair[i] = get(piece[i:end], -1) if end - i <= longest else -1
+                if rank >= 0:
+                    live += 1
+                    if rank in buckets:
+                        heappush(buckets[rank], i)
+                    else:
+                        buckets[rank] = [i]
+                        a = rank >> 8
+                        low[a] |= 1 << (rank & 255)
+                        top |= 1 << a
+            h = before[i]
+            if h >= 0:
+                if pair[h] >= 0:
+                    live -= 1
+                rank = pair[h] = get(piece[h:k], -1) if k - h <= longest else -1
+                if rank >= 0:
+                    live += 1
+                    if rank in buckets:
+                        heappush(buckets[rank], h)
+                    else:
+                        buckets[rank] = [h]
+                        a = rank >> 8
+                        low[a] |= 1 << (rank & 255)
+                        top |= 1 << a
+        if buckets:
+            self.queue.clear()
         out, i = [], 0
         while i < n:
-            out.append(ranks[piece[i : after[i]]])
+            out.append(ids[i])
             i = after[i]
         return out
 
     def _piece(self, piece: str) -> bytes:
         data = piece.encode()
         whole = self.ranks.get(data)
-        return np.array([whole] if whole is not None else self.merge(data), "<u4").tobytes()
+        ids = [whole] if whole is not None else self.merge(data)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _cut(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.find(text)))
 
     def encode(self, text: str) -> bytes:
-        """No pre-token goes on past a space that a non-space follows, so such texts are cut at spaces and cut parts are remembered."""
+        """No pre-token goes on past a space that a non-space follows, so such texts are cut at spaces and cut parts are remembered.
+
+        The parts not seen yet are cut by the pattern together: a pre-token that starts with a space starts a part.
+        """
         if _LOOSE_SPACE.search(text):
             return self._cut(text)
         head, *rest = text.split(" ")
-        return self._cut(head) + b"".join(map(self.spaced.__getitem__, rest))
+        known, distinct = self.spaced, dict.fromkeys(rest)
+        new = [part for part in distinct if part not in known]
+        if len(known) + len(new) > MEMO_ENTRIES:
+            known.clear()
+            new = list(distinct)
+        if new:
+            cut = self.find(" " + " ".join(new))
+            starts = [i for i, piece in enumerate(cut) if piece[:1] == " "]
+            for part, a, b in zip(new, starts, [*starts[1:], len(cut)], strict=True):
+                known[part] = b"".join(map(self.pieces.__getitem__, cut[a:b]))
+        return self._cut(head) + b"".join(map(known.__getitem__, rest))
 
 
 def _with(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
