@@ -77,6 +77,43 @@ def test_parts_not_seen_yet_are_cut_together(monkeypatch):
     assert not one.queue.buckets and not any(one.queue.low)
 
 
+def test_scoring_looks_up_a_token_of_a_slice_once(monkeypatch):
+    looked = Counter()
+
+    class Codes(dict):
+        def __getitem__(self, token):
+            looked[token] += 1
+            return len(token)
+
+    class Held:
+        def __init__(self, value):
+            self.value = value
+
+    class Docs:
+        def mapInArrow(self, run, schema):
+            return run
+
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 2)
+
+    monkeypatch.setattr(maxent, "coder", lambda singles: Codes())
+    monkeypatch.setattr(maxent, "TaskContext", Task)
+    texts = ["A b a", None, "c c b zz", "", "a zz zz"]
+    weights, bias = np.zeros((maxent.FEATURES, maxent.CLASSES), np.float32), np.zeros(maxent.CLASSES, np.float32)
+    head = {b"a": 0.0, b"b": 1.5, maxent.END: 2.0}
+    run = maxent._score_rows(Docs(), Held((weights, bias, {}, np.zeros(maxent.CLASSES))), Held(head))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(texts), pa.array([False] * 5)], names=["doc_id", "text", "held_out"])
+    rows = pa.Table.from_batches(run(iter([batch]))).to_pylist()
+    assert set(looked.values()) == {1}
+    for i, (row, text) in enumerate(zip(rows, texts, strict=True)):
+        words = Counter([*(text or "").lower().encode().split(), maxent.END])
+        assert (row["row"], row["doc_id"], row["n_tokens"]) == ((2 << 40) + i, i, words.total())
+        assert row["head_known"] == sum(n for w, n in words.items() if w in head)
+        assert math.isclose(row["head_sum"], sum(n * head[w] for w, n in words.items() if w in head))
+        assert {r["word"]: r["n"] for r in row["rest"]} == {w: n for w, n in words.items() if w not in head}
+
+
 def test_shared_bands_are_dealt_once(spark):
     rows = [(1, 7), (2, 7), (3, 7), (4, 8), (5, 9), (5, 9), (9, 10), (6, 10), (None, 11)]
     out = minmax_hash.shared_bands(spark.createDataFrame(rows, "doc_id long, band long"))
