@@ -10,7 +10,7 @@ import public_tokenizers
 import pyarrow as pa
 
 from zonescope.llm import bpe, lang_id, maxent, minmax_hash
-from zonescope.llm.common import arrow_map, worker_table
+from zonescope.llm.common import Memo, arrow_map, worker_table
 
 
 def test_a_worker_keeps_one_table_over_its_tasks(spark):
@@ -24,6 +24,31 @@ def test_a_worker_keeps_one_table_over_its_tasks(spark):
     assert len({r["pid"] for r in rows}) == len(rows)  # 64 tasks, one table per worker
 
 
+def test_a_task_leaves_no_memos_to_the_next(spark):
+    name = uuid.uuid4().hex
+
+    def make():
+        memo, looked = worker_table(("memo", name), lambda: Memo(str)), []
+
+        def step(batch):
+            looked.append(len(memo))
+            for i in batch.column(0).to_pylist():
+                memo[i]
+            return pa.RecordBatch.from_arrays([pa.array([os.getpid()]), pa.array([looked[0]])], names=["pid", "n"])
+
+        return step
+
+    rows = arrow_map(spark.range(0, 64, 1, 64), "pid long, n long", make).collect()
+    assert len({r["pid"] for r in rows}) < len(rows) == 64 and {r["n"] for r in rows} == {0}
+
+
+def test_language_models_forget_words_but_keep_tables():
+    model = lang_id.Model(["x", "y"], ["a", lang_id.WORD_START], np.full((2, 2), 0.5))
+    first = model.score(["a aa", "aaa"])
+    model.forget()
+    assert not model.rows and not len(model.logs) and model.score(["a aa", "aaa"]) == first
+
+
 def test_another_table_takes_the_place_of_the_first():
     first = worker_table(("a",), lambda: [1])
     assert worker_table(("a",), lambda: [2]) is first
@@ -77,6 +102,36 @@ def test_parts_not_seen_yet_are_cut_together(monkeypatch):
     assert not one.queue.buckets and not any(one.queue.low)
 
 
+def test_pieces_of_several_texts_are_merged_together(monkeypatch):
+    """Ranks at random: a merge may bring up a pair of a lower rank, which goes first in its own piece."""
+    rnd = np.random.default_rng(5)
+    tokens = [bytes([x]) for x in range(256)]
+    more = list({bytes(rnd.choice(list(b"abc"), n)) for n in (2, 2, 2, 3, 3, 3, 3, 4, 4, 5) for _ in range(6)})
+    ranks = {t: i for i, t in enumerate([*tokens, *(more[i] for i in rnd.permutation(len(more)))])}
+    encoder = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+
+    def plain(piece):
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        while found := [(ranks[x + y], i) for i, (x, y) in enumerate(zip(parts, parts[1:], strict=False)) if x + y in ranks]:
+            i = min(found)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return [ranks[p] for p in parts]
+
+    pieces = [bytes(rnd.choice(list(b"abc"), rnd.integers(1, 40))) for _ in range(400)] + [b"", b"\0", b"a\0\0a"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.merge_all(pieces)] == [plain(p) for p in pieces]
+    assert not encoder.queue.buckets and not any(encoder.queue.low)
+
+    calls, merge_all = [], encoder.merge_all
+    encoder.merge_all = lambda some: calls.append(len(some)) or merge_all(some)
+    texts = [f"x {''.join(rnd.choice(list('abc'), 12))} {i}" for i in range(50)] + ["", "a  b ", "abcabca"]
+    one = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    expected = [np.array([x for piece in one.find(t) for x in plain(piece.encode())], "<u4").tobytes() for t in texts]
+    assert encoder.encode_all(texts) == expected and max(calls) >= 50 and len(calls) < 10
+    for name, value in (("GROUP_CHARS", 30), ("MERGED_BYTES", 20), ("MEMO_ENTRIES", 5)):
+        monkeypatch.setattr(bpe, name, value)
+        assert one.encode_all(texts) == expected
+
+
 def test_scoring_looks_up_a_token_of_a_slice_once(monkeypatch):
     looked = Counter()
 
