@@ -24,7 +24,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonescope.llm.common import MEMO_ENTRIES, Memo, arrow_map, broadcast_bytes, texts, worker_table
+from zonescope.llm.common import Memo, arrow_map, broadcast_bytes, texts, worker_table
 
 LETTERS = re.compile(r"[^\W\d_]+")
 HAS_LETTER = regex.compile(r"\p{L}")
@@ -41,6 +41,8 @@ WORD_START = "▁"
 #: Text that is cut into words at once, and words scored at once: both bound what a worker holds beside its memo.
 SLICE_BYTES = 2 << 20
 SCORED = 4096
+#: Words whose probabilities or pieces are remembered within a task.
+REMEMBERED = 100_000
 
 
 def _words(text: str) -> list[str]:
@@ -59,7 +61,7 @@ def piece_counts(df: DataFrame, vocabulary, lang_col: str = "lang", text_col: st
 
     def make():
         pieces = _pieces(vocabulary)
-        cut = Memo(lambda word: tuple(pieces.encode(word)))
+        cut = Memo(lambda word: tuple(pieces.encode(word)), REMEMBERED)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             words: dict[str, Counter] = {}
@@ -79,7 +81,7 @@ def piece_counts(df: DataFrame, vocabulary, lang_col: str = "lang", text_col: st
         return step
 
     slim = df.select(df[lang_col].cast("string").alias("lang"), df[text_col].cast("string").alias("text"))
-    return arrow_map(slim, "lang string, piece int, n long", make).groupBy("lang", "piece").agg(F.sum("n").alias("n"))
+    return arrow_map(slim, "lang string, piece int, n long", make, SLICE_BYTES).groupBy("lang", "piece").agg(F.sum("n").alias("n"))
 
 
 class PieceTable:
@@ -141,11 +143,15 @@ class Model:
         self.rows: dict[str, int] = {}
         self.logs = np.zeros((0, len(langs)))
 
+    def forget(self) -> None:
+        self.rows, self.logs = {}, np.zeros((0, len(self.langs)))
+
     def learn(self, words: set[str]) -> None:
         """Score the words not seen yet, many at a time; the memo is emptied when it is full."""
         new = [w for w in words if w not in self.rows]
-        if len(self.rows) + len(new) > MEMO_ENTRIES:
-            self.rows, self.logs, new = {}, self.logs[:0], list(words)
+        if len(self.rows) + len(new) > REMEMBERED:
+            self.forget()
+            new = list(words)
         new.sort(key=len, reverse=True)
         self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
         self.logs = np.concatenate([self.logs, *(self.forward(new[i : i + SCORED]) for i in range(0, len(new), SCORED))])

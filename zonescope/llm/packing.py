@@ -80,6 +80,9 @@ class _Tokens:
         self.plain = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.spaced = Memo(lambda chunk: self._cut(" " + chunk))
 
+    def forget(self) -> None:
+        self.spaced.clear()
+
     def _cut(self, text: str) -> bytes:
         return np.array(self.plain(text), "<u4").tobytes()
 
