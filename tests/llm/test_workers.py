@@ -174,3 +174,20 @@ def test_shared_bands_are_dealt_once(spark):
     out = minmax_hash.shared_bands(spark.createDataFrame(rows, "doc_id long, band long"))
     assert out._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     assert sorted(out.select("band", "doc_id", "a").collect()) == [(7, 1, 1), (7, 2, 1), (7, 3, 1), (10, 6, 6), (10, 9, 6)]
+
+
+def test_only_wanted_texts_are_packed_for_the_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(minmax_hash, "MARKS", 1 << 15)
+    rows = [(i, f"text {i}") for i in range(3000)] + [(None, "no id"), (7, "twice"), (9, None), (2**62, "far"), (-5, "below")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    wanted = spark.createDataFrame([(i,) for i in (0, 7, 9, 2999, 2**62, -5, 10**6)], "doc_id long")
+    marks = np.frombuffer(minmax_hash._marks(wanted), np.uint8)
+    assert len(marks) == 1 << 12 and 6 <= np.unpackbits(marks).sum() <= 7
+    packed = minmax_hash._packed(docs, wanted)
+    unpack = minmax_hash.zstandard.ZstdDecompressor().decompress
+    got = sorted((r["doc_id"], unpack(r["z"]).decode()) for r in packed.collect())
+    assert got == sorted((i, t or "") for i, t in rows if i in (0, 7, 9, 2999, 2**62, -5))
+    assert minmax_hash._packed(docs, wanted.limit(0)).count() == 0
+    # All but a few texts are gone before the join deals them by id.
+    monkeypatch.setattr(type(docs), "join", lambda self, *_: self)
+    assert minmax_hash._packed(docs, wanted).count() < 30

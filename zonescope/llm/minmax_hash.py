@@ -43,6 +43,8 @@ SIMILARITY = (80, 100)
 #: Pairs whose signatures agree in a smaller share are not compared in full (over five standard errors under 0.8).
 LEAST_AGREEMENT = 0.6
 BLOCK = 512
+#: Bits of the bitmap that keeps texts out of a shuffle.
+MARKS = 1 << 26
 _ROWS = 2048
 
 _seeds = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**63, size=(2, PERMUTATIONS), dtype=np.uint64)
@@ -108,18 +110,37 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return arrow_map(docs, "doc_id long, n_shingles long, set_key binary, bands array<bigint>", lambda: step)
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """Texts compressed before they are shuffled."""
+def _marks(ids: DataFrame) -> bytes:
+    """A bitmap of ``MARKS`` bits with the bits of the ids' hashes set: its size doesn't depend on how many there are."""
+    number = ids.select((F.pmod(F.xxhash64("doc_id"), F.lit(MARKS)) + 1).alias("bit"))  # buckets count from 1
+    rows = number.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    out = bytearray(MARKS >> 3)
+    for row in rows.toLocalIterator():
+        at = (row["bucket"] - 1) * len(row["bits"])
+        out[at : at + len(row["bits"])] = row["bits"]
+    return bytes(out)
+
+
+def _packed(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of the documents in ``ids`` (distinct doc_id), compressed before they are shuffled.
+
+    A bitmap of the ids keeps most other texts out of the shuffle of the join, which alone decides.
+    """
+    marks = docs.sparkSession.sparkContext.broadcast(_marks(ids))
 
     def make():
         pack = zstandard.ZstdCompressor(level=1).compress
+        held = np.frombuffer(marks.value, np.uint8)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            bit = batch.column("bit").to_numpy()
+            batch = batch.filter(pa.array((held[bit >> 3] >> (bit & 7) & 1).astype(bool)))
             return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(list(map(pack, byte_texts(batch))), pa.binary())], names=["doc_id", "z"])
 
         return step
 
-    return arrow_map(docs, "doc_id long, z binary", make)
+    marked = docs.withColumn("bit", F.pmod(F.xxhash64("doc_id"), F.lit(MARKS)))
+    return arrow_map(marked, "doc_id long, z binary", make).join(ids, "doc_id", "left_semi")
 
 
 def confirmed(pairs: DataFrame, packed: DataFrame, width: int, similarity: tuple[int, int]) -> DataFrame:
@@ -215,7 +236,7 @@ def near_duplicates(df: DataFrame, width: int = 5, similarity: tuple[int, int] =
     pairs = near.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
     pairs = stored(pairs.where(below * F.least("na", "nb") >= above * F.greatest("na", "nb")).select("a", "b"), "near-pairs")
     named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    packed = stored(_packed(docs).join(named, "doc_id", "left_semi"), "near-texts")
+    packed = stored(_packed(docs, named), "near-texts")
     links = stored(confirmed(pairs, packed, width, similarity).unionByName(copies).distinct(), "near-links")
     for done in (pairs, packed, first):
         discard(done)
@@ -230,7 +251,7 @@ def near_duplicates(df: DataFrame, width: int = 5, similarity: tuple[int, int] =
         groups = components(ties).withColumnsRenamed({"node": "doc_id", "component": "group"})
         placed = stored(ties.select(F.col("b").alias("doc_id"), "component").distinct().join(groups, "doc_id"), "near-placed")
         wanted = placed.select("doc_id").distinct()
-        rest = stored(placed.join(_full_sets(_packed(docs).join(wanted, "doc_id", "left_semi"), width), "doc_id"), "near-rest")
+        rest = stored(placed.join(_full_sets(_packed(docs, wanted), width), "doc_id"), "near-rest")
         units = block_pairs(rest, "group", "doc_id", BLOCK)
         extra = stored(units.groupBy("group", "_i", "_j").applyInPandas(_linked(similarity), "a long, b long").distinct(), "near-extra")
         for done in (ties, placed, rest):
