@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-A text is cut into pre-tokens by the vocabulary's pattern and each pre-token is
-merged on its own.  The merge queue has one bucket per merge rank holding
+A text is cut into pre-tokens by the vocabulary's pattern; no merge crosses their
+ends, and pre-tokens not seen yet are merged many at a time.  The merge queue has one bucket per merge rank holding
 positions of a linked list of tokens; two bitmap levels find the lowest
 non-empty rank by find-first-set, and an entry whose pair has changed since it
 was queued is skipped when it comes up.  A pre-token of n bytes costs
