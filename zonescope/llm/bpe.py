@@ -1,10 +1,10 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-A text is cut into pre-tokens by the vocabulary's pattern; no merge crosses their
-ends, and pre-tokens not seen yet are merged many at a time.  The merge queue has one bucket per merge rank holding
-positions of a linked list of tokens; two bitmap levels find the lowest
-non-empty rank by find-first-set, and an entry whose pair has changed since it
-was queued is skipped when it comes up.  A pre-token of n bytes costs
+A text is cut into pre-tokens by the vocabulary's pattern; no merge crosses
+their ends, and pre-tokens not seen yet are merged many at a time.  The merge
+queue has one bucket per merge rank holding positions of a linked list of
+tokens; two bitmap levels find the lowest non-empty rank by find-first-set, and
+an entry whose pair has changed since it was queued is skipped when it comes up.  A pre-token of n bytes costs
 O(n log n), so one of a megabyte is no problem.
 
 Results: a null text is the empty text and has no tokens; repeated rows are
@@ -49,19 +49,19 @@ class RankQueue:
 
     def __init__(self, ranks: int):
         self.low = [0] * ((ranks >> 8) + 1)
+        self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
-    def fill(self, pair: np.ndarray) -> int:
-        """Queue every position whose pair has a rank; returns the upper bitmap."""
+    def fill(self, pair: np.ndarray) -> None:
+        """Queue every position whose pair has a rank."""
         at = np.flatnonzero(pair >= 0)
         at = at[np.argsort(pair[at], kind="stable")]
         found, starts = np.unique(pair[at], return_index=True)
-        places, cuts, low, top = at.tolist(), [*starts.tolist(), len(at)], self.low, 0
+        places, cuts, low = at.tolist(), [*starts.tolist(), len(at)], self.low
         for rank, a, b in zip(found.tolist(), cuts, cuts[1:], strict=False):
             self.buckets[rank] = places[a:b]
             low[rank >> 8] |= 1 << (rank & 255)
-            top |= 1 << (rank >> 8)
-        return top
+            self.top |= 1 << (rank >> 8)
 
 
 class Encoder:
@@ -95,7 +95,8 @@ class Encoder:
         marks = np.cumsum([0, *(len(p) + 1 for p in pieces)])
         start, first = self.bytes[codes], np.append(self.twos[codes[:-1] << 8 | codes[1:]], -1)
         start[marks] = first[marks] = first[marks[1:] - 1] = -1
-        top = self.queue.fill(first)
+        self.queue.fill(first)
+        top = self.queue.top
         ids, pair = start.tolist(), first.tolist()
         after, before = list(range(1, len(data) + 1)), list(range(-1, len(data) - 1))
         while top:
@@ -148,6 +149,7 @@ class Encoder:
                         low[rank >> 8] |= 1 << (rank & 255)
                         top |= 1 << (rank >> 8)
                     break
+        self.queue.top = top
         merged = np.array(ids)
         if (merged == _NO_ID).any():
             raise ValueError("the vocabulary lacks a byte")
