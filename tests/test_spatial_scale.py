@@ -56,3 +56,31 @@ def test_cells_with_few_edges_are_tested_by_compiled_code(spark):
     mixed = spatial.points_in_polygons(points, vertices(spark))
     assert "lambda" in mixed._jdf.queryExecution().executedPlan().toString()  # the saw's cells alone
     assert sorted((r.id, r.zone_id) for r in mixed.collect()) == [(1, "step"), (1, "twins")]
+
+
+def test_points_are_not_moved_to_the_sites(spark, monkeypatch):
+    rnd = random.Random(9)
+    places = [(i, rnd.uniform(-180, 180), rnd.uniform(-90, 90)) for i in range(150)] + [(200, 179.999, 0.0), (201, 0.0, 89.999), (202, 0.0, 0.0), (202, 0.0, 0.0)]
+    spots = [(i, lon + rnd.uniform(-0.1, 0.1), max(-90.0, min(90.0, lat + rnd.uniform(-0.1, 0.1)))) for i, lon, lat in places * 4]
+    spots = [(i, lon, lat) for i, (_, lon, lat) in enumerate(spots)] + [(9001, -179.999, 0.0), (9002, 180.0, 89.998), (9003, None, 0.0), (9004, 0.0, 0.0), (9004, 0.0, 0.0), (9005, 900.0, -95.0)]
+    points = spark.createDataFrame(spots, POINTS).repartition(4)
+    sites = spark.createDataFrame([*((f"s{i}", lon, lat) for i, lon, lat in places), (None, 0.0, 0.0), ("nowhere", None, 1.0)], "site_id string, longitude double, latitude double")
+    metres = 9000.0
+    distance = spatial.haversine_m(F.col("p.latitude"), F.col("p.longitude"), F.col("s.latitude"), F.col("s.longitude"))
+    pairs = points.alias("p").join(sites.where("site_id is not null").alias("s"), (distance <= metres) & F.col("p.latitude").between(-90, 90) & F.col("p.longitude").between(-180, 180))
+    want = sorted(map(tuple, pairs.select("p.id", "s.site_id").collect()))
+    assert len(want) > 300
+    monkeypatch.setattr(spatial, "SITES_PER_BROADCAST", 400)
+    monkeypatch.setitem(spatial.__dict__, "MOST_BROADCASTS", 1000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        near = spatial.within_distance(points, sites, metres)
+        plan = near._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.id, r.site_id) for r in near.collect()) == want
+        assert plan.count("BroadcastHashJoin") >= 2 and "hashpartitioning(_cell" not in plan
+        monkeypatch.setattr(spatial, "MOST_BROADCASTS", 1)
+        dealt = spatial.within_distance(points, sites, metres, hot_rows=2)
+        assert "hashpartitioning(_cell" in dealt._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.id, r.site_id) for r in dealt.collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
